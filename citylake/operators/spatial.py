@@ -16,8 +16,8 @@ def _cover(polygons: DataFrame, geojson: str, size: float) -> DataFrame:
     """
     edges = ring_edges(polygon_rings(F.col(geojson)))
 
-    def bound(fn, *names: str) -> Column:
-        return fn(F.flatten(F.array(*[F.transform("_edges", lambda e, n=n: e[n]) for n in names])))
+    def bound(fn, first: str, second: str) -> Column:
+        return fn(F.concat(F.transform("_edges", lambda e: e[first]), F.transform("_edges", lambda e: e[second])))
 
     boxed = polygons.withColumn("_edges", edges).select(
         "*",

@@ -71,7 +71,7 @@ def column_statistics(df: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson and Spearman r of every pair of numeric columns: (left, right, pearson, spearman).
+    """Pearson and Spearman r of every pair of numeric columns: (column_a, column_b, pearson, spearman).
 
     Meant for at most `DETAIL_ROWS` profiled rows, the limit `profile` keeps to: a rank needs the whole column in
     order. Pairs use the rows in which both values are present.
@@ -81,8 +81,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     rows = F.array(
         *[
             F.struct(
-                F.lit(a).alias("left"),
-                F.lit(b).alias("right"),
+                F.lit(a).alias("column_a"),
+                F.lit(b).alias("column_b"),
                 F.col(f"`{a}`").cast("double").alias("x"),
                 F.col(f"`{b}`").cast("double").alias("y"),
             )
@@ -92,8 +92,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     long = df.select(F.explode(rows).alias("p")).select("p.*").filter("x is not null and y is not null")
 
     def average_rank(value: str) -> Column:
-        ordered = Window.partitionBy("left", "right").orderBy(value)
-        ties = Window.partitionBy("left", "right", value)
+        ordered = Window.partitionBy("column_a", "column_b").orderBy(value)
+        ties = Window.partitionBy("column_a", "column_b", value)
         return F.rank().over(ordered) + (F.count("*").over(ties) - 1) / 2
 
     ranked = long.withColumns({"rx": average_rank("x"), "ry": average_rank("y")})
@@ -101,7 +101,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     def pearson(x: str, y: str) -> Column:
         return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
-    return ranked.groupBy("left", "right").agg(pearson("x", "y").alias("pearson"), pearson("rx", "ry").alias("spearman"))
+    return ranked.groupBy("column_a", "column_b").agg(pearson("x", "y").alias("pearson"), pearson("rx", "ry").alias("spearman"))
 
 
 def profile(df: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> dict[str, DataFrame]:

@@ -70,13 +70,14 @@ def land(
     spark = df.sparkSession
     stamp = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
     batch = as_doubles(df, doubles).withColumn("_loaded_at", stamp).withColumn("load_date", as_col(day).cast("date"))
+    if batch.isEmpty():
+        return 0
     seen = Observation()
     batch = batch.observe(
         seen, F.count(F.lit(1)).alias("n"), F.max("load_date").alias("newest"), F.max("_loaded_at").alias("stamp")
     )
     write_partitions(batch, f"{root}/{table}")
-    if seen.get["n"]:
-        record_load(spark, root, table, seen.get["newest"], seen.get["stamp"])
+    record_load(spark, root, table, seen.get["newest"], seen.get["stamp"])
     return seen.get["n"]
 
 

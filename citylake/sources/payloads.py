@@ -68,24 +68,25 @@ def unzip_columnar(
     pairs = df.withColumn("_locations", parsed).select(*_others(df, payload, stations), F.explode(checked).alias("p"))
     kept = _others(pairs, "p")
     series = F.arrays_zip(
-        F.col("p._locations.hourly.time").alias("time"),
-        *[F.col(f"p._locations.hourly.{v}").alias(v) for v in variables],
+        F.col("p.l.hourly.time").alias("time"),
+        *[F.col(f"p.l.hourly.{v}").alias(v) for v in variables],
     )
-    return pairs.select(*kept, F.col("p").alias("p"), F.explode(series).alias("h")).select(
+    return pairs.select(*kept, "p", F.explode(series).alias("h")).select(
         *kept,
-        F.col(f"p.{stations}.station_id").alias("station_id"),
-        F.col(f"p.{stations}.latitude").alias("requested_latitude"),
-        F.col(f"p.{stations}.longitude").alias("requested_longitude"),
-        F.col("p._locations.latitude").alias("latitude"),
-        F.col("p._locations.longitude").alias("longitude"),
-        F.col("p._locations.elevation").alias("elevation"),
-        F.col("p._locations.timezone").alias("timezone"),
+        F.col(f"p.s.station_id").alias("station_id"),
+        F.col(f"p.s.latitude").alias("requested_latitude"),
+        F.col(f"p.s.longitude").alias("requested_longitude"),
+        F.col("p.l.latitude").alias("latitude"),
+        F.col("p.l.longitude").alias("longitude"),
+        F.col("p.l.elevation").alias("elevation"),
+        F.col("p.l.timezone").alias("timezone"),
         "h.*",
-        F.coalesce(F.col("p._locations.hourly_units"), F.lit("{}")).alias("hourly_units"),
+        F.coalesce(F.col("p.l.hourly_units"), F.lit("{}")).alias("hourly_units"),
     )
 
 
-# Resolutions a series may declare, in minutes.
+# Time format of a market document, and the resolutions a series may declare, in minutes.
+INTERVAL_FORMAT = "yyyy-MM-dd'T'HH:mm[:ss]XXX"
 RESOLUTION_MINUTES = {"PT1M": 1, "PT5M": 5, "PT15M": 15, "PT30M": 30, "PT60M": 60, "PT1H": 60}
 
 
@@ -107,8 +108,7 @@ def xml_points(df: DataFrame, value_field: str, unit: str, area_code: str, paylo
     minutes = F.lit(None).cast("int")
     for code, length in RESOLUTION_MINUTES.items():
         minutes = F.when(F.col("d.resolution") == code, length).otherwise(minutes)
-    start = F.col("d.timeInterval.start").cast("timestamp")
-    end = F.col("d.timeInterval.end").cast("timestamp")
+    start, end = (F.to_timestamp(f"d.timeInterval.{side}", INTERVAL_FORMAT) for side in ("start", "end"))
     points = F.sort_array(
         F.transform("d.Point", lambda p: F.struct(p["position"].alias("position"), p[value_field].alias("value")))
     )
