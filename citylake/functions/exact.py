@@ -1,8 +1,9 @@
 """Order-independent averages and sums of doubles.
 
 Double addition depends on the order of the rows, so two runs over differently split partitions can
-differ in the last bit. Adding decimals is exact. The average divides the unscaled integer sum, which
-keeps every digit; Spark's own decimal average would round to a fixed scale first.
+differ in the last bit. Here every value is rounded once to a fixed number of digits and added as a whole
+number of the smallest unit, which is exact. The average divides that whole sum once; Spark's own decimal
+average would round to a fixed scale on the way.
 """
 
 from __future__ import annotations
@@ -14,25 +15,24 @@ from citylake.functions.columns import ColumnOrName, as_col
 SCALE = 6
 
 
-def fixed_point(value: ColumnOrName, where: Column | None = None, scale: int = SCALE) -> Column:
+def units(value: ColumnOrName, where: Column | None = None, scale: int = SCALE) -> Column:
+    """The value as a whole number of 10^-scale, rounded half away from zero."""
     value = as_col(value)
     if where is not None:
         value = F.when(where, value)
-    return value.cast(f"decimal(18,{scale})")
+    return F.round(value.cast("double") * F.lit(float(10**scale)), 0).cast("bigint").cast("decimal(18,0)")
 
 
 def exact_sum(value: ColumnOrName, where: Column | None = None, scale: int = SCALE) -> Column:
-    return F.sum(fixed_point(value, where, scale)).cast("double")
+    return F.sum(units(value, where, scale)).cast("double") / F.lit(float(10**scale))
 
 
 def exact_avg(value: ColumnOrName, where: Column | None = None, scale: int = SCALE) -> Column:
-    fixed = fixed_point(value, where, scale)
-    return exact_ratio(F.sum(fixed), F.count(fixed), scale)
+    whole = units(value, where, scale)
+    return exact_ratio(F.sum(whole), F.count(whole), scale)
 
 
 def exact_ratio(total: Column, count: Column, scale: int = SCALE) -> Column:
-    """Average from a decimal sum and a count, which may themselves be sums of partial results."""
-    unit = 10**scale
-    unscaled = (total.cast(f"decimal(28,{scale})") * F.lit(unit)).cast("double")
+    """Average from a sum of units and a count, which may themselves be sums of partial results."""
     # An all-null group has no average; nullif keeps ANSI division from raising.
-    return unscaled / F.nullif(count * F.lit(float(unit)), F.lit(0.0))
+    return total.cast("double") / F.nullif(count * F.lit(float(10**scale)), F.lit(0.0))

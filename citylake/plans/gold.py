@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from citylake.functions.exact import exact_avg, exact_ratio, fixed_point
+from citylake.functions.exact import exact_avg, exact_ratio, exact_sum, units
 from citylake.functions.keys import surrogate_key
 from citylake.functions.time import calendar_parts, date_key, date_spine, local_date
 from citylake.operators.incremental import LOOKBACK_DAYS, lookback
@@ -262,13 +262,13 @@ MART_POLLUTANTS = {"PM2_5": "avg_pm2_5_ugm3", "PM10": "avg_pm10_ugm3", "NO2": "a
 def _air_daily(air: DataFrame) -> DataFrame:
     """District-day means, through station-day partial sums.
 
-    Decimal sums and counts add up exactly, so one pre-aggregation serves the means and the station count;
+    Sums of units and counts add up exactly, so one pre-aggregation serves the means and the station count;
     a distinct count beside filtered averages would multiply the input rows instead.
     """
     partial: list[Column] = [F.max("averaging_hours").alias("aq_averaging_hours")]
     final: list[Column] = []
     for code, name in MART_POLLUTANTS.items():
-        value = fixed_point("value_ugm3", F.col("pollutant") == code)
+        value = units("value_ugm3", F.col("pollutant") == code)
         partial += [F.sum(value).alias(f"_s_{code}"), F.count(value).alias(f"_n_{code}")]
         final.append(exact_ratio(F.sum(f"_s_{code}"), F.sum(f"_n_{code}")).alias(name))
     stations = air.groupBy("district_key", "date_key", "station_id").agg(*partial)
@@ -282,7 +282,7 @@ def _weather_daily(weather: DataFrame) -> DataFrame:
     means = ("temperature_c", "wind_speed_ms", "relative_humidity_pct")
     stations = weather.groupBy("station_id", "district_key", "date_key").agg(
         *[exact_avg(c).alias(f"avg_{c}") for c in means],
-        F.sum(fixed_point("precipitation_mm")).cast("double").alias("precipitation_mm"),
+        exact_sum("precipitation_mm").alias("precipitation_mm"),
     )
     return stations.groupBy("district_key", "date_key").agg(
         *[exact_avg(f"avg_{c}").alias(f"avg_{c}") for c in means],
