@@ -249,9 +249,9 @@ def _(t):
     return check.rows({"hours": hours})
 
 
-@query("j09_rate_every_day", "select strftime(ts, '%Y-%m-%d') as day from events group by 1 having not bool_or(event_type = 'view' and value > 60)")
+@query("j09_rate_every_day", "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as day from events group by 1 having not bool_or(event_type = 'view' and value > 60)")
 def _(t):
-    rows = t.events.withColumn("day", F.to_date("ts"))
+    rows = t.events.withColumn("day", F.date_trunc("hour", "ts"))
     return quality.days_without(rows, "day", (F.col("event_type") == "view") & (F.col("value") > 60))
 
 

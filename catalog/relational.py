@@ -212,9 +212,9 @@ def _(t):
     return scaled.select("o_orderkey", F.round(F.col("o_totalprice") * F.col("rate") / 1000000, 3).alias("scaled"))
 
 
-@query("c08_not_in", "select c_custkey from customer where c_custkey not in (select o_custkey from orders)")
+@query("c08_not_in", "select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 300000)")
 def _(t):
-    return joins.not_in(t.customer, "c_custkey", t.orders, "o_custkey").select("c_custkey")
+    return joins.not_in(t.customer, "c_custkey", t.orders.filter("o_totalprice > 300000"), "o_custkey").select("c_custkey")
 
 
 @query("c09_anti", "select p_partkey from part left join lineitem on p_partkey = l_partkey and l_quantity > 49 where l_partkey is null")
@@ -280,6 +280,15 @@ def _(t):
     return sampling.exact_sample(t.orders, 500)
 
 
+@query("f03_sample_size", "select least(500, count(*)) as n_rows, least(500, count(*)) as n_distinct, least(500, count(*)) as n_known from orders")
+def _(t):
+    """Exactly n rows, all different, all from the table."""
+    sample = sampling.exact_sample(t.orders, 500)
+    known = joins.semi(sample, t.orders, "o_orderkey")
+    return sample.agg(F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_distinct")).withColumn(
+        "n_known", known.agg(F.count("*")).scalar())
+
+
 @query("f04_top_missing", """select 'n_small' as "column", round(avg((l_quantity >= 5)::int) * 100, 2) as null_pct from lineitem
   union all select 'n_r', round(avg((l_returnflag <> 'R')::int) * 100, 2) from lineitem""")
 def _(t):

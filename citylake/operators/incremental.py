@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,26 +14,42 @@ LOOKBACK_DAYS = 3
 
 
 def lookback_start(target: DataFrame, column: str, days: int = LOOKBACK_DAYS) -> Column:
-    """Scalar: the newest value of the target minus `days`."""
+    """Scalar subquery: the newest value of the target minus `days`."""
     bound = F.max(column) - F.expr(f"interval {int(days)} days")
     return target.agg(bound.alias("bound")).scalar()
 
 
+def newest_partition(target: DataFrame, partition: str) -> DataFrame:
+    """The rows of the highest partition of a partitioned file table, found from file names alone."""
+    values = {int(m.group(1)) for f in target.inputFiles() if (m := re.search(rf"/{partition}=(\d+)/", f))}
+    return target.filter(F.col(partition) == max(values)) if values else target
+
+
+def lookback_bound(
+    target: DataFrame | None, column: str, days: int = LOOKBACK_DAYS, partition: str | None = None
+) -> date | datetime | None:
+    """The same bound as a value for the driver; None when there is no target row yet.
+
+    A value, unlike a subquery, reaches the Parquet filters of the source. When `partition` grows with
+    `column`, only the newest partition of the target is read.
+    """
+    if target is None:
+        return None
+    rows = newest_partition(target, partition) if partition else target
+    return rows.agg((F.max(column) - F.expr(f"interval {int(days)} days")).alias("bound")).first()["bound"]
+
+
 def lookback(
     df: DataFrame,
     source: ColumnOrName,
     target: DataFrame | None,
     target_column: str,
     days: int = LOOKBACK_DAYS,
+    partition: str | None = None,
 ) -> DataFrame:
-    """Rows at most `days` older than the newest target row; all rows when there is no target yet.
-
-    An empty target selects nothing to compare with, so every row is kept then, too.
-    """
-    if target is None:
-        return df
-    start = lookback_start(target, target_column, days)
-    return df.filter(start.isNull() | (as_col(source) >= start))
+    """Rows at most `days` older than the newest target row; all rows when there is none yet."""
+    bound = lookback_bound(target, target_column, days, partition)
+    return df if bound is None else df.filter(as_col(source) >= F.lit(bound))
 
 
 def delete_insert(target: DataFrame | None, batch: DataFrame, keys: str | Sequence[str]) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citylake.functions.exact import exact_avg, exact_ratio, exact_sum, units
 from citylake.functions.keys import surrogate_key
-from citylake.functions.time import calendar_parts, date_key, date_spine, local_date
-from citylake.operators.incremental import LOOKBACK_DAYS, lookback
+from citylake.functions.time import calendar_parts, date_key, date_spine, local_date, local_day_bounds
+from citylake.operators.incremental import LOOKBACK_DAYS, lookback, lookback_bound
 from citylake.operators.dedup import latest_value
 from citylake.operators.joins import interval_join
 from citylake.operators.resample import rollup_local_day
@@ -22,6 +22,8 @@ STATION_CHECKED = ("station_name", "district_slug", "latitude", "longitude", "is
 STATION_ATTRIBUTES = (*STATION_CHECKED, "is_inferred")
 HOME_CURRENCY_SOURCE = "EUR"
 
+# Facts are stored by local day, a function of their key that grows with time.
+PARTITION = "date_key"
 FACT_KEYS = {
     "fact_air_quality_hourly": ("station_id", "hour_start_ts_utc", "pollutant"),
     "fact_weather_hourly": ("station_id", "hour_start_ts_utc"),
@@ -117,7 +119,7 @@ def _at_station(df: DataFrame, stations: DataFrame, ts: str) -> DataFrame:
 def fact_air_quality_hourly(
     measurements: DataFrame, stations: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS
 ) -> DataFrame:
-    recent = lookback(measurements, "measured_hour_start_ts_utc", target, "hour_start_ts_utc", days)
+    recent = lookback(measurements, "measured_hour_start_ts_utc", target, "hour_start_ts_utc", days, PARTITION)
     return _at_station(recent, stations, "measured_hour_start_ts_utc").select(
         "station_id",
         F.col("measured_hour_start_ts_utc").alias("hour_start_ts_utc"),
@@ -136,7 +138,7 @@ def fact_air_quality_hourly(
 def fact_weather_hourly(
     weather: DataFrame, stations: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS
 ) -> DataFrame:
-    recent = lookback(weather, "hour_start_ts_utc", target, "hour_start_ts_utc", days)
+    recent = lookback(weather, "hour_start_ts_utc", target, "hour_start_ts_utc", days, PARTITION)
     return _at_station(recent, stations, "hour_start_ts_utc").select(
         "station_id",
         "hour_start_ts_utc",
@@ -181,7 +183,7 @@ def convert_currency(
 def fact_energy_price_hourly(
     prices: DataFrame, load: DataFrame, fx: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS
 ) -> DataFrame:
-    recent = lookback(prices, "hour_start_ts_utc", target, "hour_start_ts_utc", days)
+    recent = lookback(prices, "hour_start_ts_utc", target, "hour_start_ts_utc", days, PARTITION)
     demand = load.select("hour_start_ts_utc", "load_mw", F.col("n_intervals").alias("n_load_intervals"))
     hourly = (
         recent.withColumnRenamed("n_intervals", "n_price_intervals")
@@ -218,7 +220,11 @@ def fact_bike_traffic_daily(
 
     A direction missing from the catalogue of its counter takes the name another counter gives that id.
     """
-    recent = lookback(detections, local_date("interval_start_ts_utc"), target, "local_date", days)
+    first_day = lookback_bound(target, "local_date", days, PARTITION)
+    recent = detections
+    if first_day is not None:
+        # Whole local days from a local midnight on, as a bound on the stored instant.
+        recent = detections.filter(F.col("interval_start_ts_utc") >= local_day_bounds(F.lit(first_day))[0])
     daily = rollup_local_day(
         recent,
         ["counter_id", "direction_id"],

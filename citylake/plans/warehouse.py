@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from citylake.functions.time import local_date
 from citylake.operators.incremental import delete_insert
 from citylake.operators.scd2 import snapshot_check
 from citylake.plans import gold, silver
@@ -17,6 +18,8 @@ from citylake.sources.landing import read_bronze, read_if_exists, write_partitio
 from citylake.sources.schemas import BRONZE
 from citylake.sources.seed import holidays
 
+SILVER_DAY = "bronze_day"
+
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Replaces a whole table that does not read itself, and reads it back."""
@@ -74,11 +77,15 @@ def build(
     calendar_start: date = gold.CALENDAR_START,
     spatial_cell: float = 0.01,
     holidays_path: str | None = None,
+    bronze_since: date | None = None,
 ) -> dict[str, DataFrame]:
     """Seed, silver, snapshot, dimensions, facts, mart. Returns every table by name.
 
     A full refresh rebuilds the facts from all of silver; otherwise they re-process the lookback window. Late
     changes of side inputs older than the window reach old fact rows only through a full refresh.
+
+    Silver series are stored by the day of their bronze partition. With `bronze_since`, only bronze days from
+    there on are read and only their silver days replaced; without it every series is rebuilt.
     """
     tables: dict[str, DataFrame] = {name: read_bronze(spark, bronze_root, name) for name in BRONZE}
 
@@ -91,19 +98,34 @@ def build(
     def silver_table(name: str, df: DataFrame) -> DataFrame:
         return keep("silver", name, df, "silver_")
 
+    def series(name: str, source: str, plan: Callable[[DataFrame], DataFrame], day: Column) -> DataFrame:
+        """The key of a series determines its bronze day, so de-duplication never crosses a day."""
+        path = f"{out_root}/silver/{name}"
+        partial = bronze_since is not None and read_if_exists(spark, path) is not None
+        rows = plan(read_bronze(spark, bronze_root, source, first=bronze_since if partial else None))
+        rows = rows.withColumn(SILVER_DAY, day)
+        if partial:
+            write_partitions(rows, path, SILVER_DAY)
+        else:
+            rows.hint("rebalance", F.col(SILVER_DAY)).write.mode("overwrite").partitionBy(SILVER_DAY).parquet(path)
+        tables[f"silver_{name}"] = spark.read.parquet(path)
+        return tables[f"silver_{name}"]
+
     districts = silver_table("city_districts", silver.city_districts(tables["city_districts"]))
     stations = silver_table("air_stations", silver.air_stations(tables["air_stations"], tables["air_history"]))
-    measurements = silver_table("air_measurements", silver.air_measurements(tables["air_history"]))
+    measurements = series("air_measurements", "air_history", silver.air_measurements, F.to_date("published_ts_utc"))
     counters = silver_table(
         "bike_counters",
         silver.bike_counters(tables["bike_counters"], tables["bike_detections"], districts, spatial_cell),
     )
     directions = silver_table("bike_directions", silver.bike_directions(tables["bike_counters"]))
-    detections = silver_table("bike_detections", silver.bike_detections(tables["bike_detections"]))
-    prices = silver_table("prices_hourly", silver.prices_hourly(tables["energy_prices"]))
-    load = silver_table("load_hourly", silver.load_hourly(tables["energy_load"]))
+    start = F.to_date("interval_start_ts_utc")
+    detections = series("bike_detections", "bike_detections", silver.bike_detections, start)
+    delivery = local_date("hour_start_ts_utc")
+    prices = series("prices_hourly", "energy_prices", silver.prices_hourly, delivery)
+    load = series("load_hourly", "energy_load", silver.load_hourly, delivery)
     fx = silver_table("fx_rates_daily", silver.fx_rates_daily(tables["fx_daily"]))
-    weather = silver_table("weather_hourly", silver.weather_hourly(tables["weather_hourly"]))
+    weather = series("weather_hourly", "weather_hourly", silver.weather_hourly, F.to_date("hour_start_ts_utc"))
 
     snapshot_path = f"{out_root}/snapshots/air_stations"
     history = read_snapshot(spark, snapshot_path)
