@@ -15,6 +15,7 @@ from citylake.operators.scd2 import snapshot_check
 from citylake.plans import gold, silver
 from citylake.plans.warehouse import write_snapshot
 from citylake.session import fresh_dir
+from citylake.sources.landing import write_partitions
 
 RUNS = (date(2024, 1, 1), date(2024, 1, 11), date(2024, 1, 21))
 HOLIDAYS = ((date(2024, 1, 1), "New year"), (date(2024, 1, 15), "Mid month"), (date(2024, 3, 29), "Good Friday"))
@@ -23,10 +24,34 @@ AS_OF = date(2024, 6, 1)
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
-def _num(text: str):
-    return F.expr(text).cast("double")
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(make, write):
+    """Writes the table once per session and input folder, as the layered build does, and reads it from then on."""
+
+    def read(t: Tables) -> DataFrame:
+        key = (t.spark.sparkContext.applicationId, t.folder, make.__name__)
+        if key not in _WRITTEN:
+            path = fresh_dir(t.spark, make.__name__)
+            write(make(t), path)
+            _WRITTEN[key] = path
+        return t.spark.read.parquet(_WRITTEN[key])
+
+    read.__name__ = make.__name__
+    return read
+
+
+def _layer(make):
+    return _once(make, lambda df, path: df.write.parquet(path))
+
 
+def _landed(make):
+    """Bronze: one directory per day."""
+    return _once(make, write_partitions)
 
+
+@_landed
 def city_districts(t: Tables) -> DataFrame:
     """Rectangles, every second one with a hole, and triangles in the last column of the grid."""
     k = "n_nationkey"
@@ -64,6 +89,7 @@ SQL_X = "(14 + ((({k}) * 37) % 5200) / 10000.0::double)"
 SQL_Y = "(50 + ((({k}) * 61) % 5200) / 10000.0::double)"
 
 
+@_landed
 def bike_counters(t: Tables) -> DataFrame:
     k = "c_custkey"
     rows = t.customer.withColumn("load_date", F.explode(F.array(F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 15)))))
@@ -87,6 +113,7 @@ FIRST_SLOT = datetime(2024, 3, 29, 23)
 SLOTS = 852
 
 
+@_landed
 def bike_detections(t: Tables) -> DataFrame:
     """Three local days of five-minute slots over the spring switch, with gaps and repeated slots."""
     rows = (
@@ -110,6 +137,7 @@ def bike_detections(t: Tables) -> DataFrame:
     )
 
 
+@_landed
 def air_stations(t: Tables) -> DataFrame:
     """Three snapshots: renamed, moved and removed stations."""
     rows = t.supplier.withColumn("load_date", F.explode(F.array(*[F.lit(d) for d in RUNS])))
@@ -126,6 +154,7 @@ def air_stations(t: Tables) -> DataFrame:
     )
 
 
+@_landed
 def air_history(t: Tables) -> DataFrame:
     def component(code: str, value: str) -> str:
         hours = "case when ts < timestamp'2024-01-10 00:00:00' then '3' else '1' end"
@@ -147,6 +176,7 @@ def air_history(t: Tables) -> DataFrame:
     )
 
 
+@_landed
 def weather_hourly(t: Tables) -> DataFrame:
     return t.events.select(
         F.format_string("S%d", "user_id").alias("station_id"),
@@ -172,6 +202,7 @@ def _quarter(ts: str):
     return F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / 900) * 900)
 
 
+@_landed
 def energy_prices(t: Tables) -> DataFrame:
     return t.events.select(
         _quarter("ts").alias("ts_utc"),
@@ -183,6 +214,7 @@ def energy_prices(t: Tables) -> DataFrame:
     )
 
 
+@_landed
 def energy_load(t: Tables) -> DataFrame:
     return t.events.filter("event_type in ('view', 'click')").select(
         _quarter("ts").alias("ts_utc"),
@@ -198,6 +230,7 @@ CURRENCY = ("case event_type when 'view' then 'EUR' when 'click' then 'USD' when
             "when 'error' then 'HUF' else 'GBP' end")
 
 
+@_landed
 def fx_daily(t: Tables) -> DataFrame:
     """One table per day, none on every sixth day of the month and none after the 27th."""
     kept = t.events.filter("day(ts) % 6 <> 5 and day(ts) < 28")
@@ -226,23 +259,6 @@ def holidays(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- silver and gold over the feeds
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
-def _layer(make):
-    """Writes the table once per session and input folder, as the layered build does, and reads it from then on."""
-
-    def read(t: Tables) -> DataFrame:
-        key = (t.spark.sparkContext.applicationId, t.folder, make.__name__)
-        if key not in _WRITTEN:
-            path = fresh_dir(t.spark, make.__name__)
-            make(t).write.parquet(path)
-            _WRITTEN[key] = path
-        return t.spark.read.parquet(_WRITTEN[key])
-
-    return read
-
-
 @_layer
 def s_districts(t):
     return silver.city_districts(city_districts(t))

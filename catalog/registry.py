@@ -25,6 +25,9 @@ ORACLES: dict[str, str] = {}
 FRAGMENTS: dict[str, str] = {}
 
 
+_SCHEMAS: dict = {}
+
+
 class Tables:
     """The Parquet tables of one directory, read on first use. `events.ts` is an instant in UTC."""
 
@@ -32,7 +35,11 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        # A known schema saves the job that would read the file footers again.
+        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         return df.withColumn("ts", F.col("ts").cast("timestamp")) if name == "events" else df
 
 

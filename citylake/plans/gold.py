@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from citylake.functions.exact import exact_avg, exact_ratio, exact_sum, units
+from citylake.functions.exact import exact_avg, exact_parts, exact_ratio, exact_sum
 from citylake.functions.keys import surrogate_key
 from citylake.functions.time import calendar_parts, date_key, date_spine, local_date, local_day_bounds
 from citylake.operators.incremental import LOOKBACK_DAYS, lookback, lookback_bound
@@ -268,15 +268,17 @@ MART_POLLUTANTS = {"PM2_5": "avg_pm2_5_ugm3", "PM10": "avg_pm10_ugm3", "NO2": "a
 def _air_daily(air: DataFrame) -> DataFrame:
     """District-day means, through station-day partial sums.
 
-    Sums of units and counts add up exactly, so one pre-aggregation serves the means and the station count;
+    Exact partial sums and counts add up again, so one pre-aggregation serves the means and the station count;
     a distinct count beside filtered averages would multiply the input rows instead.
     """
     partial: list[Column] = [F.max("averaging_hours").alias("aq_averaging_hours")]
     final: list[Column] = []
     for code, name in MART_POLLUTANTS.items():
-        value = units("value_ugm3", F.col("pollutant") == code)
-        partial += [F.sum(value).alias(f"_s_{code}"), F.count(value).alias(f"_n_{code}")]
-        final.append(exact_ratio(F.sum(f"_s_{code}"), F.sum(f"_n_{code}")).alias(name))
+        value = exact_parts("value_ugm3", F.col("pollutant") == code)
+        partial += [
+            F.sum(value.whole).alias(f"_w_{code}"), F.sum(value.units).alias(f"_u_{code}"), F.count(value.whole).alias(f"_n_{code}")
+        ]
+        final.append(exact_ratio(F.sum(f"_w_{code}"), F.sum(f"_u_{code}"), F.sum(f"_n_{code}")).alias(name))
     stations = air.groupBy("district_key", "date_key", "station_id").agg(*partial)
     return stations.groupBy("district_key", "date_key").agg(
         *final, F.count("station_id").alias("n_aq_stations"), F.max("aq_averaging_hours").alias("aq_averaging_hours")
