@@ -63,7 +63,7 @@ def history(day, ids=("A1", "A2", "GHOST"), bump=0.0):
 def detections(day):
     start = datetime.fromisoformat(f"{day}T00:00:00")
     records = []
-    for counter, direction in (("C1", "D1"), ("C1", "D2"), ("C2", "D1"), ("X9", "D7")):
+    for counter, direction in (("C1", "D1"), ("C1", "D2"), ("C2", "D1"), ("X9", "D2")):
         for slot in range(288):
             at = start + timedelta(minutes=5 * slot)
             records.append({
