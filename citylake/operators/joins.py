@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from citylake.functions.columns import as_list
+from citylake.operators.ordered import SLICE, cut_long_groups, running_max
 
 
 def interval_join(
@@ -68,20 +69,28 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
 
 
 def overlapping_versions(
-    df: DataFrame, key: str, version: str, valid_from: str = "valid_from_ts_utc", valid_to: str = "valid_to_ts_utc"
+    df: DataFrame,
+    key: str,
+    version: str,
+    valid_from: str = "valid_from_ts_utc",
+    valid_to: str = "valid_to_ts_utc",
+    slices: int | None = None,
 ) -> DataFrame:
     """Versions that start before an earlier version of the same key has ended.
 
     One row per offending version, with the earlier version that reaches furthest: empty exactly when no two
     versions overlap, and linear in the number of versions where a list of all pairs would be quadratic.
+    `slices` cuts keys with very many versions.
     """
-    non_empty = df.filter(F.col(valid_from) < F.col(valid_to))
-    earlier = Window.partitionBy(key).orderBy(valid_from, version).rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max(F.struct(F.col(valid_to).alias("until"), F.col(version).alias("version"))).over(earlier)
-    return (
-        non_empty.withColumn("_reach", reach)
-        .filter(F.col("_reach.until") > F.col(valid_from))
-        .select(key, version, F.col("_reach.version").alias(f"overlapping_{version}"))
+    until = F.struct(F.col(valid_to).alias("until"), F.col(version).alias("version"))
+    rows = df.filter(F.col(valid_from) < F.col(valid_to)).select(key, version, valid_from, until.alias("_until"))
+    order = [valid_from, version]
+    if slices:
+        reached = running_max(cut_long_groups(rows, key, order, slices), key, order, "_until", "_reach", SLICE)
+    else:
+        reached = running_max(rows, key, order, "_until", "_reach")
+    return reached.filter(F.col("_reach.until") > F.col(valid_from)).select(
+        key, version, F.col("_reach.version").alias(f"overlapping_{version}")
     )
 
 

@@ -124,6 +124,27 @@ def running_sum(
     return _joined(local, carried, [*keys, slices]).withColumn(name, F.col(name) + F.col("_base")).drop("_base")
 
 
+def running_max(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    order: str | Sequence[str],
+    value: str,
+    name: str,
+    slices: str | None = None,
+) -> DataFrame:
+    """Adds the maximum of `value` over the rows of the key before this one."""
+    keys, order = as_list(keys), as_list(order)
+    earlier = (Window.unboundedPreceding, -1)
+    local = df.withColumn(name, F.max(value).over(_windows(keys, order, slices).rowsBetween(*earlier)))
+    if slices is None:
+        return local
+    tops = df.groupBy(*keys, slices).agg(F.max(value).alias("_top"))
+    before = Window.partitionBy(*keys).orderBy(slices).rowsBetween(*earlier)
+    carried = tops.select(*keys, slices, F.max("_top").over(before).alias("_carry"))
+    joined = _joined(local, carried, [*keys, slices])
+    return joined.withColumn(name, F.greatest(name, "_carry")).drop("_carry")
+
+
 def rolling_mean(
     df: DataFrame,
     keys: str | Sequence[str],

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, TimestampType
 
+from citylake.operators.ordered import SLICE, cut_long_groups, running_sum
 from citylake.operators.sampling import exact_sample
 from citylake.operators.stats import duplicate_rows, null_share
 
@@ -73,35 +74,35 @@ def column_statistics(df: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson and Spearman r of every pair of numeric columns: (column_a, column_b, pearson, spearman).
 
-    Meant for at most `DETAIL_ROWS` profiled rows, the limit `profile` keeps to: a rank needs the whole column in
-    order. Pairs use the rows in which both values are present.
+    Pairs use the rows in which both values are present. A rank comes from the counts of the distinct values,
+    added up over even slices of the sorted values, so no task sees a whole column in order.
     """
     columns = list(columns or numeric_columns(df))
     pairs = [(a, b) for a, b in combinations_with_replacement(columns, 2)]
     rows = F.array(
         *[
             F.struct(
-                F.lit(a).alias("column_a"),
-                F.lit(b).alias("column_b"),
-                F.col(f"`{a}`").cast("double").alias("x"),
-                F.col(f"`{b}`").cast("double").alias("y"),
+                F.lit(i).alias("pair"), F.col(f"`{a}`").cast("double").alias("x"), F.col(f"`{b}`").cast("double").alias("y")
             )
-            for a, b in pairs
+            for i, (a, b) in enumerate(pairs)
         ]
     )
     long = df.select(F.explode(rows).alias("p")).select("p.*").filter("x is not null and y is not null")
 
-    def average_rank(value: str) -> Column:
-        ordered = Window.partitionBy("column_a", "column_b").orderBy(value)
-        ties = Window.partitionBy("column_a", "column_b", value)
-        return F.rank().over(ordered) + (F.count("*").over(ties) - 1) / 2
+    def average_ranks(value: str) -> DataFrame:
+        counts = long.groupBy("pair", value).agg(F.count("*").alias("_n"))
+        summed = running_sum(cut_long_groups(counts, "pair", value), "pair", value, F.col("_n"), "_upto", SLICE)
+        rank = F.col("_upto") - F.col("_n") + (F.col("_n") + 1) / 2
+        return summed.select("pair", value, rank.alias(f"r{value}"))
 
-    ranked = long.withColumns({"rx": average_rank("x"), "ry": average_rank("y")})
+    ranked = long.join(average_ranks("x"), ["pair", "x"]).join(average_ranks("y"), ["pair", "y"])
 
     def pearson(x: str, y: str) -> Column:
         return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
-    return ranked.groupBy("column_a", "column_b").agg(pearson("x", "y").alias("pearson"), pearson("rx", "ry").alias("spearman"))
+    result = ranked.groupBy("pair").agg(pearson("x", "y").alias("pearson"), pearson("rx", "ry").alias("spearman"))
+    names = F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b")) for a, b in pairs])
+    return result.withColumn("_c", F.get(names, "pair")).select("_c.*", "pearson", "spearman")
 
 
 def profile(df: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> dict[str, DataFrame]:

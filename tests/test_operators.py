@@ -118,7 +118,9 @@ def test_not_in_follows_sql(spark, rows):
 def test_overlaps_are_found_behind_a_short_version(spark, rows):
     data = [("s", "a", 0, 10), ("s", "b", 1, 2), ("s", "c", 5, 6), ("s", "d", 10, 12), ("t", "e", 0, 5)]
     df = spark.createDataFrame(data, "k string, v string, f int, t int")
-    assert rows(joins.overlapping_versions(df, "k", "v", "f", "t")) == [("s", "b", "a"), ("s", "c", "a")]
+    for slices in (None, 3):
+        found = joins.overlapping_versions(df, "k", "v", "f", "t", slices)
+        assert rows(found) == [("s", "b", "a"), ("s", "c", "a")]
 
 
 @pytest.mark.parametrize("by_month", [False, True])
