@@ -23,6 +23,7 @@ def exact_sample(df: DataFrame, rows: int, seed: int = 42) -> DataFrame:
     hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
     hashed = hashed.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(BUCKETS)))
     counts = hashed.groupBy("_bucket").agg(F.count("*").alias("n"))
+    # The window sees the histogram, one row per bucket, whatever the size of the table.
     upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = counts.withColumn("total", F.sum("n").over(upto)).filter(F.col("total") >= rows)
     cut = reached.agg(F.min("_bucket")).scalar()

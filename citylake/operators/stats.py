@@ -52,9 +52,7 @@ def exact_quantiles(
     small groups use their full range as bracket.
     """
     keys = as_list(keys)
-    group = keys or ["_all"]
-    source = df if keys else df.withColumn("_all", F.lit(0))
-    source = source.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("v"))
+    source = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
     margin = 2.0 / accuracy
 
     def bracket(p: float) -> Column:
@@ -66,27 +64,28 @@ def exact_quantiles(
             F.when(small | F.lit(high == 1.0), F.max("v")).otherwise(F.approx_percentile("v", high, accuracy)).alias("hi"),
         )
 
-    brackets = source.groupBy(*group).agg(
-        F.count("v").alias("n"), F.array(*[bracket(p) for p in probabilities]).alias("b")
+    brackets = source.groupBy(*keys).agg(
+        F.struct(F.count("v").alias("n"), F.array(*[bracket(p) for p in probabilities]).alias("b")).alias("_bracket")
     )
-    values = source.groupBy(*group, "v").agg(F.count("*").alias("c"))
     # Copies of a value travel as one row from here on.
-    placed = values.join(brackets, group).select(*group, "v", "c", "n", F.explode("b").alias("b"))
-    placed = placed.select(*group, "v", "c", "n", "b.*").filter("v <= hi")
-    below = placed.filter("v < lo").groupBy(*group, "probability").agg(F.sum("c").alias("below"))
-    inside = placed.filter("v >= lo")
-    upto = Window.partitionBy(*group, "probability").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    values = source.groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    placed = values.join(brackets, keys) if keys else values.withColumn("_bracket", brackets.scalar())
+    placed = placed.select(*keys, "v", "c", "_bracket.n", F.explode("_bracket.b").alias("b"))
+    placed = placed.select(*keys, "v", "c", "n", "b.*").filter("v <= hi")
+    group = [*keys, "probability"]
+    below = placed.filter("v < lo").groupBy(*group).agg(F.sum("c").alias("below"))
+    upto = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        inside.withColumn("last_rank", F.sum("c").over(upto))
-        .join(below, [*group, "probability"], "left")
+        placed.filter("v >= lo")
+        .withColumn("last_rank", F.sum("c").over(upto))
+        .join(below, group, "left")
         .withColumn("last_rank", F.col("last_rank") + F.coalesce("below", F.lit(0)))
         .withColumn("position", F.col("probability") * (F.col("n") - 1))
     )
     lower = F.min(F.when(F.col("last_rank") > F.floor("position"), F.col("v")))
     upper = F.min(F.when(F.col("last_rank") > F.ceil("position"), F.col("v")))
     part = F.max(F.col("position") - F.floor("position"))
-    result = ranked.groupBy(*group, "probability").agg((lower + (upper - lower) * part).alias("quantile"))
-    return result.select(*keys, "probability", "quantile")
+    return ranked.groupBy(*group).agg((lower + (upper - lower) * part).alias("quantile"))
 
 
 def growth(
