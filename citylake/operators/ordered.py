@@ -14,9 +14,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citylake.functions.columns import ColumnOrName, as_col, as_list
-from citylake.session import cut_lineage
+from citylake.session import fresh_dir
 
 SLICE = "_slice"
+EARLIER = (Window.unboundedPreceding, -1)
 
 
 def cut_long_groups(
@@ -24,13 +25,16 @@ def cut_long_groups(
 ) -> DataFrame:
     """Adds `_slice`: runs of near-equal size in (key, order) sequence.
 
-    The range partitioning samples keys and order together, so a hot key is spread over many slices. The
-    slice number is stored by a reliable checkpoint: it cannot change when a task is run again.
+    The range partitioning samples keys and order together, so a hot key is spread over many slices. The rows are
+    written to the shared folder with their slice number: it cannot change when a task is run again, and the
+    passes that follow read only the columns they need.
     """
     spark = df.sparkSession
     count = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(count, *as_list(keys), *as_list(order))
-    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
+    path = fresh_dir(spark, "slices")
+    ranged.withColumn(SLICE, F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _windows(keys: list[str], order: list[str], slices: str | None):
@@ -38,9 +42,21 @@ def _windows(keys: list[str], order: list[str], slices: str | None):
     return Window.partitionBy(*parts).orderBy(*order)
 
 
-def _joined(local: DataFrame, carried: DataFrame, on: list[str]) -> DataFrame:
-    """Null-safe left join on the keys (keys may be null, as in a window)."""
-    right = carried.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in carried.columns if c not in on])
+def _joined(local: DataFrame, summary: DataFrame, keys: list[str], slices: str, carry, step: int = -1) -> DataFrame:
+    """Attaches what the slices on one side carry over, null-safe on the keys (they may be null, as in a window).
+
+    `carry` maps names to expressions over the window of a key's slices. Only a key that goes on beyond the slice
+    needs a row, and of a slice cut by `cut_long_groups` that is one key at each end: the carried rows are then no
+    more than the slices, which is what makes it safe to broadcast them.
+    """
+    in_order = Window.partitionBy(*keys).orderBy(slices)
+    beyond = F.lag(slices).over(in_order) if step < 0 else F.lead(slices).over(in_order)
+    on = [*keys, slices]
+    rows = summary.select(*on, *[e.alias(n) for n, e in carry(in_order).items()], beyond.alias("_beyond"))
+    rows = rows.filter("_beyond is not null").drop("_beyond")
+    right = rows.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in rows.columns if c not in on])
+    if slices == SLICE:
+        right = F.broadcast(right)
     condition = F.lit(True)
     for c in on:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
@@ -64,11 +80,12 @@ def forward_fill(
     ends = df.groupBy(*keys, slices).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_end_{c}") for c in columns]
     )
-    before = Window.partitionBy(*keys).orderBy(slices).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        *keys, slices, *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns]
-    )
-    joined = _joined(df.withColumns(filled), carried, [*keys, slices])
+
+    def carry(in_order):
+        before = in_order.rowsBetween(*EARLIER)
+        return {f"_carry_{c}": F.last(f"_end_{c}", ignorenulls=True).over(before) for c in columns}
+
+    joined = _joined(df.withColumns(filled), ends, keys, slices, carry)
     return joined.withColumns({c: F.coalesce(c, f"_carry_{c}") for c in columns}).drop(
         *[f"_carry_{c}" for c in columns]
     )
@@ -85,11 +102,8 @@ def _neighbour(df, keys, order, columns: Mapping[str, ColumnOrName], slices, ste
     position = F.struct(*order)
     edge = F.max_by(packed, position) if step < 0 else F.min_by(packed, position)
     edges = df.groupBy(*keys, slices).agg(edge.alias("_edge"))
-    carried = edges.select(
-        *keys, slices, shift("_edge").over(Window.partitionBy(*keys).orderBy(slices)).alias("_outside")
-    )
     local = df.withColumn("_inside", shift(packed).over(window))
-    joined = _joined(local, carried, [*keys, slices])
+    joined = _joined(local, edges, keys, slices, lambda in_order: {"_outside": shift("_edge").over(in_order)}, step)
     found = F.coalesce("_inside", "_outside")
     return joined.withColumns({n: found[n] for n in values}).drop("_inside", "_outside")
 
@@ -119,9 +133,12 @@ def running_sum(
     if slices is None:
         return local
     totals = df.groupBy(*keys, slices).agg(F.sum(as_col(value)).alias("_total"))
-    before = Window.partitionBy(*keys).orderBy(slices).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, slices, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
-    return _joined(local, carried, [*keys, slices]).withColumn(name, F.col(name) + F.col("_base")).drop("_base")
+
+    def carry(in_order):
+        return {"_base": F.sum("_total").over(in_order.rowsBetween(*EARLIER))}
+
+    joined = _joined(local, totals, keys, slices, carry)
+    return joined.withColumn(name, F.coalesce(F.col(name) + F.col("_base"), name, "_base")).drop("_base")
 
 
 def running_max(
@@ -134,14 +151,15 @@ def running_max(
 ) -> DataFrame:
     """Adds the maximum of `value` over the rows of the key before this one."""
     keys, order = as_list(keys), as_list(order)
-    earlier = (Window.unboundedPreceding, -1)
-    local = df.withColumn(name, F.max(value).over(_windows(keys, order, slices).rowsBetween(*earlier)))
+    local = df.withColumn(name, F.max(value).over(_windows(keys, order, slices).rowsBetween(*EARLIER)))
     if slices is None:
         return local
     tops = df.groupBy(*keys, slices).agg(F.max(value).alias("_top"))
-    before = Window.partitionBy(*keys).orderBy(slices).rowsBetween(*earlier)
-    carried = tops.select(*keys, slices, F.max("_top").over(before).alias("_carry"))
-    joined = _joined(local, carried, [*keys, slices])
+
+    def carry(in_order):
+        return {"_carry": F.max("_top").over(in_order.rowsBetween(*EARLIER))}
+
+    joined = _joined(local, tops, keys, slices, carry)
     return joined.withColumn(name, F.greatest(name, "_carry")).drop("_carry")
 
 
