@@ -21,7 +21,7 @@ KEYS = "date_key between 20240105 and 20240125"
 
 
 def _nullable(t: Tables):
-    return t.customer.withColumn("c_name", F.when(F.col("c_custkey") % 4 != 0, F.col("c_name"))).withColumn(
+    return t.customer.withColumn("c_name", F.when(F.col("c_nationkey") >= 6, F.col("c_name"))).withColumn(
         "c_acctbal", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")))
 
 
@@ -31,7 +31,7 @@ def _(t):
     return profiling.overview(t.lineitem.select("l_partkey", "l_linenumber", "l_returnflag"))
 
 
-@query("k01_missing", """select 'c_name' as "column", round(avg((c_custkey % 4 = 0)::int) * 100, 2) as null_pct from customer
+@query("k01_missing", """select 'c_name' as "column", round(avg((c_nationkey < 6)::int) * 100, 2) as null_pct from customer
   union all select 'c_acctbal', round(avg((not c_acctbal > 0)::int) * 100, 2) from customer having avg((not c_acctbal > 0)::int) > 0""")
 def _(t):
     return profiling.missing(_nullable(t))

@@ -20,25 +20,26 @@ def _orders(t):
     return t.orders.select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"), "o_totalprice")
 
 
-_UPSERT = """select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, case when o_orderkey % 5 = 0 then 'new' else o_orderstatus end as o_orderstatus,
-  case when o_orderkey % 5 = 0 then 1::bigint end as revision from orders"""
+_UPSERT = """select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, case when o_orderdate >= timestamp '1999-01-01' then 'new' else o_orderstatus end as o_orderstatus,
+  case when o_orderdate >= timestamp '1999-01-01' then 1::bigint end as revision from orders"""
 
 
 @query("i01_delete_insert", _UPSERT)
 def _(t):
-    """Old rows without every seventh key; the batch replaces or adds every fifth and brings a new column."""
+    """The table up to 2000; a batch from 1999 on replaces or adds rows and brings a new column."""
     rows = _orders(t).select("o_orderkey", "day", "o_orderstatus")
-    batch = rows.filter("o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("new")).withColumn("revision", F.lit(1))
-    return incremental.delete_insert(rows.filter("o_orderkey % 35 <> 0"), batch, "o_orderkey")
+    batch = rows.filter("day >= date'1999-01-01'").withColumn("o_orderstatus", F.lit("new")).withColumn("revision", F.lit(1))
+    return incremental.delete_insert(rows.filter("day < date'2000-01-01'"), batch, "o_orderkey")
 
 
-@query("i01_upsert_partitions", """select year(o_orderdate)::bigint as year, o_orderkey % 4 = 0 and year(o_orderdate) >= 2000 as replaced, count(*) as n,
-  round(sum(case when o_orderkey % 4 = 0 and year(o_orderdate) >= 2000 then 1 else o_totalprice end::decimal(18,6))::double, 6) as total from orders group by 1, 2""")
+@query("i01_upsert_partitions", """select year(o_orderdate)::bigint as year, o_orderpriority = '1-URGENT' and year(o_orderdate) >= 2000 as replaced, count(*) as n,
+  round(sum(case when o_orderpriority = '1-URGENT' and year(o_orderdate) >= 2000 then 1 else o_totalprice end::decimal(18,6))::double, 6) as total from orders group by 1, 2""")
 def _(t):
-    """A written table whose last years are upserted in place."""
+    """A written table whose urgent orders of the last years are upserted in place."""
     path = fresh_dir(t.spark, "upsert")
-    rows = _orders(t).withColumn("year", F.year("day")).withColumn("replaced", F.lit(False))
-    batch = rows.filter("year >= 2000 and o_orderkey % 4 = 0").withColumn("o_totalprice", F.lit(1.0)).withColumn("replaced", F.lit(True))
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority", F.year("o_orderdate").alias("year"), F.lit(False).alias("replaced"))
+    urgent = rows.filter("year >= 2000 and o_orderpriority = '1-URGENT'")
+    batch = urgent.withColumn("o_totalprice", F.lit(1.0)).withColumn("replaced", F.lit(True))
     upsert_partitions(t.spark, path, rows, ("o_orderkey",), "year")
     table = upsert_partitions(t.spark, path, batch, ("o_orderkey",), "year")
     return table.groupBy("year", "replaced").agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,6)")).alias("total"))
@@ -100,13 +101,14 @@ def _(t):
     return silver.fx_rates_daily(feeds.fx_daily(t))
 
 
-@query("i08_dense_fill_orders", """with v as (select o_orderpriority, o_orderdate::date as day, max(o_totalprice) as top from orders where o_totalprice > 490000 group by all)
-  select g.o_orderpriority, strftime(g.d, '%Y-%m-%d') as day, round(v.top, 6) as top, v.day is distinct from g.d as is_forward_filled
-  from (select distinct o_orderpriority, d from v, (select unnest(generate_series(min(day), max(day), interval 1 day))::date as d from v)) g
-  asof left join v on v.o_orderpriority = g.o_orderpriority and g.d >= v.day""")
+@query("i08_dense_fill_orders", """with v as (select c_nationkey::bigint as nation, o_orderdate::date as day, max(o_totalprice) as top from orders join customer on o_custkey = c_custkey group by all)
+  select g.nation, strftime(g.d, '%Y-%m-%d') as day, round(v.top, 6) as top, v.day is distinct from g.d as is_forward_filled
+  from (select distinct nation, d from v, (select unnest(generate_series(min(day), max(day), interval 1 day))::date as d from v)) g
+  asof left join v on v.nation = g.nation and g.d >= v.day""")
 def _(t):
-    sparse = t.orders.filter("o_totalprice > 490000").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(F.max("o_totalprice").alias("top"))
-    return dense_forward_fill(sparse, "o_orderpriority", "day")
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    daily = joined.groupBy(F.col("c_nationkey").alias("nation"), F.to_date("o_orderdate").alias("day")).agg(F.max("o_totalprice").alias("top"))
+    return dense_forward_fill(daily, "nation", "day")
 
 
 @query("i09_currency", f"select {pick('t hour_start_ts_utc, f price_eur_mwh, f eur_czk_rate, s is_eur_rate_estimated, f price_czk_mwh')} from g_energy")
@@ -256,11 +258,11 @@ def _(t):
 
 
 @query("j10_versions_do_not_overlap", """select station_id, station_key from g_station where false
-  union all select 'S' || s_suppkey, 'late' from supplier where s_suppkey % 4 = 0""")
+  union all select 'S' || s_suppkey, 'late' from supplier""")
 def _(t):
     """The built dimension has no overlap; versions that start a day early are reported."""
     stations = feeds.g_station(t).select("station_id", "station_key", "valid_from_ts_utc", "valid_to_ts_utc")
-    early = t.supplier.filter("s_suppkey % 4 = 0").select(
+    early = t.supplier.select(
         F.format_string("S%d", "s_suppkey").alias("station_id"), F.lit("late").alias("station_key"),
         F.lit(datetime(9999, 12, 30)).alias("valid_from_ts_utc"), F.lit(datetime(9999, 12, 31)).alias("valid_to_ts_utc"))
     return joins.overlapping_versions(stations.union(early), "station_id", "station_key").select("station_id", "station_key")

@@ -196,13 +196,13 @@ def _(t):
     return spatial_join(points, polygons, cell=0.02).select("counter_id", "district_slug")
 
 
-@query("c06_dense_grid", """select strftime(d, '%Y-%m-%d') as day, event_type, coalesce(n, 0) as n, n is null as is_forward_filled
-  from (select d, event_type from (select unnest(generate_series(min(ts)::date, max(ts)::date, interval 1 day))::date as d from events where value > 15),
-       (select distinct event_type from events where value > 15))
-  left join (select ts::date as d, event_type, count(*) as n from events where value > 15 group by all) using (d, event_type)""")
+@query("c06_dense_grid", """with v as (select ts::date as d, user_id, count(*) as n from events group by all)
+  select strftime(d, '%Y-%m-%d') as day, user_id, coalesce(n, 0) as n, n is null as is_forward_filled
+  from (select d, user_id from (select unnest(generate_series(min(d), max(d), interval 1 day))::date as d from v), (select distinct user_id from v))
+  left join v using (d, user_id)""")
 def _(t):
-    daily = t.events.filter("value > 15").groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
-    return densify(daily, "event_type", "day").withColumn("n", F.coalesce("n", F.lit(0)))
+    daily = t.events.groupBy(F.to_date("ts").alias("day"), "user_id").agg(F.count("*").alias("n"))
+    return densify(daily, "user_id", "day").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 @query("c07_one_row_relation", """select o_orderkey, round(o_totalprice * (select arg_max(o_totalprice, (o_orderdate, o_orderkey)) from orders) / 1000000, 3) as scaled from orders""")
@@ -390,10 +390,10 @@ def _(t):
         "event_id", json_text("props", "$.k").alias("k_text"), json_double("props", "$.k").alias("k_double"), json_int("props", "$.k").alias("k_int"))
 
 
-@query("h12_json_explode", "select event_id, unnest([user_id, event_id % 3]) as item from events where event_id % 4 <> 0")
+@query("h12_json_explode", "select event_id, unnest([user_id, event_id % 3]) as item from events where event_type <> 'error'")
 def _(t):
-    """Every fourth row holds an empty array and yields nothing."""
-    text = F.when(F.col("event_id") % 4 == 0, F.lit("[]")).otherwise(F.to_json(F.array("user_id", F.expr("event_id % 3"))))
+    """Errors hold an empty array and yield nothing."""
+    text = F.when(F.col("event_type") == "error", F.lit("[]")).otherwise(F.to_json(F.array("user_id", F.expr("event_id % 3"))))
     return t.events.select("event_id", F.explode(F.from_json(text, "array<bigint>")).alias("item"))
 
 

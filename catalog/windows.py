@@ -25,24 +25,24 @@ def _(t):
     return latest_version(feeds.air_stations(t), "id").select("id", "name", "first_seen_date", "last_listed_date", "is_listed")
 
 
-@query("e03_forward_fill", """select event_id, last_value(case when event_id % 4 = 0 then value end ignore nulls) over w as known, last_value(case when event_type = 'error' then event_id end ignore nulls) over w as last_error
+@query("e03_forward_fill", """select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over w as known, last_value(case when event_type = 'error' then event_id end ignore nulls) over w as last_error
   from events window w as (partition by user_id order by ts, event_id rows between unbounded preceding and current row)""")
 def _(t):
     rows = t.events.select(
-        "user_id", "ts", "event_id", F.when(F.col("event_id") % 4 == 0, F.col("value")).alias("known"),
+        "user_id", "ts", "event_id", F.when(F.col("event_type") == "purchase", F.col("value")).alias("known"),
         F.when(F.col("event_type") == "error", F.col("event_id")).alias("last_error"))
     cut = ordered.cut_long_groups(rows, "user_id", ["ts", "event_id"])
     return ordered.forward_fill(cut, "user_id", ["ts", "event_id"], ["known", "last_error"], SLICE).select(
         "event_id", "known", "last_error")
 
 
-@query("e03_daily_fill", f"""select strftime(g.d, '%Y-%m-%d') as day, g.event_type, v.n, v.d is distinct from g.d as is_forward_filled
-  from (select d, event_type from (select unnest(generate_series(min(ts)::date, max(ts)::date, interval 1 day))::date as d from events where user_id % 10 = 1 and value > 15),
-    (select distinct event_type from events where user_id % 10 = 1 and value > 15)) g
-  asof left join (select ts::date as d, event_type, count(*) as n from events where user_id % 10 = 1 and value > 15 group by all) v on v.event_type = g.event_type and g.d >= v.d""")
+@query("e03_daily_fill", """with v as (select ts::date as d, user_id, count(*) as n from events group by all)
+  select strftime(g.d, '%Y-%m-%d') as day, g.user_id, v.n, v.d is distinct from g.d as is_forward_filled
+  from (select d, user_id from (select unnest(generate_series(min(d), max(d), interval 1 day))::date as d from v), (select distinct user_id from v)) g
+  asof left join v on v.user_id = g.user_id and g.d >= v.d""")
 def _(t):
-    sparse = t.events.filter("user_id % 10 = 1 and value > 15").groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
-    return dense_forward_fill(sparse, "event_type", "day")
+    daily = t.events.groupBy(F.to_date("ts").alias("day"), "user_id").agg(F.count("*").alias("n"))
+    return dense_forward_fill(daily, "user_id", "day")
 
 
 _STATUS = """select o_custkey, o_orderkey, o_orderstatus, coalesce(o_orderstatus <> lag(o_orderstatus) over w, true) as starts_version
