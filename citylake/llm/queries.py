@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citylake.llm import decontamination
-from citylake.llm.common import table
+from citylake.llm import decontamination, language
+from citylake.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,12 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         decontamination.is_contaminated().alias("contaminated"),
     )
+
+
+@query()
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.learn(docs.where(remainder("doc_id", 4) != 2))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )

@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citylake.llm import decontamination
-from citylake.llm.common import table, written
+from citylake.llm import decontamination, language
+from citylake.llm.common import remainder, table, written
+
+
+# A document stays if its language makes up half of it or more.
+LEAST_SHARE = 0.5
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those in which no language reaches half of the text, go."""
+    model = language.learn(docs.where(remainder("doc_id", 4) != 2))
+    own = {c: f"{c}__own" if c.lower() in ("lang_pred", "score") else c for c in docs.columns}
+    found = language.identify(docs.select(*(F.col(f"`{c}`").alias(own[c]) for c in docs.columns)), model)
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    return kept.select(*(F.col(f"`{own[c]}`").alias(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +27,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 STAGES = [
+    ("language", keep_known_language),
     ("decontamination", drop_contaminated),
 ]
 
