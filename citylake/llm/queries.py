@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citylake.llm import decontamination, language
+from citylake.llm import decontamination, language, quality
 from citylake.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,14 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query()
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    network = quality.learn(docs, labels.where(remainder("doc_id", 5) != 0))
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return quality.score(docs.select("doc_id", "text"), network).select(
+        "doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted")
+    )
