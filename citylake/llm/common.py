@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from citylake.session import configure, cut_lineage, fresh_dir
 
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 << 20
+# Rows of a group that are numbered or summed up together.
+RUN = 512
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -67,3 +69,27 @@ def char_offsets(raw: bytes, positions: np.ndarray) -> list[int]:
         at = position
         found.append(count)
     return found
+
+
+def small(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A few rows the driver holds anyway, as a literal of the plan; types int, long, double, string."""
+    types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string()}
+    fields = [pa.field(name, types[kind]) for name, kind in (x.split() for x in schema.split(", "))]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return spark.createDataFrame(pa.table([pa.array(v, f.type) for v, f in zip(columns, fields, strict=True)], schema=pa.schema(fields)))
+
+
+def running(rows: DataFrame, group: str, order: list[str], weight: Column | None = None, per: int = RUN) -> DataFrame:
+    """The rows with `_before`: the sum of the weights of the rows before each in its group, without bringing a group together.
+
+    Rows are dealt to buckets of about `per` rows by a hash of the order columns; a bucket starts where the sums of the
+    buckets before it end. Without a weight this numbers the rows of a group from 0 without gaps.
+    """
+    buckets = 1 + rows.count() // per
+    dealt = rows.withColumns({"_bucket": F.pmod(F.xxhash64(*order), F.lit(buckets)), "_weight": F.lit(1) if weight is None else weight})
+    sums = dealt.groupBy(group, "_bucket").agg(F.sum("_weight").alias("_sum"))
+    ahead = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(group, "_bucket", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("_inside", F.coalesce(F.sum("_weight").over(within), F.lit(0))).join(starts, [group, "_bucket"])
+    return placed.withColumn("_before", F.col("_start") + F.col("_inside")).drop("_bucket", "_weight", "_start", "_inside")

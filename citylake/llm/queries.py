@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citylake.llm import decontamination, language, quality
-from citylake.llm.common import remainder, table
+from citylake.llm import decontamination, language, mixing, quality, sharding
+from citylake.llm.common import remainder, running, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+SHARD_DIMENSIONS = ["lang", "source", "n_chars"]
+
 
 def query(sql: str | None = None):
     """Registers fn(spark, folder) -> DataFrame under its own name."""
@@ -85,3 +87,24 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs.select("doc_id", "text"), network).select(
         "doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted")
     )
+
+
+@query()
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tree = sharding.plan(docs, SHARD_DIMENSIONS, shards=24)
+    slim = sharding.assign(docs, tree, SHARD_DIMENSIONS).select(
+        "doc_id",
+        sharding.size_of().alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.col("_node").alias("shard"),
+    )
+    return running(slim, "shard", ["doc_id", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("_before").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query()
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return mixing.taken(mixing.plan(docs)).select("doc_id", "size", "source_size", "target", "taken")
