@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citylake.llm import decontamination, language, mixing, quality, sharding
+from citylake.llm import decontamination, language, mixing, neardup, quality, sharding
 from citylake.llm.common import remainder, running, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return mixing.taken(mixing.plan(docs)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.classes(table(spark, folder, "documents").select("doc_id", "text"))
