@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citylake.llm import decontamination, language, mixing, neardup, quality, sharding
+from citylake.llm import decontamination, language, lines, mixing, neardup, quality, sharding
 from citylake.llm.common import remainder, running, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,26 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query(
+    """
+    with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
+    lines as (
+        select doc_id, i, parts[i] as line,
+            translate(trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+        from d, unnest(range(1, len(parts) + 1)) as t(i)),
+    repeated as (
+        select key, min(doc_id) as first from lines where length(key) >= 10
+        group by key having count(distinct doc_id) >= 2),
+    marked as (select l.*, r.first is not null and l.doc_id > r.first as gone from lines l left join repeated r using (key))
+    select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+    from marked group by doc_id
+    """
+)
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = lines.LineIndex(spark).insert(docs).clean(docs, inserted=True)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
