@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField
 
-from citylake.llm import decontamination, language, lines, mixing, neardup, quality, sharding
+from citylake.llm import decontamination, language, lines, mixing, neardup, phrases, quality, sharding, suffixes
 from citylake.llm.common import remainder, running, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +139,30 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     cleaned = lines.LineIndex(spark).insert(docs).clean(docs, inserted=True)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def digest(cut):
+    """A finishing step that returns the SHA-256 of what is left instead of it."""
+
+    def finish(raw: bytes, spans: list[tuple[int, int]]) -> tuple:
+        *numbers, kept = cut(raw, spans)
+        return (*numbers, hashlib.sha256(kept if isinstance(kept, bytes) else kept.encode()).hexdigest())
+
+    return finish
+
+
+def digest_fields(fields: list) -> list:
+    return [*fields[:-1], (StructField("kept_sha256", StringType()), pa.string())]
+
+
+@query()
+def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    family = suffixes.SuffixFamily(spark).add(docs)
+    return family.clean(docs, finish=digest(suffixes.cut_bytes), fields=digest_fields(suffixes.CUT))
+
+
+@query()
+def op7_recurring_passages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return phrases.clean(docs, finish=digest(phrases.cut_words), fields=digest_fields(phrases.CUT))
