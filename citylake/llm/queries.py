@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField
 
-from citylake.llm import decontamination, language, lines, mixing, neardup, phrases, quality, sharding, suffixes
+from citylake.llm import decontamination, hnsw, language, lines, mixing, neardup, phrases, quality, sharding, suffixes
 from citylake.llm.common import remainder, running, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,8 @@ def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
 def op7_recurring_passages(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return phrases.clean(docs, finish=digest(phrases.cut_words), fields=digest_fields(phrases.CUT))
+
+
+@query()
+def op10_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.search(table(spark, folder, "embeddings"), every=20)
