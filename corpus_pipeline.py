@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citylake.llm import decontamination, language
+from citylake.llm import decontamination, language, mixing, neardup, sharding
 from citylake.llm.common import remainder, table, written
 
 
 # A document stays if its language makes up half of it or more.
 LEAST_SHARE = 0.5
+SHARDS = 24
+SHARD_DIMENSIONS = ["lang", "source", "n_chars"]
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,14 +23,40 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return kept.select(*(F.col(f"`{own[c]}`").alias(c) for c in docs.columns))
 
 
+def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id stays."""
+    return neardup.representatives(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more stands in benchmark passages go."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: whole copies of `taken` words, the rest rounded by a hash of the id.
+
+    A document with 1.4 times its words taken comes once or, in four of ten cases, twice; one that is not taken goes.
+    """
+    mix = mixing.plan(docs)
+    given = mixing.taken(mix).where("size > 0").groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+    part = F.pmod(F.xxhash64("doc_id", F.lit(mix.seed)), F.lit(1 << 20)) / (1 << 20)
+    times = given.select(F.col("doc_id").alias("_id"), F.floor(F.col("_taken") / F.col("_size") + part).cast("int").alias("_times")).where("_times > 0")
+    repeated = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"])).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their shard and their place in it; shards hold nearly equal bytes."""
+    return sharding.shard(docs, SHARD_DIMENSIONS, shards=SHARDS)
+
+
 STAGES = [
     ("language", keep_known_language),
+    ("near_duplicates", keep_representatives),
     ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("sharding", shard_documents),
 ]
 
 # EM, sketches and draws have no SQL; tests/llm/test_pipeline.py holds the result against a brute-force version.
