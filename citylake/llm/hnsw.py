@@ -138,6 +138,30 @@ def linked(graph: Graph, level: int, size: int, most: int) -> None:
         done = int(batch[-1]) + 1
 
 
+def connected(links: np.ndarray) -> np.ndarray:
+    """The links with further columns, so that every node can be reached from the first: a node that no search would
+    find becomes a guest of a neighbour that can be reached."""
+    seen, guests = np.zeros(len(links), bool), {}
+    front = np.array([0])
+    while True:
+        while len(front):
+            seen[front] = True
+            front = np.unique(links[front])
+            front = front[(front >= 0) & ~seen[front]]
+        lost = np.flatnonzero(~seen)
+        if not len(lost):
+            break
+        fit = (links[lost] >= 0) & seen[links[lost]]
+        held = fit.any(axis=1)
+        front, hosts = (lost[held], links[lost[held], fit[held].argmax(axis=1)]) if held.any() else (lost[:1], np.array([0]))
+        for host, guest in zip(hosts.tolist(), front.tolist(), strict=True):
+            guests.setdefault(host, []).append(guest)
+    more = np.full((len(links), max(map(len, guests.values()), default=0)), -1)
+    for host, own in guests.items():
+        more[host, : len(own)] = own
+    return np.concatenate([links, more], axis=1)
+
+
 def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
     """Vectors with one more component that gives all the same length, so that the nearest is the largest product."""
     scaled = vectors / longest
@@ -154,6 +178,7 @@ def built(vectors: np.ndarray, longest: float, seed: int) -> tuple[Graph, np.nda
     graph = Graph(lifted(vectors[order], longest), [np.zeros((0, 0), np.int64)] * len(sizes))
     for level in reversed(range(len(sizes))):
         linked(graph, level, sizes[level], LINKS if level else 2 * LINKS)
+    graph.levels[0] = connected(graph.levels[0])
     return graph, order
 
 
@@ -199,7 +224,8 @@ def _by_dim(values: dict[int, int]):
 def read(row: pd.Series) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     """Graph, vectors, ids and where the ids of each node begin, from a row of the index."""
     vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, int(row["dim"]))
-    links = [np.frombuffer(x, np.int32).reshape(-1, LINKS if level else 2 * LINKS).astype(np.int64) for level, x in enumerate(row["levels"])]
+    shapes = [(len(vectors), -1)] + [(-1, LINKS)] * (len(row["levels"]) - 1)
+    links = [np.frombuffer(x, np.int32).reshape(shape).astype(np.int64) for x, shape in zip(row["levels"], shapes, strict=True)]
     length = np.sqrt(np.einsum("nd,nd->n", vectors, vectors).max())
     return Graph(lifted(vectors, float(length)), links), vectors, np.frombuffer(row["ids"], np.int64), np.frombuffer(row["starts"], np.int64)
 

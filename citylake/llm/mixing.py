@@ -38,6 +38,7 @@ class Mix:
     rows: DataFrame
     draws: list[tuple[int, int, int, int]]
     seed: int
+    block: int
 
 
 def words(text: str = "text") -> Column:
@@ -115,7 +116,7 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     numbers = small(docs.sparkSession, "_name string, _s int, source_size long, target double", [(s.name, i, s.size, s.target) for i, s in enumerate(sources)])
     rows = slim.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
     rows = running(rows, "_s", ["doc_id", "size"], F.col("size"))
-    return Mix(sources, rows, multinomial_draws([s.drawn for s in sources], shards, seed), seed)
+    return Mix(sources, rows, multinomial_draws([s.drawn for s in sources], shards, seed), seed, block)
 
 
 def slots(mix: Mix) -> DataFrame:
@@ -147,9 +148,9 @@ def slots(mix: Mix) -> DataFrame:
     return spread.mapInArrow(draw, "shard int, position long, _s int, _block long")
 
 
-def pieces(mix: Mix, block: int = BLOCK) -> DataFrame:
+def pieces(mix: Mix) -> DataFrame:
     """The parts of the documents that lie in each block: `_from` word, `_words` words."""
-    rows = mix.rows.where("size > 0")
+    rows, block = mix.rows.where("size > 0"), mix.block
     cut = rows.withColumn("_block", F.explode(F.expr(f"sequence(_before div {block}, (_before + size - 1) div {block})")))
     start = F.greatest(F.col("_before"), F.col("_block") * block)
     end = F.least(F.col("_before") + F.col("size"), (F.col("_block") + 1) * block)
