@@ -37,9 +37,16 @@ def _(t):
     return profiling.missing(_nullable(t))
 
 
-@query("k02_sample_size", "select least(count(*), 50000) as profiled_rows, count(*) as total_rows, count(*) > 50000 as sampled from lineitem")
+@query("k02_whole_table_profile", """select 'l_quantity' as "column", count(*) as total_rows, count(*) - (select count(*) from (select distinct l_orderkey, l_partkey, l_quantity from lineitem)) as duplicate_rows,
+    count(l_quantity) as n, count(*) - count(l_quantity) as n_null, min(l_quantity)::double as low, max(l_quantity)::double as high, round(avg(l_quantity), 6) as mean from lineitem
+  union all select 'l_partkey', count(*), count(*) - (select count(*) from (select distinct l_orderkey, l_partkey, l_quantity from lineitem)),
+    count(l_partkey), count(*) - count(l_partkey), min(l_partkey), max(l_partkey), round(avg(l_partkey), 6) from lineitem""")
 def _(t):
-    return profiling.profile(t.lineitem.select("l_orderkey", "l_partkey"))["overview"].select("profiled_rows", "total_rows", "sampled")
+    parts = profiling.profile(t.lineitem.select("l_orderkey", "l_partkey", "l_quantity"))
+    columns = parts["columns"].where("column <> 'l_orderkey'")
+    whole = {c: parts["overview"].select(c).scalar() for c in ("total_rows", "duplicate_rows")}
+    return columns.withColumns(whole).select(
+        "column", "total_rows", "duplicate_rows", "n", "n_null", F.col("min").cast("double").alias("low"), F.col("max").cast("double").alias("high"), "mean")
 
 
 @query("k03_naive_utc", "select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts from events")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from citylake.functions.columns import rounded_int
 from citylake.functions.geo import point_lon_lat
+from citylake.functions.json import strict_json
 from citylake.functions.time import hour_start, instant, local_ts, span
 from citylake.operators.dedup import latest_version, latest_wins
 from citylake.operators.fill import dense_forward_fill
@@ -13,7 +14,7 @@ from citylake.operators.resample import hourly_statistics
 from citylake.operators.scd2 import add_inferred
 from citylake.operators.spatial import spatial_join
 
-MEASUREMENT = "AQ_hourly_index string, components array<struct<type:string,averaged_time:struct<averaged_hours:string,value:double>>>"
+MEASUREMENT = "struct<AQ_hourly_index:string,components:array<struct<type:string,averaged_time:struct<averaged_hours:string,value:double>>>>"
 DIRECTIONS = "array<struct<id:string,name:string>>"
 
 
@@ -71,7 +72,7 @@ def air_measurements(history: DataFrame) -> DataFrame:
     latest = latest_wins(
         published, ["station_id", "measured_hour_start_ts_utc"], ["published_ts_utc", "loaded_at_ts_utc"]
     )
-    parsed = latest.withColumn("_m", F.from_json("measurement", MEASUREMENT)).withColumn(
+    parsed = latest.withColumn("_m", strict_json("measurement", MEASUREMENT, "station_id")).withColumn(
         "_c", F.explode("_m.components")
     )
     return parsed.select(
@@ -113,7 +114,7 @@ def bike_counters(bronze: DataFrame, detections: DataFrame, districts: DataFrame
 def bike_directions(bronze: DataFrame) -> DataFrame:
     """Directions of the latest catalogue entry of every counter; placeholders without an id are dropped."""
     latest = latest_version(bronze.select("id", "directions", "_loaded_at", "load_date"), "id")
-    pairs = latest.select(F.col("id").alias("counter_id"), F.explode(F.from_json("directions", DIRECTIONS)).alias("d"))
+    pairs = latest.select(F.col("id").alias("counter_id"), F.explode(strict_json("directions", DIRECTIONS, "id")).alias("d"))
     return pairs.select(
         "counter_id", F.col("d.id").alias("direction_id"), F.col("d.name").alias("direction_name")
     ).filter("direction_id is not null")

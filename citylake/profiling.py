@@ -9,13 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, TimestampType
 
 from citylake.operators.ordered import SLICE, cut_long_groups, running_sum
-from citylake.operators.sampling import exact_sample
 from citylake.operators.stats import duplicate_rows, null_share
 
-# Sampling and detail limits of a profile.
-SAMPLE_ROWS = 50_000
-DETAIL_ROWS = 10_000
-SAMPLE_SEED = 42
 TOP_MISSING = 5
 
 
@@ -51,7 +46,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def column_statistics(df: DataFrame) -> DataFrame:
-    """One pass: count, approximate distinct count, minimum, maximum, mean and deviation of every column."""
+    """One pass: count, nulls, approximate distinct count, minimum, maximum, mean and deviation of every column."""
     numeric = set(numeric_columns(df))
 
     def row(name: str) -> Column:
@@ -60,6 +55,7 @@ def column_statistics(df: DataFrame) -> DataFrame:
         return F.struct(
             F.lit(name).alias("column"),
             F.count(value).alias("n"),
+            F.count_if(value.isNull()).alias("n_null"),
             F.approx_count_distinct(value).alias("n_distinct_approx"),
             F.min(value).cast("string").alias("min"),
             F.max(value).cast("string").alias("max"),
@@ -105,22 +101,15 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return result.withColumn("_c", F.get(names, "pair")).select("_c.*", "pearson", "spearman")
 
 
-def profile(df: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> dict[str, DataFrame]:
-    """All parts of a table profile; large tables are profiled on a reproducible exact sample."""
-    total = df.count()
-    rows = naive_utc(exact_sample(df, sample_rows, seed) if total > sample_rows else df)
-    profiled = min(total, sample_rows)
-    parts = {
-        "overview": overview(rows)
-        .withColumnRenamed("total_rows", "profiled_rows")
-        .withColumn("total_rows", F.lit(total))
-        .withColumn("sampled", F.lit(profiled < total)),
+def profile(df: DataFrame) -> dict[str, DataFrame]:
+    """All parts of a table profile, from all rows whatever their number."""
+    rows = naive_utc(df)
+    return {
+        "overview": overview(rows),
         "missing": missing(rows),
         "columns": column_statistics(rows),
+        "correlations": correlation_matrix(rows),
     }
-    if profiled <= DETAIL_ROWS:
-        parts["correlations"] = correlation_matrix(rows)
-    return parts
 
 
 def catalogue(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -224,8 +224,8 @@ class QualityError(RuntimeError):
 
 
 def enforce(result: DataFrame) -> DataFrame:
-    """Raises when a check of severity error failed; drift checks only report."""
-    failed = result.filter("status = 'fail'").select("table_name", "check_name", "failures").limit(20).collect()
+    """Raises when a check of severity error failed and names every one of them; drift checks only report."""
+    failed = result.filter("status = 'fail'").select("table_name", "check_name", "failures").collect()
     if failed:
         raise QualityError("; ".join(f"{r.table_name}.{r.check_name}: {r.failures}" for r in failed))
     return result

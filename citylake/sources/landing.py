@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from citylake.functions.columns import ColumnOrName, as_col
 from citylake.sources.schemas import BRONZE
 
-FIRST_RUN_DAYS = 90
 # Days that sources with late uploads or revisions load again.
 RELOAD_DAYS = {"bike_detections": 3, "weather_hourly": 3}
 STATE = "_load_state"
@@ -113,20 +112,21 @@ def resolve_window(
     start: date | None = None,
     end: date | None = None,
     reload_days: int = 0,
-    first_run_days: int = FIRST_RUN_DAYS,
     clamp_future: bool = False,
 ) -> tuple[date, date]:
     """Days to load, both ends included.
 
     An explicit start wins. Otherwise the last loaded day is loaded again, `reload_days` earlier for sources
-    that revise, or `first_run_days` back on the first run. `clamp_future` is for sources that invent or
-    reject future days.
+    that revise. A first run needs a start: nothing says how far back its files reach. `clamp_future` is for
+    sources that invent or reject future days.
     """
     if clamp_future and end is not None:
         end = min(end, today)
     end = end or today
     if start is None:
-        start = today - timedelta(days=first_run_days) if last is None else last - timedelta(days=reload_days)
+        if last is None:
+            raise ValueError("a first run needs a start day")
+        start = last - timedelta(days=reload_days)
     if start > end:
         raise ValueError(f"start {start} is after end {end}")
     return start, end

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citylake.functions.columns import ColumnOrName, as_col
+from citylake.functions.json import strict_json
 from citylake.sources.schemas import WEATHER_VARIABLES
 
 
@@ -21,18 +22,30 @@ def _others(df: DataFrame, *dropped: str) -> list[Column]:
     return [F.col(c) for c in df.columns if c not in dropped]
 
 
+def _place(df: DataFrame) -> Column | None:
+    """Where a payload came from, if the rows say so."""
+    return F.col("file_path") if "file_path" in df.columns else None
+
+
 def explode_features(df: DataFrame, properties: str, payload: str = "payload") -> DataFrame:
-    """GeoJSON FeatureCollection to one row per feature: its properties and the geometry as JSON text."""
-    shape = f"features array<struct<properties:struct<{_colon(properties)}>,geometry:string>>"
-    features = F.from_json(payload, shape)["features"]
+    """GeoJSON FeatureCollection to one row per feature: its properties and the geometry as JSON text.
+
+    A payload that cannot be read is an error that names its file.
+    """
+    shape = f"struct<features:array<struct<properties:struct<{_colon(properties)}>,geometry:string>>>"
+    features = strict_json(payload, shape, _place(df))["features"]
     rows = df.select(*_others(df, payload), F.explode(features).alias("f"))
     return rows.select(*_others(rows, "f"), "f.properties.*", F.col("f.geometry").alias("geometry"))
 
 
 def explode_records(df: DataFrame, fields: str, root: str | None = None, payload: str = "payload") -> DataFrame:
-    """JSON record list, top level or under `root`; a missing or empty list gives no rows."""
+    """JSON record list, top level or under `root`; a missing or empty list gives no rows.
+
+    A payload that cannot be read is an error that names its file.
+    """
     records = f"array<struct<{_colon(fields)}>>"
-    parsed = F.from_json(payload, f"{root} {records}")[root] if root else F.from_json(payload, records)
+    where = _place(df)
+    parsed = strict_json(payload, f"struct<{root}:{records}>", where)[root] if root else strict_json(payload, records, where)
     rows = df.select(*_others(df, payload), F.explode(parsed).alias("r"))
     return rows.select(*_others(rows, "r"), "r.*")
 
@@ -85,42 +98,70 @@ def unzip_columnar(
     )
 
 
-# Time format of a market document, and the resolutions a series may declare, in minutes.
+# Time format of a market document, its fixed-interval and compressed curve types.
 INTERVAL_FORMAT = "yyyy-MM-dd'T'HH:mm[:ss]XXX"
-RESOLUTION_MINUTES = {"PT1M": 1, "PT5M": 5, "PT15M": 15, "PT30M": 30, "PT60M": 60, "PT1H": 60}
+FIXED, COMPRESSED = "A01", "A03"
+DURATION = r"^P(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?)?$"
+
+
+def _minutes(resolution: Column) -> Column:
+    """Length of an ISO duration of days, hours and minutes; null for any other."""
+    parts = [F.regexp_extract(resolution, DURATION, i).try_cast("int") for i in (1, 2, 3)]
+    days, hours, minutes = (F.coalesce(p, F.lit(0)) for p in parts)
+    total = days * 1440 + hours * 60 + minutes
+    return F.when(resolution.rlike(DURATION) & (total > 0), total)
 
 
 def xml_points(df: DataFrame, value_field: str, unit: str, area_code: str, payload: str = "payload") -> DataFrame:
     """XML market document to (ts_utc, value, unit, area_code).
 
-    A point stands for its own interval and all following ones up to the next point or the period end, so
-    positions a compressed curve leaves out repeat the value before them. Acknowledgement documents hold no
-    series and give no rows.
+    In a compressed curve a point also stands for all following intervals up to the next point or the period end; in
+    a curve of fixed intervals a position that is left out has no value. A resolution that is no duration, a period
+    without instants, another curve type or a document that cannot be read is an error. Acknowledgement documents
+    hold no series and give no rows.
     """
     period = (
         "struct<timeInterval:struct<start:string,`end`:string>,resolution:string,"
         f"Point:array<struct<position:int,`{value_field}`:double>>>"
     )
-    document = F.from_xml(payload, f"TimeSeries array<struct<Period:array<{period}>>>")
-    periods = df.select(*_others(df, payload), F.explode(document["TimeSeries"]).alias("t")).select(
-        *_others(df, payload), F.explode("t.Period").alias("d")
+    document = F.from_xml(
+        payload,
+        f"TimeSeries array<struct<curveType:string,Period:array<{period}>>>, unreadable string",
+        {"columnNameOfCorruptRecord": "unreadable"},
+    )
+    named = F.concat(F.coalesce(_place(df) if _place(df) is not None else F.lit(None), F.lit("document")), F.lit(": "))
+    text = F.col(payload)
+    bad = text.isNotNull() & (F.trim(text) != "") & (document.isNull() | document["unreadable"].isNotNull())
+    series = F.when(bad, F.raise_error(F.concat(named, F.lit("unreadable XML: "), F.left(text, F.lit(200))))).otherwise(
+        document["TimeSeries"]
+    )
+    others = _others(df, payload)
+    periods = df.select(*others, named.alias("_named"), F.explode(series).alias("t")).select(
+        *others, "_named", F.coalesce("t.curveType", F.lit(FIXED)).alias("_curve"), F.explode("t.Period").alias("d")
+    )
+
+    def required(value: Column, what: str) -> Column:
+        return F.coalesce(value, F.raise_error(F.concat(F.col("_named"), F.lit(what))))
+
+    minutes = required(_minutes(F.col("d.resolution")), "no resolution that is a duration")
+    start = required(F.to_timestamp("d.timeInterval.start", INTERVAL_FORMAT), "no start")
+    end = required(F.to_timestamp("d.timeInterval.end", INTERVAL_FORMAT), "no end")
+    curve = F.when(F.col("_curve").isin(FIXED, COMPRESSED), F.col("_curve")).otherwise(
+        F.raise_error(F.concat(F.col("_named"), F.lit("curve type "), F.col("_curve")))
     )
-    minutes = F.lit(None).cast("int")
-    for code, length in RESOLUTION_MINUTES.items():
-        minutes = F.when(F.col("d.resolution") == code, length).otherwise(minutes)
-    start, end = (F.to_timestamp(f"d.timeInterval.{side}", INTERVAL_FORMAT) for side in ("start", "end"))
     points = F.sort_array(
         F.transform("d.Point", lambda p: F.struct(p["position"].alias("position"), p[value_field].alias("value")))
     )
     typed = periods.select(
-        *_others(df, payload), start.alias("_start"), minutes.alias("_minutes"), points.alias("_points"),
-        F.floor(F.timestamp_diff("MINUTE", start, end) / minutes).cast("int").alias("_count"),
-    )
+        *others, start.alias("_start"), end.alias("_end"), minutes.alias("_minutes"), curve.alias("_curve"), points.alias("_points")
+    ).withColumn("_count", F.floor(F.timestamp_diff("MINUTE", F.col("_start"), F.col("_end")) / F.col("_minutes")).cast("int"))
     runs = F.transform(
         "_points",
         lambda p, i: F.struct(
             p["position"].alias("first"),
-            F.coalesce(F.get(F.col("_points"), i + 1)["position"] - 1, F.greatest("_count", p["position"])).alias("last"),
+            F.when(F.col("_curve") == FIXED, p["position"])
+            .otherwise(F.coalesce(F.get(F.col("_points"), i + 1)["position"] - 1, F.greatest("_count", p["position"])))
+            .alias("last"),
             p["value"].alias("value"),
         ),
     )
@@ -129,7 +170,7 @@ def xml_points(df: DataFrame, value_field: str, unit: str, area_code: str, paylo
     )
     shift = F.make_dt_interval(mins=(F.col("_position") - 1) * F.col("_minutes"))
     return rows.select(
-        *_others(df, payload),
+        *others,
         (F.col("_start") + shift).alias("ts_utc"),
         F.col("_run.value").alias("value"),
         F.lit(unit).alias("unit"),

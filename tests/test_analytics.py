@@ -96,15 +96,16 @@ def test_missing_shares(spark, rows):
     assert [r.column for r in profiling.top_missing(df, 1).collect()] == ["half"]
 
 
-def test_profile_of_a_small_and_a_sampled_table(spark):
-    df = spark.range(300).withColumn("v", F.col("id") * 2.0).withColumn("at", F.lit("2026-01-01T00:00:00Z").cast("timestamp"))
-    small = profiling.profile(df)
-    assert small["overview"].first().asDict() == {
-        "profiled_rows": 300, "n_columns": 3, "duplicate_rows": 0, "total_rows": 300, "sampled": False}
-    pair = small["correlations"].filter("column_a = 'id' and column_b = 'v'").first()
+@pytest.mark.parametrize("size", [300, 60_000])
+def test_profile_covers_the_whole_table(spark, size):
+    df = spark.range(size).withColumn("v", F.col("id") * 2.0).withColumn("at", F.lit("2026-01-01T00:00:00Z").cast("timestamp"))
+    parts = profiling.profile(df)
+    assert set(parts) == {"overview", "missing", "columns", "correlations"}
+    assert parts["overview"].first().asDict() == {"total_rows": size, "n_columns": 3, "duplicate_rows": 0}
+    pair = parts["correlations"].filter("column_a = 'id' and column_b = 'v'").first()
     assert (pair.pearson, pair.spearman) == (pytest.approx(1.0), pytest.approx(1.0))
-    sampled = profiling.profile(df, sample_rows=100)["overview"].first()
-    assert (sampled.profiled_rows, sampled.sampled) == (100, True)
+    v = parts["columns"].filter("column = 'v'").first()
+    assert (v.n, v.n_null, float(v.min), float(v.max)) == (size, 0, 0.0, 2.0 * (size - 1))
     assert profiling.naive_utc(df).schema["at"].dataType.simpleString() == "timestamp_ntz"
 
 

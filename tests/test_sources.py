@@ -145,7 +145,7 @@ TODAY = date(2026, 10, 7)
 @pytest.mark.parametrize(
     ("last", "options", "expected"),
     [
-        (None, {}, (date(2026, 7, 9), TODAY)),
+        (None, {"start": date(2026, 1, 5)}, (date(2026, 1, 5), TODAY)),
         (date(2026, 10, 5), {}, (date(2026, 10, 5), TODAY)),
         (date(2026, 10, 5), {"reload_days": 3}, (date(2026, 10, 2), TODAY)),
         (date(2026, 10, 5), {"start": date(2026, 9, 1), "end": date(2026, 9, 2)}, (date(2026, 9, 1), date(2026, 9, 2))),
@@ -162,6 +162,62 @@ def test_load_window_rejects_start_after_end():
         landing.resolve_window(None, TODAY, start=date(2026, 10, 9))
 
 
+def test_a_first_load_window_needs_a_start():
+    with pytest.raises(ValueError, match="start"):
+        landing.resolve_window(None, TODAY)
+
+
+RECORD = "id string, value double"
+
+
+@pytest.mark.parametrize("text", ['[{"id": "a", "value": 1.0}, {"id": "b"', "no json", '{"id": [1'])
+def test_an_unreadable_payload_is_an_error_that_names_its_file(spark, text):
+    df = spark.createDataFrame([('[{"id": "a", "value": 1.0}]', "good.json"), (text, "dir/bad.json")], "payload string, file_path string")
+    with pytest.raises(Exception, match="dir/bad.json"):
+        payloads.explode_records(df, RECORD).collect()
+    with pytest.raises(Exception, match="dir/bad.json"):
+        features = spark.createDataFrame([('{"features": []}', "good.json"), (text.replace("[{", '{"features": [{'), "dir/bad.json")], df.schema)
+        payloads.explode_features(features, "id string").collect()
+
+
+@pytest.mark.parametrize(("text", "root"), [("[]", None), (None, None), ("", None), ("null", None), ('{"other": 1}', "rates"), ('{"rates": []}', "rates"), ("{}", "rates")])
+def test_empty_and_missing_lists_give_no_rows(spark, text, root):
+    df = spark.createDataFrame([(text, "f")], "payload string, file_path string")
+    assert payloads.explode_records(df, RECORD, root).collect() == []
+
+
+def curve(kind, resolution, positions, end="2026-01-01T01:00Z"):
+    points = "".join(f"<Point><position>{p}</position><quantity>{10 * p}</quantity></Point>" for p in positions)
+    declared = f"<curveType>{kind}</curveType>" if kind else ""
+    return (
+        f"<doc><TimeSeries>{declared}<Period><timeInterval><start>2026-01-01T00:00Z</start><end>{end}</end></timeInterval>"
+        f"<resolution>{resolution}</resolution>{points}</Period></TimeSeries></doc>"
+    )
+
+
+@pytest.mark.parametrize(
+    ("kind", "resolution", "end", "expected"),
+    [
+        ("A01", "PT15M", "2026-01-01T01:00Z", [("00:00", 10.0), ("00:30", 30.0)]),
+        (None, "PT15M", "2026-01-01T01:00Z", [("00:00", 10.0), ("00:30", 30.0)]),
+        ("A03", "PT15M", "2026-01-01T01:00Z", [("00:00", 10.0), ("00:15", 10.0), ("00:30", 30.0), ("00:45", 30.0)]),
+        ("A03", "P1D", "2026-01-04T00:00Z", [("01 00:00", 10.0), ("02 00:00", 10.0), ("03 00:00", 30.0)]),
+    ],
+)
+def test_curve_type_and_resolution(spark, kind, resolution, end, expected):
+    df = spark.createDataFrame([(curve(kind, resolution, (1, 3), end),)], "payload string")
+    rows = payloads.xml_points(df, "quantity", "MW", "area").orderBy("ts_utc").collect()
+    form = "%d %H:%M" if resolution == "P1D" else "%H:%M"
+    assert [(r.ts_utc.strftime(form), r.value) for r in rows] == expected
+
+
+@pytest.mark.parametrize(("kind", "resolution"), [("A03", "P1Y"), ("A03", "soon"), ("A77", "PT15M")])
+def test_what_a_market_document_does_not_say_is_an_error(spark, kind, resolution):
+    df = spark.createDataFrame([(curve(kind, resolution, (1,)), "m.xml")], "payload string, file_path string")
+    with pytest.raises(Exception, match="m.xml"):
+        payloads.xml_points(df, "quantity", "MW", "area").collect()
+
+
 def test_last_days_and_day_range(spark):
     assert landing.last_days(7, TODAY) == (date(2026, 10, 1), TODAY)
     with pytest.raises(ValueError):

@@ -127,6 +127,13 @@ def test_broken_contract_raises(built):
         enforce(report(tables, checks))
 
 
+def test_every_failed_contract_is_named(spark):
+    result = spark.createDataFrame([("t", f"check{i:02}", "error", 1, "fail") for i in range(25)], "table_name string, check_name string, severity string, failures long, status string")
+    with pytest.raises(QualityError) as raised:
+        enforce(result)
+    assert all(f"check{i:02}" in str(raised.value) for i in range(25))
+
+
 def test_every_source_has_freshness_limits(built):
     assert set(FRESHNESS) == set(BRONZE)
     newest = built["tables"]["air_history"]
