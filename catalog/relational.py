@@ -275,9 +275,10 @@ def _(t):
     return sampling.top_k(totals, [F.desc("total"), F.asc("o_custkey")], 3)
 
 
-@query("f03_exact_sample")
+@query("f03_exact_sample", """select o_orderkey, o_orderpriority from orders
+  order by ('0x' || substr(md5('42|' || o_orderkey || '|' || o_orderpriority), 1, 15))::bigint, o_orderkey limit 500""")
 def _(t):
-    return sampling.exact_sample(t.orders, 500)
+    return sampling.exact_sample(t.orders.select("o_orderkey", "o_orderpriority"), 500)
 
 
 @query("f03_sample_size", "select least(500, count(*)) as n_rows, least(500, count(*)) as n_distinct, least(500, count(*)) as n_known from orders")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -20,9 +19,9 @@ def lookback_start(target: DataFrame, column: str, days: int = LOOKBACK_DAYS) ->
 
 
 def newest_partition(target: DataFrame, partition: str) -> DataFrame:
-    """The rows of the highest partition of a partitioned file table, found from file names alone."""
-    values = {int(m.group(1)) for f in target.inputFiles() if (m := re.search(rf"/{partition}=(\d+)/", f))}
-    return target.filter(F.col(partition) == max(values)) if values else target
+    """The rows of the highest partition, found by a scan of the partition column alone, which reads no data pages."""
+    newest = target.agg(F.max(partition)).first()[0]
+    return target if newest is None else target.filter(F.col(partition) == F.lit(newest))
 
 
 def lookback_bound(

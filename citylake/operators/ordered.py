@@ -198,20 +198,20 @@ def rolling_mean(
 
 
 def time_gaps(
-    df: DataFrame, ts: str, keys: Sequence[str] = (), unit: str = "hour", slices: int | None = None
+    df: DataFrame, ts: str, keys: Sequence[str] = (), unit: str = "hour", slices: int | None = None, bounded: bool = False
 ) -> DataFrame:
     """Rows (keys, ts, next_ts) where the next distinct instant is more than one `unit` away.
 
-    `slices` cuts long series; a series without keys is always cut, because it would be one single group.
+    Series are cut into slices, since one key may hold most instants; `bounded` says that each fits a task.
     """
     keys = list(keys)
     points = df.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("ts")).distinct()
-    if slices or not keys:
+    if bounded and keys:
+        linked = following(points, keys, "ts", {"next_ts": "ts"})
+    else:
         if not keys:
             points = points.withColumn("_all", F.lit(0))
         scan_keys = keys or ["_all"]
         linked = following(cut_long_groups(points, scan_keys, "ts", slices), scan_keys, "ts", {"next_ts": "ts"}, SLICE)
-    else:
-        linked = following(points, keys, "ts", {"next_ts": "ts"})
     limit = F.col("ts") + F.expr(f"interval 1 {unit}")
     return linked.filter(F.col("next_ts") > limit).select(*keys, "ts", "next_ts")

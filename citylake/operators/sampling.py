@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 65536
+BUCKET_BITS = 16
+HASH_BITS = 60
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -14,18 +15,29 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def exact_sample(df: DataFrame, rows: int, seed: int = 42) -> DataFrame:
-    """Exactly `rows` rows (all of them if there are fewer), the same ones on every run.
+def seeded_hash(columns: Sequence[str], seed: int) -> Column:
+    """60 bits of the MD5 of the seed and the columns as text, joined by bars; null and empty text differ."""
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
-    Rows are ranked by a seeded hash. A histogram of hash buckets, combined before the exchange, finds the
-    bucket where the running count reaches `rows`; only rows up to that bucket are sorted.
+
+def exact_sample(df: DataFrame, rows: int, seed: int = 42, key: Sequence[str] | None = None) -> DataFrame:
+    """Exactly `rows` rows (all of them if there are fewer), the same ones on every run: those with the smallest hash.
+
+    A histogram of the leading hash bits, combined before the exchange, finds the bucket where the running count
+    reaches `rows`. Rows of the buckets before it pass as they are; only that bucket is ranked.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
-    hashed = hashed.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(BUCKETS)))
+    key = list(key or df.columns)
+    hashed = df.withColumn("_hash", seeded_hash(key, seed))
+    hashed = hashed.withColumn("_bucket", F.shiftright("_hash", HASH_BITS - BUCKET_BITS))
     counts = hashed.groupBy("_bucket").agg(F.count("*").alias("n"))
     # The window sees the histogram, one row per bucket, whatever the size of the table.
     upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = counts.withColumn("total", F.sum("n").over(upto)).filter(F.col("total") >= rows)
-    cut = reached.agg(F.min("_bucket")).scalar()
-    ranked = hashed.filter(cut.isNull() | (F.col("_bucket") <= cut)).orderBy("_bucket", "_hash", *df.columns)
-    return ranked.limit(rows).select(*df.columns)
+    cut = reached.agg(F.min_by(F.struct("_bucket", (F.col("total") - F.col("n")).alias("below")), "_bucket").alias("c")).first()["c"]
+    if cut is None:
+        return df
+    whole = hashed.filter(F.col("_bucket") < cut["_bucket"])
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", *df.columns))
+    part = hashed.filter(F.col("_bucket") == cut["_bucket"]).withColumn("_rank", rank).filter(F.col("_rank") <= rows - cut["below"])
+    return whole.select(*df.columns).unionByName(part.select(*df.columns))

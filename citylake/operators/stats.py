@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citylake.functions.columns import as_list
+from citylake.operators.ordered import SLICE, cut_long_groups, running_sum
 
 
 def correlations(
@@ -47,21 +48,19 @@ def exact_quantiles(
     """Exact linear-interpolation quantiles: (keys, probability, quantile).
 
     Collecting all values of a group, as the built-in exact percentile does, puts a hot group into one
-    aggregation buffer. Here a sketch brackets each quantile first, rows below the bracket are only counted,
-    and just the distinct values inside it are ranked. The margin of two sketch errors keeps the result exact;
-    small groups use their full range as bracket.
+    aggregation buffer. Here a sketch brackets each quantile first; values outside the bracket are only counted,
+    and just the distinct values inside it are ranked, in even slices. The nearest value on either side belongs to
+    the bracket too. A rank that lies outside all the same, beyond two sketch errors, is an error.
     """
     keys = as_list(keys)
     source = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
     margin = 2.0 / accuracy
 
     def bracket(p: float) -> Column:
-        low, high = max(0.0, p - margin), min(1.0, p + margin)
-        small = F.count("v") <= accuracy * 10
         return F.struct(
             F.lit(float(p)).alias("probability"),
-            F.when(small | F.lit(low == 0.0), F.min("v")).otherwise(F.approx_percentile("v", low, accuracy)).alias("lo"),
-            F.when(small | F.lit(high == 1.0), F.max("v")).otherwise(F.approx_percentile("v", high, accuracy)).alias("hi"),
+            F.approx_percentile("v", max(0.0, p - margin), accuracy).alias("lo"),
+            F.approx_percentile("v", min(1.0, p + margin), accuracy).alias("hi"),
         )
 
     brackets = source.groupBy(*keys).agg(
@@ -71,19 +70,34 @@ def exact_quantiles(
     values = source.groupBy(*keys, "v").agg(F.count("*").alias("c"))
     placed = values.join(brackets, keys) if keys else values.withColumn("_bracket", brackets.scalar())
     placed = placed.select(*keys, "v", "c", "_bracket.n", F.explode("_bracket.b").alias("b"))
-    placed = placed.select(*keys, "v", "c", "n", "b.*").filter("v <= hi")
+    placed = placed.select(*keys, "v", "c", "n", "b.*")
     group = [*keys, "probability"]
-    below = placed.filter("v < lo").groupBy(*group).agg(F.sum("c").alias("below"))
-    upto = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        placed.filter("v >= lo")
-        .withColumn("last_rank", F.sum("c").over(upto))
-        .join(below, group, "left")
-        .withColumn("last_rank", F.col("last_rank") + F.coalesce("below", F.lit(0)))
-        .withColumn("position", F.col("probability") * (F.col("n") - 1))
+    under, over = F.col("v") < F.col("lo"), F.col("v") > F.col("hi")
+    sides = placed.groupBy(*group).agg(
+        F.max("n").alias("n"),
+        F.coalesce(F.sum(F.when(under, F.col("c"))), F.lit(0)).alias("below"),
+        F.max(F.when(under, F.col("v"))).alias("left"),
+        F.min(F.when(over, F.col("v"))).alias("right"),
+        F.coalesce(F.sum(F.when(~under & ~over, F.col("c"))), F.lit(0)).alias("inside"),
     )
-    lower = F.min(F.when(F.col("last_rank") > F.floor("position"), F.col("v")))
-    upper = F.min(F.when(F.col("last_rank") > F.ceil("position"), F.col("v")))
+    inside = placed.filter(~under & ~over).select(*group, "v", "c")
+    ranked = running_sum(cut_long_groups(inside, group, "v"), group, "v", "c", "upto", SLICE).drop(SLICE)
+    ranked = ranked.join(sides, group).withColumns(
+        {"last_rank": F.col("upto") + F.col("below"), "position": F.col("probability") * (F.col("n") - 1)}
+    )
+
+    def at(index: Column) -> Column:
+        """The value at a rank counted from 0."""
+        first, end = F.max("below"), F.max(F.col("below") + F.col("inside"))
+        within = F.min(F.when(F.col("last_rank") > index, F.col("v")))
+        rank = F.max(index)
+        # One value to either side is known; a rank further out was missed by the sketch.
+        outside = F.when(rank == first - 1, F.max("left")).when(rank == end, F.min("right"))
+        return F.when((rank >= first) & (rank < end), within).otherwise(
+            F.coalesce(outside, F.raise_error(F.lit("a quantile lies outside its bracket; raise the accuracy")).cast("double"))
+        )
+
+    lower, upper = at(F.floor("position")), at(F.ceil("position"))
     part = F.max(F.col("position") - F.floor("position"))
     return ranked.groupBy(*group).agg((lower + (upper - lower) * part).alias("quantile"))
 

@@ -19,6 +19,7 @@ from citylake.sources.schemas import BRONZE
 from citylake.sources.seed import holidays
 
 SILVER_DAY = "bronze_day"
+MOST_LITERALS = 5000
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -39,7 +40,8 @@ def upsert_partitions(
 
     `merge` combines the touched partitions with the batch: delete+insert unless told otherwise.
 
-    The partition column must be a function of the key, so a key never leaves its partition. The merged rows
+    The partitions of the batch reach the scans of the target as literals, so that other directories are not even
+    listed for reading; a batch of more than MOST_LITERALS partitions finds them by a join instead. The partition column must be a function of the key, so a key never leaves its partition. The merged rows
     are checkpointed before the overwrite: it must not read the files it replaces.
     """
     target = read_if_exists(spark, path)
@@ -47,7 +49,11 @@ def upsert_partitions(
         write_partitions(batch, path, partition)
     else:
         batch = cut_lineage(batch)
-        touched = target.join(batch.select(partition).distinct(), partition, "left_semi")
+        days = [r[0] for r in batch.select(partition).distinct().limit(MOST_LITERALS + 1).collect()]
+        if len(days) > MOST_LITERALS:
+            touched = target.join(batch.select(partition).distinct(), partition, "left_semi")
+        else:
+            touched = target.filter(F.col(partition).isin([d for d in days if d is not None]))
         write_partitions(cut_lineage(merge(touched, batch, keys)), path, partition)
     return spark.read.option("mergeSchema", True).parquet(path)
 

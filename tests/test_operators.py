@@ -218,3 +218,26 @@ def test_quantiles_equal_numpy(spark, accuracy):
     for key in ("hot", "cold"):
         expected = np.quantile([v for k, v in values if k == key], probabilities)
         assert [got[key, p] for p in probabilities] == pytest.approx(list(expected))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 11, 200])
+def test_quantiles_of_small_groups(spark, n):
+    rng = random.Random(n)
+    values = [rng.choice([rng.random(), 0.5]) for _ in range(n)]
+    probabilities = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r.probability: r.quantile for r in stats.exact_quantiles(spark.createDataFrame([(v,) for v in values], "v double"), "v", probabilities).collect()}
+    assert [got[p] for p in probabilities] == pytest.approx(list(np.quantile(values, probabilities)))
+
+
+def test_gaps_of_a_key_with_most_rows(spark):
+    df = spark.range(20_000).selectExpr("if(id % 10 < 9, 'hot', concat('k', id % 50)) as k", "timestamp_seconds(id * 3600 + if(id % 1000 = 999, 7200, 0)) as at")
+    cut = {tuple(r) for r in ordered.time_gaps(df, "at", ["k"]).collect()}
+    whole = {tuple(r) for r in ordered.time_gaps(df, "at", ["k"], bounded=True).collect()}
+    assert cut == whole and any(r[0] == "hot" for r in cut)
+
+
+def test_sample_of_few_distinct_rows(spark):
+    df = spark.range(400).selectExpr("id % 3 as id", "if(id % 3 = 0, null, 'x') as v")
+    assert sampling.exact_sample(df, 50).count() == 50
+    assert sampling.exact_sample(df, 400).count() == 400
+    assert sampling.exact_sample(df.limit(0), 5).count() == 0

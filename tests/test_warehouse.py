@@ -156,3 +156,24 @@ def test_analytics_on_the_built_lake(built, rows):
     coverage = analytics.station_coverage(analytics.station_pollution(t["fact_air_quality_hourly"], t["dim_station"], start, end, "PM10")).first()
     assert tuple(coverage) == (2, 2)
     assert analytics.freshness(*[t[f] for f in ("fact_air_quality_hourly", "fact_energy_price_hourly", "fact_weather_hourly", "fact_bike_traffic_daily")]).count() == 4
+
+
+def test_upsert_reads_the_days_of_the_batch_only(spark, tmp_path):
+    from citylake.operators.incremental import delete_insert
+    from citylake.plans.warehouse import upsert_partitions
+
+    path = str(tmp_path / "fact")
+    rows = spark.range(300).selectExpr("id", "cast(20260101 + id % 30 as int) as date_key", "'old' as v")
+    upsert_partitions(spark, path, rows, ("id",))
+    seen = []
+
+    def merge(target, batch, keys):
+        seen.append(target._jdf.queryExecution().toString())
+        return delete_insert(target, batch, keys)
+
+    batch = rows.filter("date_key in (20260103, 20260107, 20260111) and id < 100").selectExpr("id", "date_key", "'new' as v")
+    table = upsert_partitions(spark, path, batch, ("id",), merge=merge)
+    assert "date_key" in seen[0] and all(str(day) in seen[0].split("PartitionFilters:")[1] for day in (20260103, 20260107, 20260111))
+    assert table.count() == 300
+    assert {r.date_key for r in table.filter("v = 'new'").collect()} == {20260103, 20260107, 20260111}
+    assert table.filter("v = 'new'").count() == batch.count()
