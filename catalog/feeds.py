@@ -216,7 +216,7 @@ def energy_prices(t: Tables) -> DataFrame:
 
 @_landed
 def energy_load(t: Tables) -> DataFrame:
-    return t.events.filter("event_type in ('view', 'click')").select(
+    return t.events.select(
         _quarter("ts").alias("ts_utc"),
         F.expr("value * 100").alias("value"),
         F.lit("MW").alias("unit"),
@@ -226,15 +226,16 @@ def energy_load(t: Tables) -> DataFrame:
     )
 
 
-CURRENCY = ("case event_type when 'view' then 'EUR' when 'click' then 'USD' when 'purchase' then 'JPY' "
-            "when 'error' then 'HUF' else 'GBP' end")
+# On every sixth day of the month and after the 27th all rates are of two more currencies: the others have gaps there.
+CURRENCY = ("case when day(ts) % 6 = 5 or day(ts) > 27 then case when event_type in ('purchase', 'error') then 'SEK' else 'CHF' end "
+            "when event_type = 'view' then 'EUR' when event_type = 'click' then 'USD' "
+            "when event_type = 'purchase' then 'JPY' when event_type = 'error' then 'HUF' else 'GBP' end")
 
 
 @_landed
 def fx_daily(t: Tables) -> DataFrame:
-    """One table per day, none on every sixth day of the month and none after the 27th."""
-    kept = t.events.filter("day(ts) % 6 <> 5 and day(ts) < 28")
-    return kept.select(
+    """One table per day; every event is a rate."""
+    return t.events.select(
         F.date_format("ts", "yyyy-MM-dd").alias("validFor"),
         F.lit(1).alias("order"),
         F.lit("x").alias("country"),
@@ -440,7 +441,6 @@ select date_trunc('hour', ts_utc) as hour_start_ts_utc, {local("date_trunc('hour
 from q_prices group by all"""
 F_["q_load"] = """
 select time_bucket(interval 15 minutes, ts) as ts_utc, value * 100 as value, ts as loaded_at from events
-where event_type in ('view', 'click')
 qualify row_number() over (partition by time_bucket(interval 15 minutes, ts) order by ts desc, event_id desc) = 1"""
 F_["s_load"] = f"""
 select date_trunc('hour', ts_utc) as hour_start_ts_utc, {local("date_trunc('hour', ts_utc)")} as hour_start_local,
@@ -449,8 +449,8 @@ from q_load group by all"""
 F_["q_rates"] = f"""
 select ts::date as day, {CURRENCY} as currency_code, (20 + value / 10) / (case when event_type in ('purchase', 'error') then 100 else 1 end) as rate,
   case when event_type in ('purchase', 'error') then 100 else 1 end as amount, ts as loaded_at
-from events where day(ts) % 6 <> 5 and day(ts) < 28
-qualify row_number() over (partition by ts::date, event_type order by ts desc, event_id desc) = 1"""
+from events
+qualify row_number() over (partition by ts::date, {CURRENCY} order by ts desc, event_id desc) = 1"""
 F_["s_fx"] = """
 select g.calendar_date, g.currency_code, r.day as rate_date, r.rate as rate_czk_per_unit, r.amount as quoted_amount,
   r.day is distinct from g.calendar_date as is_forward_filled, r.loaded_at as loaded_at_ts_utc
