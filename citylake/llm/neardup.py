@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from citylake.llm.common import checkpointed, prepare, running, utf8, written
+from citylake.llm.common import prepare, utf8, written
 from citylake.llm.components import components
 from citylake.llm.decontamination import NORMAL
 
@@ -18,10 +18,17 @@ LEAST = 0.8
 BANDS = 20
 ROWS = 2  # sketch entries in a band
 KEPT = 2  # k-mers in a sketch entry
-SPREAD = 16  # how many more neighbours in a bucket each round of comparisons reaches
+BLOCK = 512  # members of a bucket whose signatures are compared at once
+SPREAD = 4  # blocks the first round beyond a block itself reaches; each further round reaches that many times as far
+BITS = 2048  # of a signature
+# Pairs of each component in a block that are aligned first, in one of how many buckets: they join what is easily
+# joined. After that every pair that is still open is taken.
+LIKEST, SHARE = 2, 4
+EVERY = 1 << 30
 
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 PIECE = 1 << 16
+SIGNATURE = pa.struct([("n", pa.int32()), ("bits", pa.binary())])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -83,6 +90,33 @@ def sketch(kmers: np.ndarray) -> np.ndarray:
     return band.view(np.int64)
 
 
+def signature(kmers: np.ndarray) -> bytes:
+    """A bit for every labelled k-mer, at a place its hash gives."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(labelled(kmers) & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def spare(n: list[np.ndarray], bits: list[np.ndarray], least: float) -> np.ndarray:
+    """For two lists of texts, by k-mer counts and signatures, how far each pair is from being too unlike.
+
+    Two signatures differ in at most as many bits as the texts differ in k-mers: below 0 no pair reaches the similarity.
+    """
+    differing = np.bitwise_count(bits[0][:, None, :] ^ bits[1][None, :, :]).sum(axis=2, dtype=np.int64)
+    return (n[0][:, None] + n[1][None, :]) * (1 - least) / (1 + least) + 1e-6 - differing
+
+
+def likest(roots: np.ndarray, room: np.ndarray, most: int) -> np.ndarray:
+    """Indices of the pairs that are among the `most` likest of one of their two components."""
+    if most >= len(room):
+        return np.arange(len(room))
+    ends, pair = roots.T.ravel(), np.tile(np.arange(len(room)), 2)
+    order = np.lexsort((-room[pair], ends))
+    starts = np.flatnonzero(np.diff(ends[order], prepend=ends[order[0]] - 1))
+    rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+    return np.unique(pair[order[rank < most]])
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
     """Shingles matched in order over all shingles of both texts, exact where it reaches `least`, else 0.
 
@@ -131,66 +165,115 @@ def banded_lcs(a: list[int], b: list[int], band: int) -> int:
 
 
 def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """Per row its id, a hash of the text and the band keys; none for a text without words."""
+    """Per row its id, a hash of the text, the band keys (none for a text without words) and the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
+            bands, signs = [], []
             for raw in utf8(batch.column(1)):
                 kmers = shingles(raw or b"")
-                found.append(sketch(kmers) if len(kmers) else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int64()))], names=["id", "h", "bands"])
+                bands.append(sketch(kmers) if len(kmers) else np.zeros(0, np.int64))
+                signs.append({"n": len(kmers), "bits": signature(kmers)})
+            columns = [batch.column(0), batch.column(2), pa.array(bands, pa.list_(pa.int64())), pa.array(signs, SIGNATURE)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "bands", "sign"])
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"), F.unhex(F.md5(F.col(text).cast("binary"))).alias("h"))
-    return rows.mapInArrow(run, "id long, h binary, bands array<long>")
+    return rows.mapInArrow(run, "id long, h binary, bands array<long>, sign struct<n: int, bits: binary>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) that the alignment accepts."""
+    """The pairs (a, b) that the alignment accepts; texts are given as id and shingles, 32 bits each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
         for batch in batches:
-            mask = []
-            for left, right in zip(utf8(batch.column(2)), utf8(batch.column(3)), strict=True):
-                if held[0] != left:
-                    held = (left, shingles(left))
-                mask.append(similarity(held[1], shingles(right), least) >= least)
+            sides = ([np.frombuffer(x, np.uint32) for x in batch.column(i).to_pylist()] for i in (2, 3))
+            mask = [similarity(x, y, least) >= least for x, y in zip(*sides, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(mask, pa.bool_()))
 
-    left = texts.select(F.col("id").alias("a"), F.col("t").alias("ta"))
-    right = texts.select(F.col("id").alias("b"), F.col("t").alias("tb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    left = texts.select(F.col("id").alias("a"), F.col("kmers").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("kmers").alias("y"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def links(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def shingled(rows: DataFrame) -> DataFrame:
+    """id and shingles of the texts t."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(shingles(raw or b"") >> np.uint64(32)).astype(np.uint32).tobytes() for raw in utf8(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "kmers"])
+
+    return rows.select("id", "t").mapInArrow(run, "id long, kmers binary")
+
+
+def met_pairs(blocks: DataFrame, low: int, high: int, most: int, least: float) -> DataFrame:
+    """Pairs (a, b) of members of a bucket in blocks `low` to `high` apart, of different components and not unlike.
+
+    Of every component that meets others in two blocks the `most` likest pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                sides = (row["x"], row["y"] or row["x"])
+                ids, roots, n = ([np.array([m[k] for m in side], np.int64) for side in sides] for k in ("id", "root", "n"))
+                bits = [np.frombuffer(b"".join(m["bits"] for m in side), np.uint64).reshape(len(side), -1) for side in sides]
+                met, spared = [], []
+                for at in range(0, len(ids[0]), 64):
+                    part = slice(at, at + 64)
+                    room = spare([n[0][part], n[1]], [bits[0][part], bits[1]], least)
+                    fit = (room >= 0) & (roots[0][part, None] != roots[1][None, :]) & (ids[0][part, None] != ids[1][None, :])
+                    i, j = np.nonzero(fit)
+                    met.append(np.stack([i + at, j], axis=1))
+                    spared.append(room[i, j])
+                met, spared = np.concatenate(met), np.concatenate(spared)
+                if row["y"] is None:
+                    half = met[:, 0] < met[:, 1]
+                    met, spared = met[half], spared[half]
+                if len(met):
+                    i, j = met.T
+                    some = likest(np.stack([roots[0][i], roots[1][j]], axis=1), spared, most)
+                    a, b = ids[0][i[some]], ids[1][j[some]]
+                    yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    if not high:
+        both = blocks.select(F.col("members").alias("x"), F.lit(None).cast(blocks.schema["members"].dataType).alias("y"))
+    else:
+        reach = F.explode(F.sequence(F.col("block") + low, F.least(F.col("block") + high, F.col("last"))))
+        ahead = blocks.where(F.col("block") + low <= F.col("last")).select("band", reach.alias("block"), F.col("members").alias("x"))
+        both = ahead.join(blocks.select("band", "block", F.col("members").alias("y")), ["band", "block"]).select("x", "y")
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def links(members: DataFrame, signs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Components (a, b) of the texts whose sketches share a band and whose similarity is at least `least`.
 
     First every member of a bucket is compared with the first; then, only in buckets that still hold several components,
-    each with the next members, ever further, until every pair of a bucket is in one component or was compared. So no
-    bucket emits all its pairs, and no pair that could join two components is left out.
+    blocks of members meet further blocks, ever further, until every pair of a bucket is in one component or was
+    compared. Only texts of different components whose signatures leave the question open are aligned, the likest pairs
+    of two components first. So no pair that could join two components is left out, and what one component holds is not
+    compared again.
     """
     first = members.groupBy("band").agg(F.min("id").alias("a"))
     pairs = members.join(first, "band").where("id > a").select("a", F.col("id").alias("b")).distinct()
-    edges = checkpointed(confirmed(pairs, texts, least))
-    found = components(edges)
-    placed = checkpointed(running(members, "band", ["id"]).select("band", "id", F.col("_before").alias("pos")))
-    low, high = 1, SPREAD
+    found = components(written(confirmed(pairs, texts, least), "neardup-links"))
+    low, high, most = 0, 0, LIKEST
     while True:
-        named = placed.join(found.withColumnsRenamed({"a": "id", "b": "root"}), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        mixed = named.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("pos").alias("last")).where("r0 < r1").select("band", "last")
-        open_ = checkpointed(named.join(mixed.where(F.col("last") >= low), "band").select("band", "id", "root", "pos", "last"))
-        if open_.isEmpty():
+        named = members.where(F.col("last") >= low).join(found.withColumnsRenamed({"a": "id", "b": "root"}), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        mixed = named.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+        mixed = written(mixed.where("r0 < r1").select("band"), "neardup-open")
+        if mixed.isEmpty():
             return found
-        reach = F.explode(F.sequence(F.col("pos") + low, F.least(F.col("pos") + high, F.col("last"))))
-        ahead = open_.where(F.col("pos") + low <= F.col("last")).select("band", F.col("id").alias("x"), F.col("root").alias("rx"), reach.alias("pos"))
-        met = ahead.join(open_.select("band", "pos", F.col("id").alias("y"), F.col("root").alias("ry")), ["band", "pos"]).where("rx <> ry and x <> y")
-        pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        more = checkpointed(confirmed(pairs, texts, least))
+        some = mixed.where(F.pmod("band", F.lit(SHARE)) == 0) if most == LIKEST else mixed
+        member = F.struct("id", "root", "sign.n", "sign.bits")
+        open_ = named.join(some, "band").join(signs, "id").groupBy("band", "block")
+        blocks = open_.agg(F.first("last").alias("last"), F.collect_list(member).alias("members"))
+        more = written(confirmed(met_pairs(blocks, low, high, most, least), texts, least), "neardup-links")
         if not more.isEmpty():
-            edges = edges.unionByName(more)
             found = components(found.unionByName(more))
-        low, high = high + 1, high + high * SPREAD
+        if most == EVERY:
+            low, high = high + 1, max(SPREAD, (high + 1) * SPREAD)
+        most = EVERY
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = LEAST) -> DataFrame:
@@ -203,15 +286,18 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
     An empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    rows = checkpointed(sketches(docs, text, key))
-    unique = rows.where("h is not null").groupBy("h").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
-    unique = checkpointed(unique)
+    rows = written(sketches(docs, text, key), "neardup-sketches")
+    unique = rows.where("h is not null").groupBy("h").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
+    unique = written(unique, "neardup-unique")
     banded = unique.where("id is not null").select("id", F.explode("bands").alias("band")).distinct()
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    members = checkpointed(banded.join(shared, "band"))
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    block = F.pmod(F.xxhash64("id"), F.col("last") + 1)
+    members = banded.join(shared, "band").withColumn("last", F.expr(f"n div {BLOCK}"))
+    members = written(members.select("band", "id", block.alias("block"), "last"), "neardup-members")
     wanted = members.select("id").distinct()
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).where("t is not null").join(wanted, "id").dropDuplicates(["id"])
-    found = links(members, written(texts, "neardup-texts"), least)
+    signs = unique.where("id is not null").select("id", "sign").dropDuplicates(["id"])
+    found = links(members, signs, written(shingled(texts), "neardup-shingles"), least)
     named = unique.select("h", F.col("id").alias("copy_of")).join(found.withColumnsRenamed({"a": "copy_of", "b": "class_id"}), "copy_of", "left")
     named = named.withColumn("class_id", F.coalesce("class_id", "copy_of"))
     out = rows.select("id", "h").join(named, "h", "left")
