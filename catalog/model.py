@@ -283,15 +283,10 @@ def _(t):
 @query("j13_freshness", """select event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') as max_loaded_at,
   case when timestamp '2024-01-31' - max(ts) > interval 12 hours then 'error' when timestamp '2024-01-31' - max(ts) > interval 1 hour then 'warn' else 'pass' end as status from events group by 1""")
 def _(t):
-    parts = [
-        quality.freshness(t.events.filter(F.col("event_type") == kind), "ts", datetime(2024, 1, 31), timedelta(hours=1), timedelta(hours=12))
-        .select(F.lit(kind).alias("event_type"), "max_loaded_at", "status")
-        for kind in ("view", "click", "purchase", "error", "signup")
-    ]
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part)
-    return combined
+    kinds = {k: t.events.filter(F.col("event_type") == k) for k in ("view", "click", "purchase", "error", "signup")}
+    limits = dict.fromkeys(kinds, (timedelta(hours=1), timedelta(hours=12)))
+    rows = quality.freshness_report(kinds, limits, datetime(2024, 1, 31), "ts")
+    return rows.select(F.col("table_name").alias("event_type"), "max_loaded_at", "status")
 
 
 @query("j14_report", """

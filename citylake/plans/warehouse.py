@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,8 +11,8 @@ from citylake.functions.time import local_date
 from citylake.operators.incremental import delete_insert
 from citylake.operators.scd2 import snapshot_check
 from citylake.plans import gold, silver
-from citylake.plans.contracts import all_checks
-from citylake.quality import enforce, report
+from citylake.plans.contracts import FRESHNESS, all_checks
+from citylake.quality import as_report, enforce, freshness_report, report
 from citylake.session import cut_lineage
 from citylake.sources.landing import read_bronze, read_if_exists, write_partitions
 from citylake.sources.schemas import BRONZE
@@ -166,7 +166,9 @@ def build(
     return tables
 
 
-def check(tables: dict[str, DataFrame], as_of: date, strict: bool = True) -> DataFrame:
-    """Report of all declared data tests; raises on a failed contract unless `strict` is off."""
-    result = cut_lineage(report(tables, all_checks(as_of)))
+def check(tables: dict[str, DataFrame], as_of: date, strict: bool = True, now: datetime | None = None) -> DataFrame:
+    """Report of all declared data tests and of the age of every source; raises on a failed contract unless `strict`
+    is off. `now` is the instant that ages are taken at, the current one unless given."""
+    fresh = as_report(freshness_report(tables, FRESHNESS, now or datetime.now(timezone.utc).replace(tzinfo=None)))
+    result = cut_lineage(report(tables, all_checks(as_of)).unionByName(fresh))
     return enforce(result) if strict else result

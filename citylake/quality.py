@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -90,6 +91,26 @@ def freshness(df: DataFrame, loaded_at: str, as_of: datetime | Column, warn: tim
     return newest.select("max_loaded_at", F.round(age / 3600, 2).alias("age_hours"), status.alias("status"))
 
 
+def freshness_report(
+    tables: Mapping[str, DataFrame], limits: Mapping[str, tuple[timedelta, timedelta]], as_of: datetime, loaded_at: str = "_loaded_at"
+) -> DataFrame:
+    """`freshness` of every table that has limits: (table_name, max_loaded_at, age_hours, status)."""
+    parts = [freshness(tables[t], loaded_at, as_of, *limits[t]).select(F.lit(t).alias("table_name"), "*") for t in sorted(limits)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def as_report(fresh: DataFrame) -> DataFrame:
+    """Freshness rows in the form of `report`; a late source warns and never fails a run."""
+    late = F.col("status") != "pass"
+    return fresh.select(
+        "table_name",
+        F.concat(F.lit("freshness: "), "status").alias("check_name"),
+        F.lit(WARN).alias("severity"),
+        late.cast("bigint").alias("failures"),
+        F.when(late, "warn").otherwise("pass").alias("status"),
+    )
+
+
 # ---------------------------------------------------------------- declarations
 
 

@@ -48,7 +48,7 @@ def test_declared_checks():
 
 def test_first_run_meets_its_contracts(built):
     rows = built["report"]
-    assert len(rows) == 189
+    assert len(rows) == 189 + len(FRESHNESS)
     assert [k for k, r in rows.items() if r.status == "fail"] == []
     assert rows["silver_air_stations", "no_inferred_members"].failures == 2
 
@@ -177,3 +177,10 @@ def test_upsert_reads_the_days_of_the_batch_only(spark, tmp_path):
     assert table.count() == 300
     assert {r.date_key for r in table.filter("v = 'new'").collect()} == {20260103, 20260107, 20260111}
     assert table.filter("v = 'new'").count() == batch.count()
+
+
+def test_check_reports_the_age_of_every_source(built):
+    rows = warehouse.check(built["tables"], AS_OF, strict=False, now=datetime(2026, 10, 27, 4)).filter("check_name like 'freshness%'").collect()
+    assert {r.table_name for r in rows} == set(FRESHNESS) and {r.severity for r in rows} == {"warn"}
+    late = warehouse.check(built["tables"], AS_OF, strict=False, now=datetime(2027, 1, 1)).filter("check_name like 'freshness%'").collect()
+    assert {(r.check_name, r.status, r.failures) for r in late} == {("freshness: error", "warn", 1)}
