@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from citylake.functions.json import nested_to_json
 from citylake.functions.time import local_day_bounds
 from citylake.plans.warehouse import write_table
 from citylake.session import fresh_dir
-from citylake.sources import landing
+from citylake.sources import feeds as source_feeds, landing
 from citylake.sources.payloads import (
     clip_half_open,
     collapse_series,
@@ -200,6 +200,33 @@ def _(t):
         F.count("*").alias("n"), F.max("_loaded_at").alias("_loaded_at"))
 
 
+@query("a13_source_feeds", """
+with d as (select ts::date as day, count(*) as n from events group by 1),
+f as (select ts::date as day, count(*) as n from events where event_type <> 'error' group by 1)
+select s.source, strftime(s.day, '%Y-%m-%d') as load_date, s.n, '2024-02-0' || (case when s.day = date '2024-01-03' then 3 when s.day >= date '2024-01-14' then 2 else 1 end) || ' 00:00:00' as _loaded_at,
+  strftime((select max(day) from d), '%Y-%m-%d') as mark
+from (select 'air_history' as source, * from d union all select 'fx_daily', * from f) s""")
+def _(t):
+    """Two feeds from payloads: the first half, the rest with two days again, and one late day that is landed last."""
+    root = fresh_dir(t.spark, "feeds")
+    day = F.to_date("ts").alias("requested_day")
+    records = F.struct(F.col("event_id").cast("string").alias("id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"), F.lit("{}").alias("measurement"))
+    history = t.events.groupBy(day).agg(F.to_json(F.collect_list(records)).alias("payload"))
+    rate = F.struct(F.col("event_type").alias("currencyCode"), F.lit(1).alias("amount"), F.col("value").alias("rate"))
+    known = t.events.filter("event_type <> 'error'")
+    rates = known.groupBy(day).agg(F.to_json(F.struct(F.collect_list(rate).alias("rates"))).alias("payload"))
+    loads = (("requested_day <= date'2024-01-15'", 1), ("requested_day >= date'2024-01-14'", 2), ("requested_day = date'2024-01-03'", 3))
+    parts = []
+    for source, texts in (("air_history", history.withColumn("file_path", F.lit("events"))), ("fx_daily", rates)):
+        for some, run in loads:
+            payload = texts.filter(some)
+            source_feeds.land(payload.drop("requested_day") if source == "air_history" else payload, root, source, datetime(2024, 2, run))
+        mark = landing.last_loaded(t.spark, root, source)
+        counts = landing.read_bronze(t.spark, root, source).groupBy("load_date").agg(F.count("*").alias("n"), F.max("_loaded_at").alias("_loaded_at"))
+        parts.append(counts.select(F.lit(source).alias("source"), "load_date", "n", "_loaded_at", F.lit(mark).alias("mark")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("a14_stable_schema", "select l_returnflag, 'double' as kind, sum(l_linenumber)::double as total from lineitem group by 1")
 def _(t):
     typed = landing.as_doubles(t.lineitem.select("l_returnflag", "l_linenumber"), ["l_linenumber", "absent"])

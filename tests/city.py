@@ -7,8 +7,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from citylake.functions.time import local_day_bounds
-from citylake.sources import landing, payloads, schemas
+from citylake.sources import feeds as source_feeds
 
 
 def square(x, y):
@@ -122,30 +121,26 @@ MIDNIGHT = {
 
 
 def land_snapshots(spark, root, day, loaded_at, ids=("A1", "A2"), district="west"):
-    for table, text, properties in (
-        ("city_districts", DISTRICTS, schemas.DISTRICT_PROPERTIES), ("air_stations", stations(*ids, district=district), schemas.STATION_PROPERTIES),
-        ("bike_counters", COUNTERS, schemas.COUNTER_PROPERTIES),
-    ):
-        landing.land(payloads.explode_features(texts(spark, text), properties), root, table, F.lit(day), loaded_at)
+    for table, text in (("city_districts", DISTRICTS), ("air_stations", stations(*ids, district=district)), ("bike_counters", COUNTERS)):
+        source_feeds.land(texts(spark, text).withColumn("requested_day", F.lit(day)), root, table, loaded_at)
 
 
 def land_series(spark, root, day, loaded_at, eur=25.0, bump=0.0):
     """All time series of one day; `eur` None leaves the exchange rates out."""
     text = day.isoformat()
-    air = payloads.explode_records(texts(spark, history(text, bump=bump)), schemas.HISTORY_RECORD)
-    landing.land(air, root, "air_history", landing.day_of_text("updated_at"), loaded_at)
-    bikes = payloads.explode_records(texts(spark, detections(text)), schemas.DETECTION_RECORD)
-    landing.land(bikes, root, "bike_detections", landing.day_of_text("measured_from"), loaded_at, ("value", "value_pedestrians"))
+
+    def land(table, payload, **columns):
+        source_feeds.land(texts(spark, payload).withColumns(columns), root, table, loaded_at)
+
+    land("air_history", history(text, bump=bump))
+    land("bike_detections", detections(text))
     prices, load = delivery(text, MIDNIGHT[text], MIDNIGHT[(day + timedelta(days=1)).isoformat()], -2.0)
-    start, end = local_day_bounds(F.lit(day))
-    for table, document, field, unit in (("energy_prices", prices, "price.amount", "EUR/MWh"), ("energy_load", load, "quantity", "MW")):
-        points = payloads.collapse_series(payloads.xml_points(texts(spark, document), field, unit, "area"))
-        landing.land(payloads.clip_half_open(points, "ts_utc", start, end), root, table, F.lit(day), loaded_at)
+    land("energy_prices", prices, requested_day=F.lit(day))
+    land("energy_load", load, requested_day=F.lit(day))
     if eur is not None:
-        landing.land(payloads.explode_records(texts(spark, rates(text, eur)), schemas.RATE_RECORD, "rates"), root, "fx_daily", F.lit(day), loaded_at)
+        land("fx_daily", rates(text, eur), requested_day=F.lit(day))
     request = F.array(*[F.struct(F.lit(i).alias("station_id"), F.lit(50.0).alias("latitude"), F.lit(14.0).alias("longitude")) for i in ("A1", "A2")])
-    hours = payloads.unzip_columnar(texts(spark, weather(text, shift=bump)).withColumn("stations", request))
-    landing.land(hours, root, "weather_hourly", landing.day_of_text("time"), loaded_at)
+    land("weather_hourly", weather(text, shift=bump), stations=request)
 
 
 DAYS = [date(2026, 10, 24) + timedelta(days=i) for i in range(4)]

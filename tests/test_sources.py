@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from citylake.sources import landing, payloads, schemas
+from citylake.sources import feeds as source_feeds, landing, payloads, schemas
 from citylake.sources.seed import HOLIDAYS_FILE, holidays
 from tests import city
 
@@ -225,3 +225,23 @@ def test_last_days_and_day_range(spark):
     assert landing.day_range(spark, date(2026, 2, 27), date(2026, 3, 1)).count() == 3
     with pytest.raises(ValueError):
         landing.day_range(spark, date(2026, 3, 1), date(2026, 2, 27))
+
+
+def test_every_source_has_a_feed_and_its_window(spark, tmp_path):
+    assert set(source_feeds.FEEDS) == set(schemas.BRONZE)
+    root, today = str(tmp_path), date(2026, 10, 28)
+    with pytest.raises(ValueError, match="start"):
+        source_feeds.window(spark, root, "bike_detections", today)
+    city.land_series(spark, root, date(2026, 10, 26), STAMP)
+    assert source_feeds.window(spark, root, "bike_detections", today) == (date(2026, 10, 23), today)
+    assert source_feeds.window(spark, root, "air_history", today) == (date(2026, 10, 26), today)
+    assert source_feeds.window(spark, root, "fx_daily", today, end=date(2026, 11, 3)) == (date(2026, 10, 26), today)
+    assert source_feeds.window(spark, root, "energy_prices", today, end=date(2026, 10, 29)) == (date(2026, 10, 26), date(2026, 10, 29))
+
+
+def test_a_feed_keeps_to_its_days(spark, tmp_path):
+    root = str(tmp_path)
+    text = json.dumps([{"id": "A", "updated_at": f"2026-10-{d}T01:00:00Z", "measurement": {}} for d in (20, 21, 22)])
+    rows = spark.createDataFrame([(text, "x.json")], "payload string, file_path string")
+    assert source_feeds.land(rows, root, "air_history", STAMP, (date(2026, 10, 21), date(2026, 10, 22))) == 2
+    assert landing.last_loaded(spark, root, "air_history") == date(2026, 10, 22)
