@@ -20,6 +20,7 @@ from citylake.sources.seed import holidays
 
 SILVER_DAY = "bronze_day"
 MOST_LITERALS = 5000
+POINTER = "_current"
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -58,18 +59,30 @@ def upsert_partitions(
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def _snapshot_runs(spark: SparkSession, path: str) -> list[str]:
+    """Finished runs of a snapshot table, newest last, from its pointer rows."""
+    pointer = read_if_exists(spark, f"{path}/{POINTER}", "run string")
+    return [] if pointer is None else sorted(r["run"] for r in pointer.distinct().collect())
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest state of a snapshot table. Every run writes a complete state under its own `run` directory."""
-    states = read_if_exists(spark, path)
-    if states is None:
-        return None
-    newest = states.agg(F.max("run")).first()[0]
-    return states.filter(F.col("run") == newest).drop("run")
+    """Newest finished state of a snapshot table; the other states are not read."""
+    runs = _snapshot_runs(spark, path)
+    return spark.read.parquet(f"{path}/run={runs[-1]}") if runs else None
 
 
 def write_snapshot(spark: SparkSession, path: str, state: DataFrame, run_ts: datetime) -> DataFrame:
+    """Writes a complete state under its own run, then the pointer row that makes it the current one.
+
+    A run that fails leaves the current state as it is. The state before stays for those who still read it; older
+    ones are removed.
+    """
     run = run_ts.strftime("%Y%m%dT%H%M%S%f")
     state.write.mode("overwrite").parquet(f"{path}/run={run}")
+    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("append").parquet(f"{path}/{POINTER}")
+    for old in _snapshot_runs(spark, path)[:-2]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run={old}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     return read_snapshot(spark, path)
 
 

@@ -184,3 +184,17 @@ def test_check_reports_the_age_of_every_source(built):
     assert {r.table_name for r in rows} == set(FRESHNESS) and {r.severity for r in rows} == {"warn"}
     late = warehouse.check(built["tables"], AS_OF, strict=False, now=datetime(2027, 1, 1)).filter("check_name like 'freshness%'").collect()
     assert {(r.check_name, r.status, r.failures) for r in late} == {("freshness: error", "warn", 1)}
+
+
+def test_snapshot_keeps_the_current_and_the_previous_state(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "snapshot")
+    assert warehouse.read_snapshot(spark, path) is None
+    for day in (1, 2, 3, 4):
+        state = spark.range(day).selectExpr("id", f"{day} as day")
+        assert warehouse.write_snapshot(spark, path, state, datetime(2026, 10, day)).count() == day
+    assert len([d for d in os.listdir(path) if d.startswith("run=")]) == 2
+    # A state that was written without its pointer row, as after a failure, is not the current one.
+    spark.range(9).selectExpr("id", "9 as day").write.parquet(f"{path}/run=20270101T000000000000")
+    assert warehouse.read_snapshot(spark, path).first()["day"] == 4
