@@ -196,13 +196,34 @@ def bind(table: str, *groups: list[Check]) -> list[Check]:
 REPORT = ("table_name", "check_name", "severity", "failures", "status")
 
 
+def _missing_references(tables: Mapping[str, DataFrame], table: str, checks: Sequence[Check]) -> DataFrame:
+    """Rows of a table whose keys have no parent, per reference check: the keys of all its references are counted in one
+    pass, so that a hot key meets the parents as one row."""
+    refs = [c.failing for c in checks]
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(r.column).cast("string").alias("v")) for i, r in enumerate(refs)])
+    keys = tables[table].select(F.explode(pairs).alias("p")).select("p.*").filter("v is not null")
+    counted = keys.groupBy("i", "v").agg(F.count("*").alias("n"))
+    parents = reduce(
+        DataFrame.unionByName,
+        [tables[r.parent].select(F.lit(i).alias("i"), F.col(r.parent_column).cast("string").alias("v")) for i, r in enumerate(refs)],
+    )
+    missing = counted.join(parents, ["i", "v"], "left_anti")
+    sums = F.array(*[F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0)) for i in range(len(refs))])
+    named = F.array(
+        *[F.struct(F.lit(table).alias("table_name"), F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity")) for c in checks]
+    )
+    rows = missing.agg(sums.alias("s")).select(F.explode(F.arrays_zip(named.alias("c"), F.col("s").alias("s"))).alias("r"))
+    return rows.select("r.c.*", F.col("r.s").alias("failures"))
+
+
 def report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """(table_name, check_name, severity, failures, status).
 
-    All row-level checks of a table share one scan and one aggregate row. Key, reference and gap checks need
-    an exchange each and contribute one count each.
+    All row-level checks of a table share one scan and one aggregate row, all its references one scan and one
+    aggregate by key. Unique and gap checks need an exchange each and contribute one count each.
     """
     parts = []
+    references: dict[str, list[Check]] = {}
     by_table: dict[str, list[Check]] = {}
     for check in checks:
         if check.predicate is not None:
@@ -221,21 +242,20 @@ def report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFram
         )
         parts.append(tables[table].agg(counts.alias("c")).select(F.explode("c").alias("c")).select("c.*"))
     for check in checks:
-        if check.failing is not None:
+        if isinstance(check.failing, _Orphans):
+            references.setdefault(check.table, []).append(check)
+        elif check.failing is not None:
             rows = check.failing(tables)
-            # Reference checks report one row per missing key with the number of rows that carry it.
-            failures = F.coalesce(F.sum("failures"), F.lit(0)) if "failures" in rows.columns else F.count("*")
             parts.append(
-                rows.agg(failures.alias("failures")).select(
+                rows.agg(F.count("*").alias("failures")).select(
                     F.lit(check.table).alias("table_name"),
                     F.lit(check.name).alias("check_name"),
                     F.lit(check.severity).alias("severity"),
                     "failures",
                 )
             )
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part)
+    parts += [_missing_references(tables, table, own) for table, own in references.items()]
+    combined = reduce(DataFrame.unionByName, parts)
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == WARN, "warn").otherwise("fail")
     return combined.withColumn("status", status).select(*REPORT)
 

@@ -198,3 +198,17 @@ def test_snapshot_keeps_the_current_and_the_previous_state(spark, tmp_path):
     # A state that was written without its pointer row, as after a failure, is not the current one.
     spark.range(9).selectExpr("id", "9 as day").write.parquet(f"{path}/run=20270101T000000000000")
     assert warehouse.read_snapshot(spark, path).first()["day"] == 4
+
+
+def test_references_of_a_table_share_one_scan(spark, tmp_path):
+    from citylake.quality import bind, relationship
+
+    spark.range(100).selectExpr("id", "id % 7 as a", "cast(id % 5 as string) as b", "if(id < 3, null, id % 50) as c").write.parquet(str(tmp_path / "fact"))
+    spark.range(6).selectExpr("id as k").write.parquet(str(tmp_path / "dim"))
+    tables = {name: spark.read.parquet(str(tmp_path / name)) for name in ("fact", "dim")}
+    checks = bind("fact", relationship("a", "dim", "k"), relationship("b", "dim", "k"), relationship("c", "dim", "k"))
+    result = report(tables, checks)
+    expected = {"a": sum(i % 7 > 5 for i in range(100)), "b": 0, "c": sum(i % 50 > 5 for i in range(3, 100))}
+    assert {r.check_name.split("(")[1][0]: r.failures for r in result.collect()} == expected
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [id") == 1
