@@ -50,9 +50,24 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: set[str] = set()
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder of this application below the shared one; it is removed when the application ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/citylake-{spark.sparkContext.applicationId}"
+    if folder not in _scratch:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _scratch.add(folder)
+    return folder
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/citylake-{label}-{uuid.uuid4().hex}"
+    """A path for intermediate rows that nothing else uses; it lasts as long as the application."""
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

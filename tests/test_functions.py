@@ -111,3 +111,23 @@ def test_point_in_polygon(spark, shape, x, y, inside):
         edges_contain(ring_edges(polygon_rings(F.lit(shape))), F.lit(x), F.lit(y)).alias("b"),
     ).first()
     assert (row.a, row.b) == (inside, inside)
+
+
+def test_scratch_goes_with_its_application(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+
+    code = (
+        "from citylake.session import build_session, fresh_dir\n"
+        f"spark = build_session('scratch', 'local[1]', spark__checkpoint__dir={str(tmp_path)!r})\n"
+        "path = fresh_dir(spark, 'rows')\n"
+        "spark.range(3).write.parquet(path)\n"
+        "print(spark.read.parquet(path).count(), path)\n"
+        "spark.stop()\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split()[0] == "3" and done.stdout.split()[1].startswith(str(tmp_path))
+    assert not [d for d in os.listdir(tmp_path) if d.startswith("citylake-")]
