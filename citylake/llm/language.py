@@ -140,10 +140,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     prepare(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
-    names, held = docs.columns, docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a broadcast object of a class of this package would need the package on the executors.
+    names, held = docs.columns, docs.sparkSession.sparkContext.broadcast((model.languages, model.likelihood))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [held.value.predict(text) for text in batch.column(names.index("text")).to_pylist()]
+        found = [Model(*held.value).predict(text) for text in batch.column(names.index("text")).to_pylist()]
         predicted = [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
         return pa.RecordBatch.from_arrays([*batch.columns, *predicted], names=[*names, "lang_pred", "score"])
 

@@ -114,7 +114,7 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", key: str =
         s.blocks = -(-s.size // block)
         s.drawn = min(MOST_REPEATS * s.blocks, round(s.target * s.blocks / s.size)) if s.size else 0
     numbers = small(docs.sparkSession, "_name string, _s int, source_size long, target double", [(s.name, i, s.size, s.target) for i, s in enumerate(sources)])
-    rows = slim.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
+    rows = slim.join(numbers, F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
     rows = running(rows, "_s", ["doc_id", "size"], F.col("size"))
     return Mix(sources, rows, multinomial_draws([s.drawn for s in sources], shards, seed), seed, block)
 
@@ -132,7 +132,7 @@ def slots(mix: Mix) -> DataFrame:
         firsts[shard] = firsts.get(shard, 0) + count
     rows = small(spark, "shard int, s int, first long, n long, blocks long, place long", table)
     filled = small(spark, "shard int, total long", sorted(firsts.items()))
-    chunks = rows.join(F.broadcast(filled), "shard").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {CHUNK}"))))
+    chunks = rows.join(filled, "shard").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {CHUNK}"))))
     seed = mix.seed
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

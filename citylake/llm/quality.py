@@ -187,11 +187,12 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
     prepare(docs.sparkSession)
     docs = docs.drop("score")
     names, schema = docs.columns, StructType([*docs.schema.fields, StructField("score", DoubleType())])
-    slim = Network(*(getattr(network, n) for n in ("filters", "bias", "inner", "inner_bias", "outer", "outer_bias")))
-    held = docs.sparkSession.sparkContext.broadcast(slim)
+    # Plain arrays: a broadcast object of a class of this package would need the package on the executors.
+    weights = [getattr(network, n) for n in ("filters", "bias", "inner", "inner_bias", "outer", "outer_bias")]
+    held = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = held.value
+        network = Network(*held.value)
         network.compose()
         for batch in batches:
             if batch.num_rows:
