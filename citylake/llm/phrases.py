@@ -12,7 +12,7 @@ from citylake.llm.common import prepare, written
 from citylake.llm.repeats import Rule, resolved, runs, window_hashes
 
 WORDS = 50
-RULE = Rule(window=WORDS, gram=35, words=True, ordered=True)
+RULE = Rule(window=WORDS, gram=25, words=True, ordered=True)
 
 
 def by_automaton(contexts: list[tuple[int, int, int, bytes]], rule: Rule) -> list[np.ndarray]:

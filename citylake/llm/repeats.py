@@ -230,8 +230,7 @@ def resolved(docs: DataFrame, found: DataFrame, rule: Rule, compare: Compare, fi
     window by window are kept for a second, smaller join.
     """
     spark = prepare(docs.sparkSession)
-    ends = found.groupBy("key").agg(F.count(F.lit(1)).alias("times"), F.min("doc").alias("least"), F.max("doc").alias("most"))
-    twice = ends.where("least < most" if rule.ordered else "times > 1").select("key")
+    twice = found.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
     candidates = checkpointed(found.join(twice, "key"))
     where = F.struct("doc", "h", "lo", "n")
     kinds = candidates.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("copies"), F.min(where).alias("model"))
