@@ -8,7 +8,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citylake.functions.time import local_date
-from citylake.operators.incremental import delete_insert
+from citylake.operators.incremental import LOOKBACK_DAYS, delete_insert
 from citylake.operators.scd2 import snapshot_check
 from citylake.plans import gold, silver
 from citylake.plans.contracts import FRESHNESS, all_checks
@@ -97,14 +97,16 @@ def build(
     spatial_cell: float = 0.01,
     holidays_path: str | None = None,
     bronze_since: date | None = None,
+    changed_since: datetime | None = None,
 ) -> dict[str, DataFrame]:
     """Seed, silver, snapshot, dimensions, facts, mart. Returns every table by name.
 
-    A full refresh rebuilds the facts from all of silver; otherwise they re-process the lookback window. Late
-    changes of side inputs older than the window reach old fact rows only through a full refresh.
+    A full refresh rebuilds the facts from all of silver; otherwise they re-process the lookback window.
 
-    Silver series are stored by the day of their bronze partition. With `bronze_since`, only bronze days from
-    there on are read and only their silver days replaced; without it every series is rebuilt.
+    Silver series are stored by the day of their bronze partition. With `changed_since`, the instant of the last
+    run, each series and fact starts at the first day of its sources that was landed since then, however old it is.
+    With `bronze_since`, only bronze days from there on are read and only their silver days replaced, and changes
+    older than the lookback window reach facts through a full refresh. Without either every series is rebuilt.
     """
     tables: dict[str, DataFrame] = {name: read_bronze(spark, bronze_root, name) for name in BRONZE}
 
@@ -117,15 +119,26 @@ def build(
     def silver_table(name: str, df: DataFrame) -> DataFrame:
         return keep("silver", name, df, "silver_")
 
+    starts: dict[str, date | None] = {}
+
+    def first_day(source: str) -> date | None:
+        """First day of a source that is to be read again; None if nothing came."""
+        if changed_since is None:
+            return bronze_since
+        if source not in starts:
+            landed = tables[source].filter(F.col("_loaded_at") >= F.lit(changed_since))
+            starts[source] = landed.agg(F.min("load_date")).first()[0]
+        return starts[source]
+
     def series(name: str, source: str, plan: Callable[[DataFrame], DataFrame], day: Column) -> DataFrame:
         """The key of a series determines its bronze day, so de-duplication never crosses a day."""
         path = f"{out_root}/silver/{name}"
-        partial = bronze_since is not None and read_if_exists(spark, path) is not None
-        rows = plan(read_bronze(spark, bronze_root, source, first=bronze_since if partial else None))
-        rows = rows.withColumn(SILVER_DAY, day)
-        if partial:
+        partial = (bronze_since or changed_since) is not None and read_if_exists(spark, path) is not None
+        start = first_day(source) if partial else None
+        rows = plan(read_bronze(spark, bronze_root, source, first=start)).withColumn(SILVER_DAY, day)
+        if partial and start is not None:
             write_partitions(rows, path, SILVER_DAY)
-        else:
+        elif not partial:
             rows.hint("rebalance", F.col(SILVER_DAY)).write.mode("overwrite").partitionBy(SILVER_DAY).parquet(path)
         tables[f"silver_{name}"] = spark.read.parquet(path)
         return tables[f"silver_{name}"]
@@ -156,21 +169,40 @@ def build(
     dim_station = keep("gold", "dim_station", gold.dim_station(tables["snapshot_air_stations"], dim_district))
     dim_counter = keep("gold", "dim_bike_counter", gold.dim_bike_counter(counters, dim_district))
 
-    def fact(name: str, plan: Callable[[DataFrame | None], DataFrame]) -> DataFrame:
+    def reach(target: DataFrame, sources: Sequence[str]) -> int:
+        """Days back from the newest fact row that a run has to process: the lookback, or up to the oldest change."""
+        changed = [d for d in map(first_day, sources) if d is not None] if changed_since is not None else []
+        newest = target.agg(F.max("date_key")).first()[0]
+        if not changed or newest is None:
+            return LOOKBACK_DAYS
+        # One day for the local calendar, one for publications that belong to the hour before.
+        return max(LOOKBACK_DAYS, (datetime.strptime(str(newest), "%Y%m%d").date() - min(changed)).days + 2)
+
+    def fact(name: str, plan: Callable[[DataFrame | None, int], DataFrame], *sources: str) -> DataFrame:
         path = f"{out_root}/gold/{name}"
         target = None if full_refresh else read_if_exists(spark, path)
         if target is None:
-            rows = plan(None).hint("rebalance", F.col("date_key"))
+            rows = plan(None, LOOKBACK_DAYS).hint("rebalance", F.col("date_key"))
             rows.write.mode("overwrite").partitionBy("date_key").parquet(path)
             tables[name] = spark.read.parquet(path)
         else:
-            tables[name] = upsert_partitions(spark, path, plan(target), gold.FACT_KEYS[name])
+            tables[name] = upsert_partitions(spark, path, plan(target, reach(target, sources)), gold.FACT_KEYS[name])
         return tables[name]
 
-    air_fact = fact("fact_air_quality_hourly", lambda t: gold.fact_air_quality_hourly(measurements, dim_station, t))
-    weather_fact = fact("fact_weather_hourly", lambda t: gold.fact_weather_hourly(weather, dim_station, t))
-    energy_fact = fact("fact_energy_price_hourly", lambda t: gold.fact_energy_price_hourly(prices, load, fx, t))
-    fact("fact_bike_traffic_daily", lambda t: gold.fact_bike_traffic_daily(detections, directions, dim_counter, t))
+    air_fact = fact("fact_air_quality_hourly", lambda t, d: gold.fact_air_quality_hourly(measurements, dim_station, t, d), "air_history")
+    weather_fact = fact("fact_weather_hourly", lambda t, d: gold.fact_weather_hourly(weather, dim_station, t, d), "weather_hourly")
+    energy_fact = fact(
+        "fact_energy_price_hourly",
+        lambda t, d: gold.fact_energy_price_hourly(prices, load, fx, t, d),
+        "energy_prices",
+        "energy_load",
+        "fx_daily",
+    )
+    fact(
+        "fact_bike_traffic_daily",
+        lambda t, d: gold.fact_bike_traffic_daily(detections, directions, dim_counter, t, d),
+        "bike_detections",
+    )
     keep(
         "gold",
         "mart_air_vs_energy_daily",
