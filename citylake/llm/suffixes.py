@@ -15,7 +15,7 @@ from citylake.llm.common import prepare, written
 from citylake.llm.repeats import Rule, resolved, runs
 
 LENGTH = 400
-RULE = Rule(window=LENGTH, gram=250, words=False, ordered=False)
+RULE = Rule(window=LENGTH, gram=200, words=False, ordered=False)
 
 
 def in_suffix_array(contexts: list[tuple[int, int, int, bytes]], rule: Rule) -> list[np.ndarray]:
