@@ -159,7 +159,7 @@ def pieces(mix: Mix) -> DataFrame:
 
 def mixed(mix: Mix) -> DataFrame:
     """The mix itself: output shard and position of each slot with the document parts that fill its block."""
-    return slots(mix).join(pieces(mix), ["_s", "_block"]).select(
+    return slots(mix).join(pieces(mix).hint("merge"), ["_s", "_block"]).select(
         "shard", "position", "source", F.col("_block").alias("block"), "doc_id", F.col("_from").alias("from_word"), F.col("_words").alias("n_words")
     )
 
@@ -172,7 +172,8 @@ def taken(mix: Mix) -> DataFrame:
     them, take no part and come out with 0; repeated rows are documents of their own; an empty table gives no rows.
     """
     uses = slots(mix).groupBy("_s", "_block").agg(F.count(F.lit(1)).alias("_uses"))
-    joined = pieces(mix).join(uses, ["_s", "_block"], "left")
+    # The planner knows the few rows the slots are made from, not how many they become, and would broadcast them.
+    joined = pieces(mix).join(uses.hint("merge"), ["_s", "_block"], "left")
     given = joined.groupBy("_s", "_before", "doc_id", "source", "size", "source_size", "target").agg(
         F.sum(F.col("_words") * F.coalesce(F.col("_uses"), F.lit(0))).alias("taken")
     )
