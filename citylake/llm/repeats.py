@@ -13,8 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from citylake.llm.common import checkpointed, prepare, utf8, written
 
