@@ -116,10 +116,12 @@ def runs_of(symbols: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np
 
 
 def identified(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """doc_id and text with `doc`, the id or a stand-in, and `h`, a hash of the text: rows equal in both are copies."""
+    """doc_id and text with `doc`, the id or a stand-in, and `h`, a hash of the text: rows equal in both are copies.
+
+    Rows without an id share the stand-in, so that `h` alone tells their texts apart: it has all 64 bits.
+    """
     doc = F.coalesce(F.col(key).cast("long"), F.lit(LAST))
-    h = F.shiftright(F.xxhash64(F.col(text)), 32).cast("int")
-    return docs.select(F.col(key).cast("long").alias("doc_id"), doc.alias("doc"), h.alias("h"), F.col(text).alias("text"))
+    return docs.select(F.col(key).cast("long").alias("doc_id"), doc.alias("doc"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
 
 
 def runs(docs: DataFrame, rule: Rule, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -134,7 +136,7 @@ def runs(docs: DataFrame, rule: Rule, text: str = "text", key: str = "doc_id") -
             made = [anchors.view(np.int64), contexts.view(np.int64), *columns, lo.astype(np.int32), n.astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], names=["key", "ctx", "doc", "h", "lo", "n"])
 
-    made = identified(docs, text, key).select("doc", "h", "text").mapInArrow(run, "key long, ctx long, doc long, h int, lo int, n int")
+    made = identified(docs, text, key).select("doc", "h", "text").mapInArrow(run, "key long, ctx long, doc long, h long, lo int, n int")
     return made.sortWithinPartitions("key", "ctx")
 
 
@@ -246,8 +248,9 @@ def resolved(docs: DataFrame, found: DataFrame, rule: Rule, compare: Compare, fi
     marked = checkpointed(marked.where("whole or open or model"))
     one = F.struct("lo", (F.col("lo") + F.col("n")).alias("hi"))
     asked = F.struct("key", "ctx", "lo", "n", "variants")
+    # Copies share one list, however many there are.
     listed = marked.groupBy("doc", "h").agg(
-        F.collect_list(F.when(F.col("whole"), one)).alias("whole"), F.collect_list(F.when(F.col("model"), asked)).alias("asked"), F.max("open").alias("open")
+        F.collect_set(F.when(F.col("whole"), one)).alias("whole"), F.collect_set(F.when(F.col("model"), asked)).alias("asked"), F.max("open").alias("open")
     )
     rows = identified(docs, text, key)
     schema = StructType([StructField("doc_id", LongType()), *(f for f, _ in fields)])
@@ -267,7 +270,7 @@ def resolved(docs: DataFrame, found: DataFrame, rule: Rule, compare: Compare, fi
             yield pa.RecordBatch.from_arrays([*outcome(ids, done), batch.column(1), batch.column(2), needed, pa.array(kept, pa.binary()), *held, askeds], names=[*names, "doc", "h", "open", "raw", "spans", "asked"])
 
     joined = rows.join(listed, ["doc", "h"], "left").select("doc_id", "doc", "h", "text", "whole", "asked", "open")
-    extra = StructType([StructField("doc", LongType()), StructField("h", IntegerType()), joined.schema["open"], StructField("raw", joined.sparkSession.range(0).select(F.lit(b"").alias("b")).schema["b"].dataType), StructField("spans", SPANS), joined.schema["asked"]])
+    extra = StructType([StructField("doc", LongType()), StructField("h", LongType()), joined.schema["open"], StructField("raw", joined.sparkSession.range(0).select(F.lit(b"").alias("b")).schema["b"].dataType), StructField("spans", SPANS), joined.schema["asked"]])
     state = written(joined.mapInArrow(first, StructType([*schema.fields, *extra.fields])), "repeats")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +288,7 @@ def resolved(docs: DataFrame, found: DataFrame, rule: Rule, compare: Compare, fi
     # A document that stands in the table more than once gives its contexts once.
     ranges = compared(some.dropDuplicates(["key", "ctx"]), rule, compare)
     cut = marked.where("open").join(ranges, ["key", "ctx"]).select("doc", "h", "lo", F.explode("ranges").alias("r"))
-    late = cut.groupBy("doc", "h").agg(F.collect_list(F.struct((F.col("lo") + F.col("r.start")).alias("start"), (F.col("lo") + F.col("r.end")).alias("end"))).alias("late"))
+    late = cut.groupBy("doc", "h").agg(F.collect_set(F.struct((F.col("lo") + F.col("r.start")).alias("start"), (F.col("lo") + F.col("r.end")).alias("end"))).alias("late"))
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from citylake.llm import phrases, repeats, suffixes
 from citylake.llm.repeats import Rule
@@ -105,6 +106,30 @@ def test_long_texts_are_cut_into_segments(spark, prose, monkeypatch):
     assert rows(phrases.clean(frame(spark, docs), WORDS)) == plain_words(docs, 10)
 
 
+def same_upper_half(heads, tails, n=200_000):
+    """Texts `number head` and `number tail` whose xxhash64 agree in their upper 32 bits, as in Spark with seed 42."""
+    upper = lambda text: xxhash.xxh64_intdigest(text.encode(), seed=42) >> 32
+    held = {upper(f"{i} {heads}"): i for i in range(n)}
+    for j in range(n):
+        if (i := held.get(upper(f"{j} {tails}"))) is not None:
+            return f"{i} {heads}", f"{j} {tails}"
+
+
+def test_texts_without_an_id_that_share_half_a_hash(spark, prose):
+    passage, other = prose(1, 60), prose(2, 30)
+    pair = same_upper_half(prose(3, 30) + " " + passage, other)
+    docs = [(1, passage), *((None, text) for text in pair)]
+    assert rows(suffixes.SuffixFamily(spark, BYTES).add(frame(spark, docs)).clean(frame(spark, docs))) == plain_bytes(docs, 40)
+    assert rows(phrases.clean(frame(spark, docs), WORDS)) == plain_words(docs, 10)
+
+
+def test_copies_without_an_id_share_one_list(spark, prose):
+    texts = [prose(1, 60), prose(2, 20) + " " + prose(1, 60), prose(3, 40)]
+    docs = [(None, text) for text in texts for _ in range(5)] + [(1, prose(1, 40))]
+    assert rows(suffixes.SuffixFamily(spark, BYTES).add(frame(spark, docs)).clean(frame(spark, docs))) == plain_bytes(docs, 40)
+    assert rows(phrases.clean(frame(spark, docs), WORDS)) == plain_words(docs, 10)
+
+
 def test_empty_table(spark):
     df = frame(spark, [])
     assert rows(suffixes.SuffixFamily(spark).add(df).clean(df)) == []
