@@ -158,11 +158,21 @@ def window_hashes(contexts: list[tuple[int, int, int, bytes]], rule: Rule) -> li
     return out
 
 
+def window_digests(raw: bytes, rule: Rule) -> list[bytes]:
+    """128-bit hash of what each window of a context holds; words stand one space apart."""
+    if not rule.words:
+        return [xxhash.xxh3_128_digest(raw[at : at + rule.window]) for at in range(len(raw) - rule.window + 1)]
+    ends = np.cumsum([len(part) + 1 for part in rule.parts(raw)]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    total = len(ends) - rule.window + 1
+    return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(starts[:total].tolist(), ends[rule.window - 1 :].tolist(), strict=True)]
+
+
 def compared(contexts: DataFrame, rule: Rule, compare: Compare) -> DataFrame:
     """Which windows of each context occur elsewhere: key, ctx, ranges of windows.
 
     Contexts (key, ctx, doc, raw, variants) of one anchor meet in one task while they are few. Those of an anchor with
-    more than VARIANTS are compared as rows, one per window, summed up before they move.
+    more than VARIANTS are compared as rows, one per window with a 128-bit hash of it, summed up before they move.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,11 +199,11 @@ def compared(contexts: DataFrame, rule: Rule, compare: Compare) -> DataFrame:
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
-            hashes = window_hashes(rows, rule)
+            hashes = [window_digests(r[3], rule) for r in rows]
             counts = [len(x) for x in hashes]
             columns = [np.repeat(np.array([r[i] for r in rows], np.int64), counts) for i in range(3)]
             at = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, at, np.concatenate(hashes).view(np.int64))], names=["key", "ctx", "doc", "at", "w"])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (*columns, at)), pa.array([w for x in hashes for w in x], pa.binary())], names=["key", "ctx", "doc", "at", "w"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,7 +215,7 @@ def compared(contexts: DataFrame, rule: Rule, compare: Compare) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(made, SPAN)], names=["key", "ctx", "ranges"])
 
     many = contexts.where(F.col("variants") > VARIANTS).select("key", "ctx", "doc", "raw")
-    rows = many.mapInArrow(explode, "key long, ctx long, doc long, at int, w long")
+    rows = many.mapInArrow(explode, "key long, ctx long, doc long, at int, w binary")
     seen = rows.groupBy("w").agg(F.count(F.lit(1)).alias("times"), F.min("doc").alias("first")).where("times > 1")
     again = rows.join(seen, "w").where(F.col("first") < F.col("doc") if rule.ordered else F.lit(True))
     large = again.groupBy("key", "ctx").agg(F.collect_list("at").alias("at")).mapInArrow(join, small.schema)

@@ -89,6 +89,15 @@ def test_words_match_the_plain_count(spark, prose, clashing, monkeypatch, most):
     assert rows(phrases.clean(clashing(frame(spark, docs)), WORDS)) == plain_words(docs, 10)
 
 
+def test_many_variants_do_not_trust_the_window_hash(spark, prose, monkeypatch):
+    exact = repeats.window_hashes
+    monkeypatch.setattr(repeats, "VARIANTS", 1)
+    monkeypatch.setattr(repeats, "window_hashes", lambda contexts, rule: [h % np.uint64(64) for h in exact(contexts, rule)])
+    docs = made(prose)
+    assert rows(suffixes.SuffixFamily(spark, BYTES).add(frame(spark, docs)).clean(frame(spark, docs))) == plain_bytes(docs, 40)
+    assert rows(phrases.clean(frame(spark, docs), WORDS)) == plain_words(docs, 10)
+
+
 def test_batches_are_merged_and_give_the_same(spark, prose):
     docs = made(prose)
     family = suffixes.SuffixFamily(spark, BYTES)
