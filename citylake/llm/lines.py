@@ -120,19 +120,25 @@ def line_key(line: bytes) -> bytes | None:
 
 
 def references(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """One row per document row and distinct line key: key, doc."""
+    """One row per document row and distinct line key: key, doc and `h`, a hash of the row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, docs = [], []
-            for doc, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+            keys, docs, hashes = [], [], []
+            for doc, h, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
                 own = {k for line in (raw or b"").split(b"\n") if (k := line_key(line))}
                 keys += own
                 docs += [doc] * len(own)
-            yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(docs, pa.int64())], ["key", "doc"])
+                hashes += [h] * len(own)
+            yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(docs, pa.int64()), pa.array(hashes, pa.int64())], ["key", "doc", "h"])
 
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "key binary, doc long")
+    return identified(docs, text, key).select("doc", "h", "text").mapInArrow(run, "key binary, doc long, h long")
+
+
+def identified(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """doc_id and text with `doc`, the id or a stand-in, and `h`, a hash of the text that parts the rows of one id."""
+    doc = F.coalesce(F.col(key).cast("long"), F.lit(LAST))
+    return docs.select(F.col(key).cast("long").alias("doc_id"), doc.alias("doc"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
 
 
 def hashes_of(keys) -> np.ndarray:
@@ -162,7 +168,7 @@ def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 @dataclass
 class LineIndex:
-    """References (key, doc), exact counts (key, refs, first, last) and, per shard of the keys, a cuckoo filter of those
+    """References (key, doc, h), exact counts (key, refs, first, last) and, per shard of the keys, a cuckoo filter of those
     found in two documents or more. All three are tables in the shared folder; every change writes new ones. The number
     of shards is set when the filters are first built and again when the repeated keys have outgrown them fourfold.
     """
@@ -191,7 +197,7 @@ class LineIndex:
     def delete(self, docs: DataFrame, key: str = "doc_id") -> LineIndex:
         """The index without the documents of these ids, as if they had never been inserted."""
         gone = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc")).distinct()
-        left = written(self.refs.join(gone, "doc", "left_anti").select("key", "doc"), "line-refs")
+        left = written(self.refs.join(gone, "doc", "left_anti").select("key", "doc", "h"), "line-refs")
         touched = self.refs.join(gone, "doc", "left_semi").select("key").distinct()
         recount = left.join(touched, "key", "left_semi").groupBy("key").agg(*totals())
         counts = written(self.counts.join(touched, "key", "left_anti").unionByName(recount), "line-counts")
@@ -242,8 +248,8 @@ class LineIndex:
         """References whose key a filter may hold. References meet the filter of their shard in salted parts, filter
         first, and are streamed past it, so that a task holds one filter and no group of references."""
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        heads = self.filters.select("shard", salts.alias("salt"), F.lit(0).alias("kind"), F.col("filter").alias("key"), F.lit(0).cast("long").alias("doc"))
-        tails = refs.select(shard_of(self.shards).alias("shard"), F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("kind"), "key", "doc")
+        heads = self.filters.select("shard", salts.alias("salt"), F.lit(0).alias("kind"), F.col("filter").alias("key"), *(F.lit(0).cast("long").alias(c) for c in ("doc", "h")))
+        tails = refs.select(shard_of(self.shards).alias("shard"), F.pmod(F.xxhash64("doc", "h"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("kind"), "key", "doc", "h")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, held = None, None
@@ -256,16 +262,17 @@ class LineIndex:
                         at, held = shard[start], CuckooFilter.read(part.column(3)[0].as_py())
                     elif at == shard[start]:
                         mask = held.may_hold(hashes_of(part.column(3).to_pylist()))
-                        yield pa.RecordBatch.from_arrays([part.column(3), part.column(4)], names=["key", "doc"]).filter(pa.array(mask))
+                        yield pa.RecordBatch.from_arrays(part.columns[3:], names=["key", "doc", "h"]).filter(pa.array(mask))
 
         met = heads.unionByName(tails).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-        return met.mapInArrow(run, "key binary, doc long")
+        return met.mapInArrow(run, "key binary, doc long, h long")
 
     def drops(self, refs: DataFrame) -> DataFrame:
-        """Per document the keys whose lines go: repeated keys that a smaller document holds too. Columns doc, keys."""
+        """Per document and text the keys whose lines go: repeated keys that a smaller document holds too. Columns doc, h,
+        keys. Rows without an id are one document, yet a list has no more keys than the text it is for."""
         repeated = self.counts.where(REPEATED).select("key", "first")
         lost = self.screened(refs).join(repeated, "key").where(F.col("doc") > F.col("first"))
-        return lost.groupBy("doc").agg(F.collect_set("key").alias("keys"))
+        return lost.groupBy("doc", "h").agg(F.collect_set("key").alias("keys"))
 
     def clean(self, docs: DataFrame, text: str = "text", key: str = "doc_id", inserted: bool = False) -> DataFrame:
         """Per row of the table: doc_id, n_lines, n_dropped and kept, the text without the lines that go.
@@ -276,8 +283,7 @@ class LineIndex:
         An empty table gives no rows.
         """
         refs = self.refs if inserted else references(docs, text, key)
-        rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text"))
-        joined = rows.join(self.drops(refs), "doc", "left").select("doc_id", "text", "keys")
+        joined = identified(docs, text, key).join(self.drops(refs), ["doc", "h"], "left").select("doc_id", "text", "keys")
         fields = [StructField("doc_id", LongType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType()), StructField("kept", StringType())]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -67,6 +67,15 @@ def test_matches_the_plain_version(spark, edge_cases):
     assert cleaned(LineIndex(spark).insert(df), df, inserted=True) == plain(docs)
 
 
+def test_rows_without_an_id_have_lists_of_their_own(spark):
+    docs = [(i, f"line number {i} of the table\nanother line {i} of it") for i in range(40)]
+    docs += [(None, text) for _, text in docs] + [(None, docs[0][1])]
+    df = spark.createDataFrame(docs, SCHEMA)
+    index = LineIndex(spark).insert(df)
+    assert cleaned(index, df, inserted=True) == plain(docs)
+    assert max(len(r["keys"]) for r in index.drops(index.refs).collect()) == 2
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert cleaned(LineIndex(spark).insert(df), df, inserted=True) == []
