@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citylake.llm.common import checkpointed, prepare, running, small
@@ -102,7 +104,9 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", key: str =
 
     Sources stand by code point, null last, and weigh 1, 2, 3, repeating. The driver holds one row per source and one
     per source and output shard. The words of a source, its documents one after the other, fill blocks of `block` words;
-    the last may be shorter. A source draws as many blocks as give its target on average.
+    the last may be shorter. A source draws as many blocks as give its target on average: the part of a block that is
+    over is rounded by a hash of the source, so that a target is met to within one block and many small sources meet
+    theirs together.
     """
     prepare(docs.sparkSession)
     slim = checkpointed(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), words(text).alias("size")))
@@ -112,7 +116,8 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     set_targets(sources)
     for s in sources:
         s.blocks = -(-s.size // block)
-        s.drawn = min(MOST_REPEATS * s.blocks, round(s.target * s.blocks / s.size)) if s.size else 0
+        part = xxhash.xxh3_64_intdigest(repr(s.name).encode(), seed=seed) / 2**64
+        s.drawn = min(MOST_REPEATS * s.blocks, math.floor(s.target * s.blocks / s.size + part)) if s.size else 0
     numbers = small(docs.sparkSession, "_name string, _s int, source_size long, target double", [(s.name, i, s.size, s.target) for i, s in enumerate(sources)])
     rows = slim.join(numbers, F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
     rows = running(rows, "_s", ["doc_id", "size"], F.col("size"))

@@ -71,6 +71,16 @@ def test_words_taken_come_near_the_targets(spark, prose, clashing):
     assert sorted(map(str, again)) == sorted(map(str, taken))
 
 
+def test_sources_below_a_block_meet_their_targets_together(spark):
+    rows = [(i, "word " * 100, "en", f"s{i:03}", 500) for i in range(300)]
+    mix = mixing.plan(spark.createDataFrame(rows, DOCUMENTS))
+    by = Counter()
+    for s in mix.sources:
+        assert abs(s.drawn * 100 - s.target) < 100
+        by[s.weight] += s.drawn * 100
+    assert all(abs(by[w] - 5000 * w) < 1500 for w in (1, 2, 3))
+
+
 def test_slots_and_blocks_agree(spark, prose):
     df = spark.createDataFrame(docs_of(prose), DOCUMENTS)
     mix = mixing.plan(df, block=16, shards=5)
