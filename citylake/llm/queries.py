@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField
 
-from citylake.llm import decontamination, hnsw, language, lines, mixing, neardup, phrases, quality, sharding, suffixes
+from citylake.llm import decontamination, divergence, hnsw, language, lines, mixing, neardup, periodic, phrases, quality, sharding, suffixes, vectors
 from citylake.llm.common import remainder, running, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +172,93 @@ def op7_recurring_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_hnsw(spark: SparkSession, folder: str) -> DataFrame:
     return hnsw.search(table(spark, folder, "embeddings"), every=20)
+
+
+def planted(doc: int | None, raw: bytes) -> list[bytes]:
+    """The words of a text; in one document of ten the words from some place on are the first of them over and over."""
+    words = raw.split()
+    seed, tenth = divmod(zlib.crc32(str(doc).encode()), 10)
+    if doc is None or tenth or not words:
+        return words
+    start = seed % len(words)
+    period = 1 + (len(words) - start) // (3 + seed % 8)
+    return words[:start] + [words[start + i % period] for i in range(len(words) - start)]
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    best = periodic.strongest("runs")
+    found = periodic.collapse(docs, words=planted).withColumn("best", best)
+    line = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    """
+    with recursive v as (
+        select vec_id, embedding::double[] as e from embeddings
+        where embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+            and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+    n as (select vec_id, e, list_dot_product(e, e) as s from v),
+    l as (
+        select a.vec_id as a, b.vec_id as b from n a join n b on a.vec_id <> b.vec_id
+        where list_dot_product(a.e, b.e) >= 0.95 * sqrt(a.s * b.s)),
+    reach as (select a, b from l union select r.a, l.b from reach r join l on r.b = l.a),
+    c as (select a, min(b) as least from reach group by a),
+    k as (select a, count(*) as n_links from l group by a)
+    select vec_id, coalesce(n_links, 0) as n_links, least(vec_id, least) as component_id,
+        least(vec_id, least) = vec_id as kept
+    from embeddings left join c on c.a = vec_id left join k on k.a = vec_id
+    """
+)
+def op12_tiled_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query(
+    r"""
+    with d as (
+        select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+        from documents),
+    g as (select distinct lang, source from d),
+    t as (select r, lang, source, unnest(w) as term from d),
+    kept as (select lang, term, count(*) as n from t group by lang, term having count(distinct r) >= 30),
+    langs as (select lang, count(*) as v, sum(n)::hugeint as total from kept group by lang),
+    c as (select lang, source, term, count(*) as n from t semi join kept using (lang, term) group by lang, source, term),
+    totals as (
+        select g.lang, g.source, coalesce(sum(n), 0)::hugeint as total
+        from g left join c on c.lang = g.lang and c.source = g.source group by g.lang, g.source),
+    p as (
+        select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+            (1 + 1000000000::hugeint * (coalesce(c.n, 0) + 5) // (s.total + 5 * l.v))::bigint as p,
+            (1 + 1000000000::hugeint * (k.n + 5) // (l.total + 5 * l.v))::bigint as q
+        from totals s join langs l on l.lang = s.lang join kept k on k.lang = s.lang
+            left join c on c.lang = s.lang and c.source = s.source and c.term = k.term),
+    apart as (
+        select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+        from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+    pairs as (
+        select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0)::bigint as value
+        from g a join g b on a.lang = b.lang and a.source <> b.source
+            left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+    terms as (select lang, source, 'term' as part, term as item, p - q as value from p where n > 0 and p > q),
+    ranked as (
+        select *, (row_number() over (partition by lang, source, part order by value desc, encode(item)))::int as rank
+        from (select * from pairs union all select * from terms))
+    select * from ranked where part = 'pair' or rank <= 50
+    """
+)
+def op13_count_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))

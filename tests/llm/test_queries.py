@@ -24,7 +24,7 @@ def documents():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         connection.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     cursor = connection.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
