@@ -101,11 +101,13 @@ def distances(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...]) -> np
 
 
 def pair_sums(table: pa.Table) -> pa.Table:
-    """Of a chunk of terms the summed differences of all pairs of groups, one from either strip."""
+    """Of a chunk of terms the summed differences of all pairs of groups, one from either strip; none if one is empty."""
     lang, low, high = (table.column(name)[0].as_py() for name in ("lang", "low", "high"))
     names, group = np.unique(table.column("source").to_pandas().to_numpy(object), return_inverse=True)
     column = {name: table.column(name).to_numpy() for name in ("word", "strip", "n", "bits", "p")}
     found, ids = 0, []
+    if set(column["strip"].tolist()) != {low, high}:
+        return table.select(["lang", "source", "source", "p"]).rename_columns(["lang", "a", "b", "value"]).slice(0, 0)
     for word in np.unique(column["word"]):
         sides = []
         for strip in (low, high):

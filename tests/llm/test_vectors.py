@@ -53,7 +53,7 @@ def made(rng, width, groups=12, noise=0.12):
     return [(i, [float(x) for x in v], i % 3) for i, v in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("width", "block", "tile"), [(3, 4, 3), (24, 4, 3), (40, 16, 512), (70, 1000, 2)])
+@pytest.mark.parametrize(("width", "block", "tile"), [(3, 16, 3), (24, 12, 3), (70, 1000, 2)])
 def test_matches_all_pairs(spark, monkeypatch, width, block, tile):
     monkeypatch.setattr(vs, "LEAST_BLOCK", block)
     monkeypatch.setattr(vs, "TILE", tile)
