@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +18,10 @@ LEAST = 0.8
 BANDS = 20
 ROWS = 2  # sketch entries in a band
 KEPT = 2  # k-mers in a sketch entry
-BLOCK = 512  # members of a bucket whose signatures are compared at once
-SPREAD = 4  # blocks the first round beyond a block itself reaches; each further round reaches that many times as far
+# Members of a bucket, and words of them, that are compared at once.
+BLOCK, BLOCK_WORDS = 512, 4 << 20
+SALT = 64  # pairs of one text that are aligned in a row
 BITS = 2048  # of a signature
-# Pairs of each component in a block that are aligned first, in one of how many buckets: they join what is easily
-# joined. After that every pair that is still open is taken.
-LIKEST, SHARE = 2, 4
-EVERY = 1 << 30
 
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 PIECE = 1 << 16
@@ -106,17 +103,6 @@ def spare(n: list[np.ndarray], bits: list[np.ndarray], least: float) -> np.ndarr
     return (n[0][:, None] + n[1][None, :]) * (1 - least) / (1 + least) + 1e-6 - differing
 
 
-def likest(roots: np.ndarray, room: np.ndarray, most: int) -> np.ndarray:
-    """Indices of the pairs that are among the `most` likest of one of their two components."""
-    if most >= len(room):
-        return np.arange(len(room))
-    ends, pair = roots.T.ravel(), np.tile(np.arange(len(room)), 2)
-    order = np.lexsort((-room[pair], ends))
-    starts = np.flatnonzero(np.diff(ends[order], prepend=ends[order[0]] - 1))
-    rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-    return np.unique(pair[order[rank < most]])
-
-
 def similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
     """Shingles matched in order over all shingles of both texts, exact where it reaches `least`, else 0.
 
@@ -182,7 +168,10 @@ def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) that the alignment accepts; texts are given as id and shingles, 32 bits each."""
+    """The pairs (a, b) that the alignment accepts; texts are given as id and shingles, 32 bits each.
+
+    The pairs of one `a` are dealt to parts of about SALT, each with its own copy of that text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,9 +179,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             mask = [similarity(x, y, least) >= least for x, y in zip(*sides, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(mask, pa.bool_()))
 
-    left = texts.select(F.col("id").alias("a"), F.col("kmers").alias("x"))
+    parts = pairs.groupBy("a").agg(F.expr(f"1 + count(*) div {SALT}").alias("parts"))
+    left = texts.select(F.col("id").alias("a"), F.col("kmers").alias("x")).join(parts, "a")
+    left = left.select("a", "x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     right = texts.select(F.col("id").alias("b"), F.col("kmers").alias("y"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts"))
+    return dealt.join(right, "b").join(left, ["a", "part"]).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def shingled(rows: DataFrame) -> DataFrame:
@@ -206,74 +198,130 @@ def shingled(rows: DataFrame) -> DataFrame:
     return rows.select("id", "t").mapInArrow(run, "id long, kmers binary")
 
 
-def met_pairs(blocks: DataFrame, low: int, high: int, most: int, least: float) -> DataFrame:
-    """Pairs (a, b) of members of a bucket in blocks `low` to `high` apart, of different components and not unlike.
+# How a member takes part in a group: on the left, on the right, on the right with one like it on the left elsewhere, or both.
+LEFT, RIGHT, AGAIN, BOTH = range(4)
+MEMBER = ["band", "left", "right", "side", "id", "root", "n", "bits", "bands"]
+GROUP = "band long, left long, right long, side int, id long, root long, n int, bits binary, bands array<long>"
+
 
-    Of every component that meets others in two blocks the `most` likest pairs.
+def open_pairs(group: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of a group that may be similar but are in different components, the likest first.
+
+    Of the bands two texts share only the first one takes their pair.
     """
+    side, ids, roots, n = (group.column(c).to_numpy() for c in ("side", "id", "root", "n"))
+    bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
+    bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    band = group.column("band")[0].as_py()
+    lefts, rights = np.flatnonzero((side == LEFT) | (side == BOTH)), np.flatnonzero(side != LEFT)
+    ordered = side[rights] != RIGHT
+    found, spared = [], []
+    for at in range(0, len(lefts), 64):
+        some = lefts[at : at + 64]
+        room = spare([n[some], n[rights]], [bits[some], bits[rights]], least)
+        fits = (room >= 0) & (roots[some, None] != roots[None, rights]) & (~ordered[None, :] | (ids[some, None] < ids[None, rights]))
+        i, j = np.nonzero(fits)
+        spared.append(room[i, j])
+        found.append(np.stack([some[i], rights[j]]))
+    i, j = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    spared = np.concatenate(spared) if spared else np.zeros(0)
+    first = ~((bands[i] == bands[j]) & (bands[i] < band)).any(axis=1)
+    i, j, spared = i[first], j[first], spared[first]
+    order = np.lexsort((ids[j], ids[i], -spared))
+    return i[order], j[order]
+
+
+def by_group(rows: DataFrame, function: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
+    """Every group (band, left, right) through a function, one after the other in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def settled(upto: int | None) -> Iterator[pa.RecordBatch]:
+            together = pa.Table.from_batches(held)
+            keys = np.stack([together.column(c).to_numpy() for c in MEMBER[:3]])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), together.num_rows]
+            held[:] = [] if upto is None else together.slice(cuts[-2]).to_batches()
+            for lo, hi in zip(cuts[:upto], cuts[1:], strict=False):
+                if hi > lo and (made := function(together.slice(lo, hi - lo))) is not None:
+                    yield from made.combine_chunks().to_batches()
+
         for batch in batches:
-            for row in batch.to_pylist():
-                sides = (row["x"], row["y"] or row["x"])
-                ids, roots, n = ([np.array([m[k] for m in side], np.int64) for side in sides] for k in ("id", "root", "n"))
-                bits = [np.frombuffer(b"".join(m["bits"] for m in side), np.uint64).reshape(len(side), -1) for side in sides]
-                met, spared = [], []
-                for at in range(0, len(ids[0]), 64):
-                    part = slice(at, at + 64)
-                    room = spare([n[0][part], n[1]], [bits[0][part], bits[1]], least)
-                    fit = (room >= 0) & (roots[0][part, None] != roots[1][None, :]) & (ids[0][part, None] != ids[1][None, :])
-                    i, j = np.nonzero(fit)
-                    met.append(np.stack([i + at, j], axis=1))
-                    spared.append(room[i, j])
-                met, spared = np.concatenate(met), np.concatenate(spared)
-                if row["y"] is None:
-                    half = met[:, 0] < met[:, 1]
-                    met, spared = met[half], spared[half]
-                if len(met):
-                    i, j = met.T
-                    some = likest(np.stack([roots[0][i], roots[1][j]], axis=1), spared, most)
-                    a, b = ids[0][i[some]], ids[1][j[some]]
-                    yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    if not high:
-        both = blocks.select(F.col("members").alias("x"), F.lit(None).cast(blocks.schema["members"].dataType).alias("y"))
-    else:
-        reach = F.explode(F.sequence(F.col("block") + low, F.least(F.col("block") + high, F.col("last"))))
-        ahead = blocks.where(F.col("block") + low <= F.col("last")).select("band", reach.alias("block"), F.col("members").alias("x"))
-        both = ahead.join(blocks.select("band", "block", F.col("members").alias("y")), ["band", "block"]).select("x", "y")
-    return both.mapInArrow(run, "a long, b long").distinct()
+            if batch.num_rows:
+                held.append(batch)
+                yield from settled(-2)
+        if held:
+            yield from settled(None)
+
+    dealt = rows.repartition("band", "left", "right").sortWithinPartitions("band", "left", "right", "id", "side")
+    return dealt.mapInArrow(run, schema)
+
+
+def met(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that join components inside the groups of `rows`, no more per group than it has members.
+
+    Only members with a pair that the signatures leave open get their text; the task that holds them aligns the pairs,
+    the likest first, and leaves out those whose ends it has joined by then.
+    """
+
+    def wanted(group: pa.Table) -> pa.Table | None:
+        pairs = open_pairs(group, least)
+        return group.take(pa.array(np.unique(np.concatenate(pairs)))) if len(pairs[0]) else None
+
+    def joined(group: pa.Table) -> pa.Table | None:
+        ids, roots = group.column("id").to_pylist(), group.column("root").to_pylist()
+        kmers = [np.frombuffer(x, np.uint32) for x in group.column("kmers").to_pylist()]
+        up: dict[int, int] = {}
+
+        def top(node: int) -> int:
+            while node in up:
+                up[node] = node = up[node] if up[node] not in up else up[up[node]]
+            return node
+
+        links = []
+        for i, j in zip(*(side.tolist() for side in open_pairs(group, least)), strict=True):
+            a, b = top(roots[i]), top(roots[j])
+            if a != b and similarity(kmers[i], kmers[j], least) >= least:
+                up[max(a, b)] = min(a, b)
+                links.append((ids[i], ids[j]))
+        return pa.table([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], names=["a", "b"]) if links else None
+
+    open_ = by_group(rows.select(MEMBER), wanted, GROUP)
+    return by_group(open_.join(texts, "id").select(*MEMBER, "kmers"), joined, "a long, b long")
 
 
 def links(members: DataFrame, signs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Components (a, b) of the texts whose sketches share a band and whose similarity is at least `least`.
 
-    First every member of a bucket is compared with the first; then, only in buckets that still hold several components,
-    blocks of members meet further blocks, ever further, until every pair of a bucket is in one component or was
-    compared. Only texts of different components whose signatures leave the question open are aligned, the likest pairs
-    of two components first. So no pair that could join two components is left out, and what one component holds is not
-    compared again.
+    First every member of a bucket is compared with the first. Then, only in buckets that still hold several components,
+    the members of each block of a bucket meet; last, in buckets of several blocks, the members outside the largest
+    component meet all members. So no pair that could join two components is left out, and what one component holds is
+    not compared again.
     """
     first = members.groupBy("band").agg(F.min("id").alias("a"))
     pairs = members.join(first, "band").where("id > a").select("a", F.col("id").alias("b")).distinct()
-    found = components(written(confirmed(pairs, texts, least), "neardup-links"))
-    low, high, most = 0, 0, LIKEST
-    while True:
-        named = members.where(F.col("last") >= low).join(found.withColumnsRenamed({"a": "id", "b": "root"}), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        mixed = named.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-        mixed = written(mixed.where("r0 < r1").select("band"), "neardup-open")
+    found = components(written(confirmed(written(pairs, "neardup-pairs"), texts, least), "neardup-links"))
+    for inside in (True, False):
+        named = members if inside else members.where("last > 0")
+        named = named.join(found.withColumnsRenamed({"a": "id", "b": "root"}), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        sizes = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
+        mixed = sizes.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("main"), (F.sum("size") - F.max("size")).alias("others"))
+        mixed = written(mixed.where("others > 0").withColumn("parts", F.expr(f"1 + others div {BLOCK}")), "neardup-open")
         if mixed.isEmpty():
-            return found
-        some = mixed.where(F.pmod("band", F.lit(SHARE)) == 0) if most == LIKEST else mixed
-        member = F.struct("id", "root", "sign.n", "sign.bits")
-        open_ = named.join(some, "band").join(signs, "id").groupBy("band", "block")
-        blocks = open_.agg(F.first("last").alias("last"), F.collect_list(member).alias("members"))
-        more = written(confirmed(met_pairs(blocks, low, high, most, least), texts, least), "neardup-links")
+            continue
+        open_ = written(named.join(mixed, "band"), "neardup-mixed")
+        if inside:
+            rows = open_.withColumns({"left": F.col("block"), "right": F.col("block"), "side": F.lit(BOTH)})
+        else:
+            other = F.col("root") != F.col("main")
+            right = open_.withColumns({"left": F.explode(F.expr("sequence(0L, parts - 1)")), "right": F.col("block"), "side": F.when(other, AGAIN).otherwise(RIGHT)})
+            part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts"))
+            left = open_.where(other).withColumns({"left": part, "right": F.explode(F.expr("sequence(0L, last)")), "side": F.lit(LEFT)})
+            rows = left.unionByName(right)
+        more = written(met(rows.join(signs, "id"), texts, least), "neardup-links")
         if not more.isEmpty():
             found = components(found.unionByName(more))
-        if most == EVERY:
-            low, high = high + 1, max(SPREAD, (high + 1) * SPREAD)
-        most = EVERY
+    return found
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = LEAST) -> DataFrame:
@@ -282,21 +330,24 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
     `copy_of` is the smallest id with the same text, `class_id` the smallest id of all texts that links of similarity
     `least` or more connect with it. Links are looked for between texts that share a band of their sketches; five
     normalised words make a shingle. Texts without words are in a class only with equal texts, null texts with none. Rows
-    without an id get the class of the rows with their text, or null. Rows of one id with different texts share a class.
-    An empty table gives no rows.
+    without an id get the class of the rows with their text, or null. Rows of one id with different texts share a class;
+    the text with the smallest MD5 stands for them. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     rows = written(sketches(docs, text, key), "neardup-sketches")
     unique = rows.where("h is not null").groupBy("h").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
     unique = written(unique, "neardup-unique")
-    banded = unique.where("id is not null").select("id", F.explode("bands").alias("band")).distinct()
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    block = F.pmod(F.xxhash64("id"), F.col("last") + 1)
-    members = banded.join(shared, "band").withColumn("last", F.expr(f"n div {BLOCK}"))
-    members = written(members.select("band", "id", block.alias("block"), "last"), "neardup-members")
-    wanted = members.select("id").distinct()
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).where("t is not null").join(wanted, "id").dropDuplicates(["id"])
-    signs = unique.where("id is not null").select("id", "sign").dropDuplicates(["id"])
+    standing = F.min_by(F.struct("h", "bands", "sign"), "h").alias("text")
+    standing = written(unique.where("id is not null").groupBy("id").agg(standing).select("id", "text.*"), "neardup-standing")
+    banded = standing.select("id", "sign.n", F.explode("bands").alias("band")).distinct()
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("words")).where("size > 1")
+    last = F.expr(f"greatest(size div {BLOCK}, words div {BLOCK_WORDS})")
+    members = banded.join(shared, "band").withColumn("last", last).withColumn("block", F.pmod(F.xxhash64("id"), F.col("last") + 1))
+    members = written(members.select("band", "id", "block", "last"), "neardup-members")
+    wanted = standing.join(members.select("id").distinct(), "id").select("id", "h")
+    digest = F.unhex(F.md5(F.col(text).cast("binary"))).alias("h")
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"), digest).join(wanted, ["id", "h"]).dropDuplicates(["id"])
+    signs = standing.select("id", "sign.n", "sign.bits", "bands")
     found = links(members, signs, written(shingled(texts), "neardup-shingles"), least)
     named = unique.select("h", F.col("id").alias("copy_of")).join(found.withColumnsRenamed({"a": "copy_of", "b": "class_id"}), "copy_of", "left")
     named = named.withColumn("class_id", F.coalesce("class_id", "copy_of"))
@@ -307,10 +358,15 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
 def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = LEAST) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its columns; rows that repeat an id stay once.
 
-    Rows without an id stay: nothing says which of them are the same document.
+    Of rows with one id the one whose text has the smallest MD5 stays, a null text last; of equal texts the one whose
+    columns have the smallest hash. Rows without an id stay: nothing says which of them are the same document. All
+    columns keep their names, whatever they are; an empty table gives no rows.
     """
     found = classes(docs, text, key, least)
-    kept = found.where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    once = docs.where(F.col(key).isNotNull()).dropDuplicates([key])
-    stay = once.join(kept, once[key].cast("long") == kept["_kept"], "left_semi")
-    return stay.unionByName(docs.where(F.col(key).isNull()))
+    kept = found.where("doc_id = class_id").select(F.col("doc_id").alias("id")).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    place = F.struct(F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("~")), F.xxhash64(*hashed)).alias("place")
+    rows = docs.select(F.struct(*columns).alias("row"), F.col(key).cast("long").alias("id"), place)
+    once = rows.where("id is not null").join(kept, "id", "left_semi").groupBy("id").agg(F.min_by("row", "place").alias("row"))
+    return once.select("row.*").unionByName(docs.where(F.col(key).isNull()))
