@@ -159,7 +159,7 @@ def audit(
     strips = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).select("lang", F.expr(f"1 + sources div {STRIP}").alias("strips"))
     groups = written(groups.fillna(0).join(strips, "lang").withColumn("strip", F.expr("pmod(xxhash64(source), strips)")), "divergence-groups")
 
-    filled = F.expr(f"if(kept - word * {WORD} >= {WORD}, -1L, shiftleft(1L, cast(kept - word * {WORD} as int)) - 1)")
+    filled = F.expr(f"if(kept - word * {WORD} >= {WORD}, -1L, ~shiftleft(-1L, cast(kept - word * {WORD} as int)))")
     words = langs.select("lang", "kept", F.explode(F.expr(f"sequence(0L, (kept - 1) div {WORD})")).alias("word"))
     absent = words.withColumn("bits", filled).join(groups.select("lang", "source"), "lang").select("lang", "word", "source", F.lit(0).cast("bigint").alias("n"), "bits")
     levels = bitmaps(present).unionByName(absent).join(groups, ["lang", "source"])

@@ -76,6 +76,13 @@ def test_more_terms_than_a_bitset(spark):
     assert audit(spark.createDataFrame(rows, DOCUMENTS)) == plain(rows)
 
 
+@pytest.mark.parametrize("kept", [1, 63, 64, 65, 127, 128])
+def test_every_number_of_kept_terms(spark, kept):
+    terms = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(kept)]
+    rows = [(i, " ".join(terms[i % 2 :]), "en", f"s{i % 3}", 1) for i in range(8)]
+    assert audit(spark.createDataFrame(rows, DOCUMENTS)) == plain(rows)
+
+
 def test_edge_rows(spark, edge_rows):
     assert audit(spark.createDataFrame(edge_rows, DOCUMENTS)) == plain(edge_rows)
     assert audit(spark.createDataFrame([], DOCUMENTS)) == []
