@@ -42,8 +42,9 @@ def upsert_partitions(
     `merge` combines the touched partitions with the batch: delete+insert unless told otherwise.
 
     The partitions of the batch reach the scans of the target as literals, so that other directories are not even
-    listed for reading; a batch of more than MOST_LITERALS partitions finds them by a join instead. The partition column must be a function of the key, so a key never leaves its partition. The merged rows
-    are checkpointed before the overwrite: it must not read the files it replaces.
+    listed for reading; a batch of more than MOST_LITERALS partitions finds them by a join instead. Rows without a
+    partition value form a partition of their own. The partition column must be a function of the key, so a key never
+    leaves its partition. The merged rows are checkpointed before the overwrite: it must not read the files it replaces.
     """
     target = read_if_exists(spark, path)
     if target is None:
@@ -52,9 +53,11 @@ def upsert_partitions(
         batch = cut_lineage(batch)
         days = [r[0] for r in batch.select(partition).distinct().limit(MOST_LITERALS + 1).collect()]
         if len(days) > MOST_LITERALS:
-            touched = target.join(batch.select(partition).distinct(), partition, "left_semi")
+            asked = batch.select(F.col(partition).alias("_asked")).distinct()
+            touched = target.join(asked, F.col(partition).eqNullSafe(F.col("_asked")), "left_semi")
         else:
-            touched = target.filter(F.col(partition).isin([d for d in days if d is not None]))
+            known = F.col(partition).isin([d for d in days if d is not None])
+            touched = target.filter(known | F.col(partition).isNull() if None in days else known)
         write_partitions(cut_lineage(merge(touched, batch, keys)), path, partition)
     return spark.read.option("mergeSchema", True).parquet(path)
 

@@ -179,6 +179,19 @@ def test_upsert_reads_the_days_of_the_batch_only(spark, tmp_path):
     assert table.filter("v = 'new'").count() == batch.count()
 
 
+@pytest.mark.parametrize("most", [5000, 1])
+def test_upsert_keeps_rows_without_a_day(spark, rows, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(warehouse, "MOST_LITERALS", most)
+    path, schema = str(tmp_path / "fact"), "id int, date_key int, v string"
+    warehouse.upsert_partitions(spark, path, spark.createDataFrame([(1, None, "a"), (2, 20240101, "b"), (5, None, "c")], schema), ("id",))
+    batch = spark.createDataFrame([(3, None, "d"), (4, 20240102, "e"), (5, None, "f")], schema)
+    table = warehouse.upsert_partitions(spark, path, batch, ("id",))
+    want = [(1, None, "a"), (2, 20240101, "b"), (3, None, "d"), (4, 20240102, "e"), (5, None, "f")]
+    assert rows(table, "id", "date_key", "v") == want
+    late = warehouse.upsert_partitions(spark, path, spark.createDataFrame([(2, 20240101, "g")], schema), ("id",))
+    assert rows(late, "id", "date_key", "v") == [want[0], (2, 20240101, "g"), *want[2:]]
+
+
 def test_check_reports_the_age_of_every_source(built):
     rows = warehouse.check(built["tables"], AS_OF, strict=False, now=datetime(2026, 10, 27, 4)).filter("check_name like 'freshness%'").collect()
     assert {r.table_name for r in rows} == set(FRESHNESS) and {r.severity for r in rows} == {"warn"}
