@@ -152,9 +152,9 @@ def _(t):
     )
 
 
-def _intervals(t):
+def _intervals(t, orders=None):
     """Validity intervals per customer: one version per order day, until the next order day."""
-    days = t.orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("day")).agg(F.max("o_orderkey").alias("version"))
+    days = (orders or t.orders).groupBy("o_custkey", F.to_date("o_orderdate").alias("day")).agg(F.max("o_orderkey").alias("version"))
     nxt = F.lead("day").over(Window.partitionBy("o_custkey").orderBy("day"))
     return days.select(
         F.col("o_custkey").alias("cust"), "version", F.col("day").cast("timestamp").alias("valid_from_ts_utc"),
@@ -185,6 +185,18 @@ def _(t):
     return joined.groupBy("version").agg(F.count("*").alias("n_lines"))
 
 
+@query("c04_interval_join_merged", """
+with v as (select o_custkey % 5 as k, o_orderdate::date as d, max(o_orderkey) as version from orders group by all),
+s as (select o_custkey % 5 as k, l_shipdate::date as d from lineitem join orders on l_orderkey = o_orderkey)
+select version, count(*) as n_lines from s asof left join v on s.k = v.k and s.d >= v.d group by 1""")
+def _(t):
+    """Five keys with a version per day: far more versions than a fact may be held against."""
+    orders = t.orders.withColumn("o_custkey", F.col("o_custkey") % 5)
+    lines = _shipments(t).withColumn("cust", F.col("cust") % 5)
+    joined = joins.interval_join(lines, _intervals(t, orders), "cust", "ship_ts")
+    return joined.groupBy("version").agg(F.count("*").alias("n_lines"))
+
+
 @query("c05_spatial_join", f"select c.counter_id, 'd' || p.k as district_slug from q_counters c left join q_polygons p on {feeds.INSIDE}")
 def _(t):
     k = "c_custkey"

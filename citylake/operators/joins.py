@@ -1,7 +1,7 @@
 """Joins with validity intervals, reference checks and set membership.
 
-No join carries a broadcast hint: Spark broadcasts a side only when its measured size is below the
-threshold, and splits hot keys of a sort-merge join at run time.
+Spark broadcasts a side only when its measured size is below the threshold, and splits hot keys of a sort-merge join at
+run time.
 """
 
 from __future__ import annotations
@@ -11,7 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citylake.functions.columns import as_list
-from citylake.operators.ordered import SLICE, cut_long_groups, running_max
+from citylake.operators.ordered import SLICE, cut_long_groups, forward_fill, running_max
+
+# A fact may be held against this many versions of its key; of keys with more the versions and facts are merged in order.
+MOST_VERSIONS = 64
 
 
 def interval_join(
@@ -23,24 +26,75 @@ def interval_join(
     valid_to: str = "valid_to_ts_utc",
     how: str = "left",
     by_month: bool = False,
+    slices: int | None = None,
 ) -> DataFrame:
-    """Attaches the version valid at `ts` (valid_from <= ts < valid_to).
+    """Attaches the version valid at `ts` (valid_from <= ts < valid_to); `how` is left or inner.
+
+    The versions per key are counted first. While no key has more than MOST_VERSIONS, the key is an equality and the
+    interval a residual condition. Beyond that facts and versions are merged in the order of time (`merged_versions`),
+    in work linear in their number; only versions that overlap, of which a fact may have several, stay with the plain
+    join. `slices` is the number of runs the merged rows are cut into.
 
-    `by_month` is for large version tables: versions are repeated for the months they cover within the range
-    of the facts, so month joins the key as an equality and a fact meets only the versions of its month.
+    `by_month` is for large version tables that overlap: versions are repeated for the months they cover within the
+    range of the facts, so month joins the key as an equality and a fact meets only the versions of its month.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("an interval join is left or inner")
     right = versions.withColumnRenamed(key, "_version_of")
     matches = (F.col("_version_of") == F.col(key)) & (F.col(ts) >= F.col(valid_from)) & (F.col(ts) < F.col(valid_to))
-    if not by_month:
-        return facts.join(right, matches, how).drop("_version_of")
-    bounds = facts.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    first = F.date_trunc("month", F.greatest(F.col(valid_from), bounds.select("lo").scalar()))
-    last = F.date_trunc("month", F.least(F.col(valid_to), bounds.select("hi").scalar()))
-    months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
-    right = right.withColumn("_version_month", F.explode(months))
-    left = facts.withColumn("_month", F.date_trunc("month", F.col(ts)))
-    joined = left.join(right, (F.col("_month") == F.col("_version_month")) & matches, how)
-    return joined.drop("_version_of", "_month", "_version_month")
+    if by_month:
+        bounds = facts.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+        first = F.date_trunc("month", F.greatest(F.col(valid_from), bounds.select("lo").scalar()))
+        last = F.date_trunc("month", F.least(F.col(valid_to), bounds.select("hi").scalar()))
+        months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
+        right = right.withColumn("_version_month", F.explode(months))
+        left = facts.withColumn("_month", F.date_trunc("month", F.col(ts)))
+        joined = left.join(right, (F.col("_month") == F.col("_version_month")) & matches, how)
+        return joined.drop("_version_of", "_month", "_version_month")
+    most = versions.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if most > MOST_VERSIONS and not versions_overlap(versions, key, valid_from, valid_to):
+        return merged_versions(facts, versions, key, ts, valid_from, valid_to, how, slices)
+    return facts.join(right, matches, how).drop("_version_of")
+
+
+def versions_overlap(versions: DataFrame, key: str, valid_from: str, valid_to: str) -> bool:
+    """Whether two versions of one key are valid at the same instant."""
+    numbered = versions.select(key, valid_from, valid_to, F.xxhash64(key, valid_from, valid_to).alias("_number"))
+    slices = int(versions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return not overlapping_versions(numbered, key, "_number", valid_from, valid_to, slices).isEmpty()
+
+
+def merged_versions(
+    facts: DataFrame,
+    versions: DataFrame,
+    key: str,
+    ts: str,
+    valid_from: str,
+    valid_to: str,
+    how: str = "left",
+    slices: int | None = None,
+) -> DataFrame:
+    """The interval join of versions that do not overlap, as one pass over facts and versions in the order of time.
+
+    Both become rows of one sequence, a version before the facts of its first instant. The sequence is cut into runs of
+    even size whatever the keys; inside a run each fact takes the last version before it, and the version open at the
+    end of a run is carried to the next. No fact is compared with more than one version, and a key with most of the
+    facts or versions is spread over many tasks. Facts without a key or an instant have no version; a version that ends
+    before it starts, or without a bound, is valid never.
+    """
+    kept = [c for c in versions.columns if c != key]
+    fact = F.struct(*(F.col(f"`{c}`") for c in facts.columns))
+    version = F.struct(*(F.col(f"`{c}`") for c in kept), F.col(valid_to).alias("_until"))
+    started = versions.where(F.col(key).isNotNull() & (F.col(valid_from) < F.col(valid_to)))
+    started = started.select(F.col(key).alias("_key"), F.col(valid_from).alias("_at"), F.lit(0).alias("_kind"), version.alias("_version"))
+    asked = facts.select(F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_kind"), fact.alias("_fact"))
+    sequence = started.unionByName(asked, allowMissingColumns=True)
+    order = ["_at", "_kind"]
+    carried = forward_fill(cut_long_groups(sequence, "_key", order, slices), "_key", order, ["_version"], SLICE)
+    valid = F.coalesce(F.col("_at") < F.col("_version._until"), F.lit(False))
+    found = carried.where(F.col("_kind") == 1)
+    found = found.where(valid) if how == "inner" else found.withColumn("_version", F.when(valid, F.col("_version")))
+    return found.select("_fact.*", *(F.col(f"_version.`{c}`").alias(c) for c in kept))
 
 
 def anti(df: DataFrame, other: DataFrame, on: str | Sequence[str], other_on: str | Sequence[str] | None = None):
