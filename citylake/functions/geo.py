@@ -51,9 +51,34 @@ def _turn(edge: Column, x: Column, y: Column) -> Column:
     return (edge["x2"] - edge["x1"]) * (y - edge["y1"]) - (x - edge["x1"]) * (edge["y2"] - edge["y1"])
 
 
-def edges_contain(edges: ColumnOrName, lon: ColumnOrName, lat: ColumnOrName) -> Column:
-    """True strictly inside; points on an edge or a corner are outside."""
-    edges, x, y = as_col(edges), as_col(lon), as_col(lat)
+def ray_parity(edges: Column, x: Column, y: Column) -> Column:
+    """Whether an odd number of edges cross the ray from the point towards larger x."""
+
+    def crosses(edge: Column) -> Column:
+        straddles = (edge["y1"] > y) != (edge["y2"] > y)
+        return straddles & ((_turn(edge, x, y) > 0) == (edge["y2"] > edge["y1"]))
+
+    return F.size(F.filter(edges, crosses)) % 2 == 1
+
+
+def path_parity(edges: Column, x: Column, y: Column, to_x: Column, to_y: Column) -> Column:
+    """Whether an odd number of edges cross the path from one point level to the x of another, then straight to it.
+
+    Then one of the points lies inside and the other does not. Only edges that touch the rectangle around the two points
+    matter. The second point must not have the x of a corner.
+    """
+
+    def crosses(edge: Column) -> Column:
+        start, corner, end = (_turn(edge, px, py) > 0 for px, py in ((x, y), (to_x, y), (to_x, to_y)))
+        level = ((edge["y1"] > y) != (edge["y2"] > y)) & (start != corner)
+        upright = ((edge["x1"] > to_x) != (edge["x2"] > to_x)) & (corner != end)
+        return level != upright
+
+    return F.size(F.filter(edges, crosses)) % 2 == 1
+
+
+def on_edges(edges: Column, x: Column, y: Column) -> Column:
+    """Whether the point lies on an edge or a corner."""
 
     def on_edge(edge: Column) -> Column:
         return (
@@ -62,12 +87,21 @@ def edges_contain(edges: ColumnOrName, lon: ColumnOrName, lat: ColumnOrName) ->
             & y.between(F.least(edge["y1"], edge["y2"]), F.greatest(edge["y1"], edge["y2"]))
         )
 
-    def crosses(edge: Column) -> Column:
-        straddles = (edge["y1"] > y) != (edge["y2"] > y)
-        return straddles & ((_turn(edge, x, y) > 0) == (edge["y2"] > edge["y1"]))
+    return F.exists(edges, on_edge)
 
-    odd = F.size(F.filter(edges, crosses)) % 2 == 1
-    return odd & ~F.exists(edges, on_edge)
+
+def edges_touch(edge: Column, x: Column, y: Column, half: Column) -> Column:
+    """Whether an edge reaches into the square around a point; an edge that passes a corner closely may count."""
+    beside = (F.least(edge["x1"], edge["x2"]) > x + half) | (F.greatest(edge["x1"], edge["x2"]) < x - half)
+    above = (F.least(edge["y1"], edge["y2"]) > y + half) | (F.greatest(edge["y1"], edge["y2"]) < y - half)
+    reach = (F.abs(edge["x2"] - edge["x1"]) + F.abs(edge["y2"] - edge["y1"])) * half
+    return ~beside & ~above & (F.abs(_turn(edge, x, y)) <= reach)
+
+
+def edges_contain(edges: ColumnOrName, lon: ColumnOrName, lat: ColumnOrName) -> Column:
+    """True strictly inside; points on an edge or a corner are outside."""
+    edges, x, y = as_col(edges), as_col(lon), as_col(lat)
+    return ray_parity(edges, x, y) & ~on_edges(edges, x, y)
 
 
 def contains(polygon_geojson: ColumnOrName, point_geojson: ColumnOrName) -> Column:

@@ -1,53 +1,79 @@
-"""Point-in-polygon join on a grid of cells."""
+"""Point-in-polygon join on a quadtree of cells."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citylake.functions.geo import cell_of, edges_contain, polygon_rings, ring_edges
+from citylake.functions.geo import cell_of, edges_touch, on_edges, path_parity, polygon_rings, ray_parity, ring_edges
+from citylake.session import fresh_dir
 
+# Cells of the largest level are this many times 4 as wide as those of the smallest.
+TOP = 5
+FEW = 8  # edges with which a cell is not split further
+# Where the reference point of a cell lies in it: at no place a corner with a few decimals can have.
+PLACE = 0.41421356237309503
 
-def _cover(polygons: DataFrame, geojson: str, size: float) -> DataFrame:
-    """One row per (polygon, cell): the edges that matter there, or `_whole` when the cell lies inside.
 
-    A cell no edge comes near is entirely inside or outside; its centre decides, and outside cells are dropped.
-    For the others only the edges level with the cell and not left of it are kept: the crossing test looks
-    from the point towards larger x.
+def _width(level: Column, size: float) -> Column:
+    return F.lit(size) * F.pow(F.lit(4.0), level)
+
+
+def _reference(cell: Column, level: Column, size: float) -> Column:
+    return (cell + F.lit(PLACE)) * _width(level, size)
+
+
+def _local(edges: Column, cx: Column, cy: Column, level: Column, size: float) -> Column:
+    """The edges that reach into a cell; a hair of slack absorbs the rounding of its bounds."""
+    width = _width(level, size)
+    half = width / 2 + F.lit(size * 1e-6)
+    return F.filter(edges, lambda e: edges_touch(e, (cx + 0.5) * width, (cy + 0.5) * width, half))
+
+
+def cover(polygons: DataFrame, geojson: str, size: float) -> DataFrame:
+    """Cells of each polygon: _polygon, level, cx, cy, the edges that reach into the cell, and whether its reference
+    point lies inside.
+
+    A cell is split into 16 only where more than FEW edges reach into it, down to width `size`; a cell without edges
+    stays whole if it lies inside and goes if not. So the cells of a polygon are in proportion to its outline, and
+    each carries only its own edges: whether a point is inside follows from the edges between it and the reference point.
     """
     edges = ring_edges(polygon_rings(F.col(geojson)))
+    widest = size * 4**TOP
 
-    def bound(fn, first: str, second: str) -> Column:
-        return fn(F.concat(F.transform("_edges", lambda e: e[first]), F.transform("_edges", lambda e: e[second])))
+    def cells(first: str, second: str) -> Column:
+        values = F.concat(F.transform("edges", lambda e: e[first]), F.transform("edges", lambda e: e[second]))
+        return F.explode(F.sequence(cell_of(F.array_min(values), widest), cell_of(F.array_max(values), widest)))
 
-    boxed = polygons.withColumn("_edges", edges).select(
-        "*",
-        bound(F.array_min, "x1", "x2").alias("_x_lo"),
-        bound(F.array_max, "x1", "x2").alias("_x_hi"),
-        bound(F.array_min, "y1", "y2").alias("_y_lo"),
-        bound(F.array_max, "y1", "y2").alias("_y_hi"),
-    )
-    cells = boxed.withColumn("_cx", F.explode(F.sequence(cell_of("_x_lo", size), cell_of("_x_hi", size)))).withColumn(
-        "_cy", F.explode(F.sequence(cell_of("_y_lo", size), cell_of("_y_hi", size)))
-    )
-    # A hair of slack around the cell absorbs the rounding of the cell bounds.
-    slack = F.lit(size * 1e-6)
-    left, right = F.col("_cx") * F.lit(size) - slack, (F.col("_cx") + 1) * F.lit(size) + slack
-    low, high = F.col("_cy") * F.lit(size) - slack, (F.col("_cy") + 1) * F.lit(size) + slack
-
-    def level(e: Column) -> Column:
-        return (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["y1"], e["y2"]) >= low)
-
-    relevant = F.filter("_edges", lambda e: level(e) & (F.greatest(e["x1"], e["x2"]) >= left))
-    touching = F.exists("_edges", lambda e: level(e) & (F.greatest(e["x1"], e["x2"]) >= left)
-                        & (F.least(e["x1"], e["x2"]) <= right))
-    centre_inside = edges_contain("_edges", (F.col("_cx") + 0.5) * F.lit(size), (F.col("_cy") + 0.5) * F.lit(size))
-    return (
-        cells.withColumn("_touching", touching)
-        .withColumn("_whole", ~F.col("_touching") & centre_inside)
-        .filter("_touching or _whole")
-        .withColumn("_near", F.when(F.col("_touching"), relevant))
-        .drop("_edges", "_x_lo", "_x_hi", "_y_lo", "_y_hi", "_touching")
-    )
+    level, cx, cy = F.col("level"), F.col("cx"), F.col("cy")
+    rows = polygons.select("_polygon", edges.alias("edges"), F.lit(TOP).alias("level"))
+    rows = rows.withColumn("cx", cells("x1", "x2")).withColumn("cy", cells("y1", "y2"))
+    inside = ray_parity(F.col("edges"), _reference(cx, level, size), _reference(cy, level, size))
+    rows = rows.select("_polygon", "level", "cx", "cy", _local(F.col("edges"), cx, cy, level, size).alias("edges"), inside.alias("inside"))
+    for upper in range(TOP, 0, -1):
+        parts = F.transform(
+            F.sequence(F.lit(0), F.lit(15)),
+            lambda k: F.struct((level - 1).alias("level"), (cx * 4 + k % 4).alias("cx"), (cy * 4 + F.floor(k / 4).cast("int")).alias("cy")),
+        )
+        split = (level == upper) & (F.size("edges") > FEW)
+        part = F.explode(F.when(split, parts).otherwise(F.array(F.struct("level", "cx", "cy"))))
+        rows = rows.select("_polygon", level.alias("upper"), cx.alias("ux"), cy.alias("uy"), "edges", "inside", part.alias("cell"))
+        rows = rows.select("_polygon", "upper", "ux", "uy", "edges", "inside", "cell.*")
+        fresh = level < F.col("upper")
+        here = _reference(cx, level, size), _reference(cy, level, size)
+        there = _reference(F.col("ux"), F.col("upper"), size), _reference(F.col("uy"), F.col("upper"), size)
+        turned = F.col("inside") != path_parity(F.col("edges"), *here, *there)
+        rows = rows.select(
+            "_polygon", "level", "cx", "cy",
+            F.when(fresh, _local(F.col("edges"), cx, cy, level, size)).otherwise(F.col("edges")).alias("edges"),
+            F.when(fresh, turned).otherwise(F.col("inside")).alias("inside"),
+        ).where("size(edges) > 0 or inside")
+    return rows
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def spatial_join(
@@ -59,13 +85,37 @@ def spatial_join(
     cell: float = 0.01,
     how: str = "left",
 ) -> DataFrame:
-    """Attaches the polygon that strictly contains each point.
+    """Attaches the polygon that strictly contains each point; `how` is left or inner.
 
-    An equality join on grid cells with the exact test as residual: no point meets a polygon elsewhere.
-    Overlapping polygons yield one row each, as any join would; check uniqueness where that must not happen.
+    One equality join per level of cells in use, at most TOP + 1 of them, each with one row per cell; the exact test
+    then sees only the few edges of the cells a point lies in. `cell` is the width of the smallest cells, which only
+    dense outlines need. Overlapping polygons yield one row each, as any join would; check uniqueness where that must
+    not happen.
     """
-    cover = _cover(polygons, geojson, cell)
+    if how not in ("left", "inner"):
+        raise ValueError("a spatial join is left or inner")
+    numbered = _written(polygons.withColumn("_polygon", F.monotonically_increasing_id()), "polygons")
+    cells = _written(cover(numbered, geojson, cell), "cover")
+    part = F.struct(
+        "_polygon", "edges", "inside",
+        _reference(F.col("cx"), F.col("level"), cell).alias("x"),
+        _reference(F.col("cy"), F.col("level"), cell).alias("y"),
+    )
+    grouped = cells.groupBy("level", "cx", "cy").agg(F.collect_list(part).alias("_parts"))
     located = points.withColumn("_px", cell_of(lon, cell)).withColumn("_py", cell_of(lat, cell))
-    inside = F.col("_whole") | edges_contain("_near", lon, lat)
-    joined = located.join(cover, (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & inside, how)
-    return joined.drop("_px", "_py", "_cx", "_cy", "_whole", "_near")
+    levels = sorted(r[0] for r in cells.select("level").distinct().collect())
+    for level in levels:
+        right = grouped.where(F.col("level") == level).select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("_parts").alias(f"_parts{level}"))
+        meets = (F.shiftright("_px", 2 * level) == F.col("_cx")) & (F.shiftright("_py", 2 * level) == F.col("_cy"))
+        located = located.join(right, meets, "left").drop("_cx", "_cy")
+    x, y = F.col(lon), F.col(lat)
+
+    def holds(one: Column) -> Column:
+        return (one["inside"] != path_parity(one["edges"], x, y, one["x"], one["y"])) & ~on_edges(one["edges"], x, y)
+
+    none = F.array().cast("array<bigint>")
+    found = [F.transform(F.filter(f"_parts{level}", holds), lambda one: one["_polygon"]) for level in levels]
+    found = F.concat(none, *(F.coalesce(f, none) for f in found))
+    explode = F.explode if how == "inner" else F.explode_outer
+    held = located.withColumn("_of", explode(found)).drop("_px", "_py", *(f"_parts{level}" for level in levels))
+    return held.join(numbered, F.col("_of") == F.col("_polygon"), how).drop("_of", "_polygon")

@@ -11,7 +11,7 @@ from citylake.operators import incremental, joins, ordered, sampling, stats
 from citylake.operators.dedup import latest_version, latest_wins
 from citylake.operators.fill import dense_forward_fill
 from citylake.operators.scd2 import scd2_dimension, snapshot_check
-from citylake.operators.spatial import spatial_join
+from citylake.operators.spatial import cover, spatial_join
 
 
 @pytest.fixture(scope="module")
@@ -135,6 +135,48 @@ def test_interval_join_finds_exactly_one_version(spark, rows, by_month):
     assert [(i, v) for i, _, v in got] == [("s", "v1"), ("s", "v1"), ("s", "v2"), ("x", None)]
 
 
+def hot_versions(spark, overlap=False):
+    """10,000 versions and half of all facts of one key, with gaps, missing keys and missing instants."""
+    versions = spark.range(10_100).selectExpr(
+        "if(id < 10000, 'hot', concat('k', id % 7)) as id", "concat('v', id) as version",
+        "timestamp_seconds(id * 3600) as valid_from_ts_utc",
+        f"timestamp_seconds(id * 3600 + if(id % 10 = 3, 1800, if(id % 10 = 5, {5400 if overlap else 3600}, 3600 * if(id < 10000, 1, 7)))) as valid_to_ts_utc")
+    facts = spark.range(20_000).selectExpr(
+        "id as n", "case when id % 2 = 0 then 'hot' when id % 97 = 1 then null else concat('k', id % 9) end as id",
+        "if(id % 41 = 7, null, timestamp_seconds((id * 7919) % 36500000)) as ts", "'own' as _at")
+    return facts, versions
+
+
+def test_many_versions_meet_facts_in_linear_work(spark, monkeypatch):
+    facts, versions = hot_versions(spark)
+    steps = []
+    cut = joins.cut_long_groups
+
+    def counted(df, *args):
+        made = cut(df, *args)
+        if "_fact" in made.columns:
+            steps.append((made.count(), made.groupBy("_slice").count().agg(F.max("count")).first()[0]))
+        return made
+
+    monkeypatch.setattr(joins, "cut_long_groups", counted)
+    plain = facts.join(versions.withColumnRenamed("id", "key"), F.expr("id = key and ts >= valid_from_ts_utc and ts < valid_to_ts_utc"), "left").drop("key")
+    for how in ("left", "inner"):
+        want = plain if how == "left" else plain.where("version is not null")
+        got = joins.interval_join(facts, versions, "id", "ts", how=how, slices=16)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    # One row per fact and version, in runs of even size: no fact was held against more than one version.
+    assert {rows for rows, _ in steps} == {30_100} and all(largest < 3 * 30_100 / 16 for _, largest in steps)
+
+
+def test_overlapping_versions_all_match(spark):
+    facts, versions = hot_versions(spark, overlap=True)
+    some = facts.where("n % 10 < 3")
+    got = joins.interval_join(some, versions, "id", "ts")
+    assert got.count() > some.count() and got.where("version is null").count() > 0
+    assert joins.versions_overlap(versions, "id", "valid_from_ts_utc", "valid_to_ts_utc")
+
+
 def test_spatial_join_equals_brute_force(spark):
     rng = random.Random(3)
     polygons = []
@@ -158,6 +200,41 @@ def test_spatial_join_equals_brute_force(spark):
     assert left.select("i").distinct().count() == 400
 
 
+def ring_of(points):
+    return str({"type": "Polygon", "coordinates": [[list(p) for p in points]]}).replace("'", '"')
+
+
+def test_cells_follow_the_outline(spark):
+    """A disc 1,000 cells wide with 4,000 corners, and a square with four."""
+    angles = [2 * np.pi * i / 4000 for i in range(4000)]
+    disc = ring_of([(float(5 + 5 * np.cos(a)), float(5 + 5 * np.sin(a))) for a in angles])
+    square = ring_of([(0.001, 0.001), (9.999, 0.001), (9.999, 9.999), (0.001, 9.999)])
+    polygons = spark.createDataFrame([(0, disc), (1, square)], "_polygon long, g string")
+    cells = cover(polygons, "g", 0.01).selectExpr("_polygon", "level", "size(edges) as n").collect()
+    of_disc = [c for c in cells if c["_polygon"] == 0]
+    # The outline passes about 4,000 cells of this width; the area holds 785,000.
+    assert len(of_disc) < 4000 and sum(c["n"] for c in of_disc) < 4 * 4000
+    assert len([c for c in cells if c["_polygon"] == 1]) == 1
+    rng = random.Random(6)
+    points = [(i, rng.uniform(0, 10), rng.uniform(0, 10)) for i in range(3000)] + [(9000 + i, 5 + 4.9999 * np.cos(i), 5 + 4.9999 * np.sin(i)) for i in range(300)]
+    pts = spark.createDataFrame([(i, float(x), float(y)) for i, x, y in points], "i int, longitude double, latitude double")
+    got = {r["i"] for r in spatial_join(pts, spark.createDataFrame([(disc,)], "geometry_geojson string"), how="inner").select("i").collect()}
+    sure = {i for i, x, y in points if np.hypot(x - 5, y - 5) < 4.99999}
+    assert sure <= got and all(np.hypot(x - 5, y - 5) <= 5 for i, x, y in points if i in got)
+
+
+def test_holes_corners_and_points_without_a_place(spark):
+    outer, hole = [(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (3, 1), (3, 3), (1, 3)]
+    geometry = str({"type": "Polygon", "coordinates": [[list(map(float, p)) for p in ring] for ring in (outer, hole)]}).replace("'", '"')
+    points = [(0, 0.5, 0.5), (1, 2.0, 2.0), (2, 0.0, 0.0), (3, 4.0, 2.0), (4, 1.0, 1.0), (5, 2.0, 1.0), (6, 3.5, 3.0), (7, None, 1.0), (8, 1.0, 3.5), (9, -1.0, 3.0)]
+    pts = spark.createDataFrame(points, "i int, longitude double, latitude double")
+    polygons = spark.createDataFrame([("a", geometry), ("none", None)], "name string, geometry_geojson string")
+    for cell in (0.01, 0.3, 7.0):
+        joined = spatial_join(pts, polygons, cell=cell)
+        assert joined.columns == ["i", "longitude", "latitude", "name", "geometry_geojson"]
+        assert sorted((r["i"], r["name"]) for r in joined.collect()) == [(i, "a" if i in (0, 6, 8) else None) for i in range(10)]
+
+
 CHECKED = ["name", "listed"]
 
 
