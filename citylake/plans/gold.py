@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from citylake.functions.exact import exact_avg, exact_parts, exact_ratio, exact_sum
 from citylake.functions.keys import surrogate_key
 from citylake.functions.time import calendar_parts, date_key, date_spine, local_date, local_day_bounds
-from citylake.operators.incremental import LOOKBACK_DAYS, lookback, lookback_bound
+from citylake.operators.incremental import LOOKBACK_DAYS, Days, lookback, lookback_bound
 from citylake.operators.dedup import latest_value
 from citylake.operators.joins import interval_join
 from citylake.operators.resample import rollup_local_day
@@ -24,6 +24,8 @@ HOME_CURRENCY_SOURCE = "EUR"
 
 # Facts are stored by local day, a function of their key that grows with time.
 PARTITION = "date_key"
+# Silver series are stored by the day of their bronze partition.
+SILVER_DAY = "bronze_day"
 FACT_KEYS = {
     "fact_air_quality_hourly": ("station_id", "hour_start_ts_utc", "pollutant"),
     "fact_weather_hourly": ("station_id", "hour_start_ts_utc"),
@@ -116,10 +118,23 @@ def _at_station(df: DataFrame, stations: DataFrame, ts: str) -> DataFrame:
     )
 
 
+def _of_local_days(df: DataFrame, ts: str, changed: Days) -> DataFrame:
+    """The rows of whole local days; silver days next to them can hold some, others are not read."""
+    near = changed.of(df, SILVER_DAY, reach=1) if SILVER_DAY in df.columns else df
+    return changed.of(near, local_date(ts))
+
+
+def _recent(df: DataFrame, ts: str, target: DataFrame | None, days: int, changed: Days | None) -> DataFrame:
+    """The rows a run has to process: those of the changed local days, or those since the lookback bound."""
+    if changed is not None:
+        return _of_local_days(df, ts, changed)
+    return lookback(df, ts, target, "hour_start_ts_utc", days, PARTITION)
+
+
 def fact_air_quality_hourly(
-    measurements: DataFrame, stations: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS
+    measurements: DataFrame, stations: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS, changed: Days | None = None
 ) -> DataFrame:
-    recent = lookback(measurements, "measured_hour_start_ts_utc", target, "hour_start_ts_utc", days, PARTITION)
+    recent = _recent(measurements, "measured_hour_start_ts_utc", target, days, changed)
     return _at_station(recent, stations, "measured_hour_start_ts_utc").select(
         "station_id",
         F.col("measured_hour_start_ts_utc").alias("hour_start_ts_utc"),
@@ -136,9 +151,9 @@ def fact_air_quality_hourly(
 
 
 def fact_weather_hourly(
-    weather: DataFrame, stations: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS
+    weather: DataFrame, stations: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS, changed: Days | None = None
 ) -> DataFrame:
-    recent = lookback(weather, "hour_start_ts_utc", target, "hour_start_ts_utc", days, PARTITION)
+    recent = _recent(weather, "hour_start_ts_utc", target, days, changed)
     return _at_station(recent, stations, "hour_start_ts_utc").select(
         "station_id",
         "hour_start_ts_utc",
@@ -180,20 +195,24 @@ def convert_currency(
     )
 
 
+def home_rates(fx: DataFrame) -> DataFrame:
+    """(calendar_date, rate) of the currency prices are quoted in."""
+    return fx.filter(F.col("currency_code") == HOME_CURRENCY_SOURCE).select("calendar_date", F.col("rate_czk_per_unit").alias("rate"))
+
+
 def fact_energy_price_hourly(
-    prices: DataFrame, load: DataFrame, fx: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS
+    prices: DataFrame, load: DataFrame, fx: DataFrame, target: DataFrame | None = None, days: int = LOOKBACK_DAYS, changed: Days | None = None
 ) -> DataFrame:
-    recent = lookback(prices, "hour_start_ts_utc", target, "hour_start_ts_utc", days, PARTITION)
+    recent = _recent(prices, "hour_start_ts_utc", target, days, changed)
+    if changed is not None:
+        load = _of_local_days(load, "hour_start_ts_utc", changed)
     demand = load.select("hour_start_ts_utc", "load_mw", F.col("n_intervals").alias("n_load_intervals"))
     hourly = (
         recent.withColumnRenamed("n_intervals", "n_price_intervals")
         .join(demand, "hour_start_ts_utc", "left")
         .withColumn("local_date", local_date("hour_start_ts_utc"))
     )
-    eur = fx.filter(F.col("currency_code") == HOME_CURRENCY_SOURCE).select(
-        "calendar_date", F.col("rate_czk_per_unit").alias("rate")
-    )
-    return convert_currency(hourly, eur, "local_date", "price_eur_mwh").select(
+    return convert_currency(hourly, home_rates(fx), "local_date", "price_eur_mwh").select(
         "hour_start_ts_utc",
         date_key("local_date").alias("date_key"),
         "hour_start_local",
@@ -215,13 +234,14 @@ def fact_bike_traffic_daily(
     counters: DataFrame,
     target: DataFrame | None = None,
     days: int = LOOKBACK_DAYS,
+    changed: Days | None = None,
 ) -> DataFrame:
     """Counts per counter direction and local day.
 
     A direction missing from the catalogue of its counter takes the name another counter gives that id.
     """
-    first_day = lookback_bound(target, "local_date", days, PARTITION)
-    recent = detections
+    first_day = None if changed is not None else lookback_bound(target, "local_date", days, PARTITION)
+    recent = detections if changed is None else _of_local_days(detections, "interval_start_ts_utc", changed)
     if first_day is not None:
         # Whole local days from a local midnight on, as a bound on the stored instant.
         recent = detections.filter(F.col("interval_start_ts_utc") >= local_day_bounds(F.lit(first_day))[0])
@@ -309,16 +329,23 @@ def _energy_daily(energy: DataFrame) -> DataFrame:
     )
 
 
+# What the mart takes from the dimensions.
+MART_DISTRICT = ("district_key", "district_slug", "district_name")
+MART_DATE = ("date_key", "date_day", "is_weekend", "is_cz_public_holiday")
+
+
 def mart_air_vs_energy_daily(
-    air: DataFrame, weather: DataFrame, energy: DataFrame, districts: DataFrame, dates: DataFrame
+    air: DataFrame, weather: DataFrame, energy: DataFrame, districts: DataFrame, dates: DataFrame, changed: Days | None = None
 ) -> DataFrame:
-    """District x local day; days without air-quality rows do not appear."""
+    """District x local day; days without air-quality rows do not appear. With `changed` only these days."""
+    if changed is not None:
+        air, weather, energy = (changed.of_keys(fact, PARTITION) for fact in (air, weather, energy))
     return (
         _air_daily(air)
         .join(_weather_daily(weather), ["district_key", "date_key"], "left")
         .join(_energy_daily(energy), "date_key", "left")
-        .join(districts.select("district_key", "district_slug", "district_name"), "district_key", "left")
-        .join(dates.select("date_key", "date_day", "is_weekend", "is_cz_public_holiday"), "date_key", "left")
+        .join(districts.select(*MART_DISTRICT), "district_key", "left")
+        .join(dates.select(*MART_DATE), "date_key", "left")
         .select(
             "district_key",
             "date_key",

@@ -8,7 +8,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citylake.functions.time import local_date
-from citylake.operators.incremental import LOOKBACK_DAYS, delete_insert
+from citylake.operators.incremental import Days, changed_days, delete_insert, differing_days
 from citylake.operators.scd2 import snapshot_check
 from citylake.plans import gold, silver
 from citylake.plans.contracts import FRESHNESS, all_checks
@@ -18,7 +18,7 @@ from citylake.sources.landing import read_bronze, read_if_exists, write_partitio
 from citylake.sources.schemas import BRONZE
 from citylake.sources.seed import holidays
 
-SILVER_DAY = "bronze_day"
+SILVER_DAY = gold.SILVER_DAY
 MOST_LITERALS = 5000
 POINTER = "_current"
 
@@ -106,10 +106,16 @@ def build(
 
     A full refresh rebuilds the facts from all of silver; otherwise they re-process the lookback window.
 
-    Silver series are stored by the day of their bronze partition. With `changed_since`, the instant of the last
-    run, each series and fact starts at the first day of its sources that was landed since then, however old it is.
-    With `bronze_since`, only bronze days from there on are read and only their silver days replaced, and changes
-    older than the lookback window reach facts through a full refresh. Without either every series is rebuilt.
+    Silver series are stored by the day of their bronze partition, facts and the mart by local day. With
+    `changed_since`, the instant of the last run, the days landed since then travel through all layers as a set: a
+    series rewrites these days, a fact the local days its changed silver rows fall on, the mart the days of its three
+    facts. An exchange rate also reaches the days that repeat it and those that take the latest one; a changed calendar
+    day rewrites that day of the mart, changed districts the whole mart. However old a late day is, only what it reaches is
+    read and written.
+
+    With `bronze_since`, only bronze days from there on are read and only their silver days replaced. Changes older than
+    the lookback window then reach facts through a full refresh, as do changed counters and stations in both cases.
+    Without either every series is rebuilt.
     """
     tables: dict[str, DataFrame] = {name: read_bronze(spark, bronze_root, name) for name in BRONZE}
 
@@ -122,30 +128,33 @@ def build(
     def silver_table(name: str, df: DataFrame) -> DataFrame:
         return keep("silver", name, df, "silver_")
 
-    starts: dict[str, date | None] = {}
+    landed: dict[str, Days] = {}
 
-    def first_day(source: str) -> date | None:
-        """First day of a source that is to be read again; None if nothing came."""
-        if changed_since is None:
-            return bronze_since
-        if source not in starts:
-            landed = tables[source].filter(F.col("_loaded_at") >= F.lit(changed_since))
-            starts[source] = landed.agg(F.min("load_date")).first()[0]
-        return starts[source]
+    def days_of(source: str) -> Days:
+        """Bronze days of a source that landed since the last run."""
+        if source not in landed:
+            landed[source] = changed_days(tables[source], "load_date", "_loaded_at", changed_since)
+        return landed[source]
 
     def series(name: str, source: str, plan: Callable[[DataFrame], DataFrame], day: Column) -> DataFrame:
         """The key of a series determines its bronze day, so de-duplication never crosses a day."""
         path = f"{out_root}/silver/{name}"
         partial = (bronze_since or changed_since) is not None and read_if_exists(spark, path) is not None
-        start = first_day(source) if partial else None
-        rows = plan(read_bronze(spark, bronze_root, source, first=start)).withColumn(SILVER_DAY, day)
-        if partial and start is not None:
-            write_partitions(rows, path, SILVER_DAY)
-        elif not partial:
+        bronze = read_bronze(spark, bronze_root, source, first=bronze_since if partial and changed_since is None else None)
+        if partial and changed_since is not None:
+            bronze = days_of(source).of(bronze, "load_date")
+        rows = plan(bronze).withColumn(SILVER_DAY, day)
+        if not partial:
             rows.hint("rebalance", F.col(SILVER_DAY)).write.mode("overwrite").partitionBy(SILVER_DAY).parquet(path)
+        elif changed_since is None or not days_of(source).empty:
+            write_partitions(rows, path, SILVER_DAY)
         tables[f"silver_{name}"] = spark.read.parquet(path)
         return tables[f"silver_{name}"]
 
+    def local_days(rows: DataFrame, source: str, ts: str) -> Days:
+        """Local days that the changed silver rows of a series fall on."""
+        return Days(days_of(source).of(rows, SILVER_DAY).select(local_date(ts)))
+
     districts = silver_table("city_districts", silver.city_districts(tables["city_districts"]))
     stations = silver_table("air_stations", silver.air_stations(tables["air_stations"], tables["air_history"]))
     measurements = series("air_measurements", "air_history", silver.air_measurements, F.to_date("published_ts_utc"))
@@ -159,6 +168,8 @@ def build(
     delivery = local_date("hour_start_ts_utc")
     prices = series("prices_hourly", "energy_prices", silver.prices_hourly, delivery)
     load = series("load_hourly", "energy_load", silver.load_hourly, delivery)
+    known = read_if_exists(spark, f"{out_root}/silver/fx_rates_daily") if changed_since is not None else None
+    rates_before = cut_lineage(gold.home_rates(known)) if known is not None else None
     fx = silver_table("fx_rates_daily", silver.fx_rates_daily(tables["fx_daily"]))
     weather = series("weather_hourly", "weather_hourly", silver.weather_hourly, F.to_date("hour_start_ts_utc"))
 
@@ -167,50 +178,90 @@ def build(
     state = snapshot_check(history, stations, "station_id", gold.STATION_CHECKED, run_ts)
     tables["snapshot_air_stations"] = write_snapshot(spark, snapshot_path, state, run_ts)
 
-    keep("gold", "dim_date", gold.dim_date(spark, seed, as_of, calendar_start))
+    def before(name: str, columns: Sequence[str]) -> DataFrame | None:
+        """What the mart took from a dimension in the last run."""
+        held = read_if_exists(spark, f"{out_root}/gold/{name}") if changed_since is not None else None
+        return cut_lineage(held.select(*columns)) if held is not None else None
+
+    dates_before, districts_before = before("dim_date", gold.MART_DATE), before("dim_district", gold.MART_DISTRICT)
+    dim_date = keep("gold", "dim_date", gold.dim_date(spark, seed, as_of, calendar_start))
     dim_district = keep("gold", "dim_district", gold.dim_district(districts))
     dim_station = keep("gold", "dim_station", gold.dim_station(tables["snapshot_air_stations"], dim_district))
     dim_counter = keep("gold", "dim_bike_counter", gold.dim_bike_counter(counters, dim_district))
 
-    def reach(target: DataFrame, sources: Sequence[str]) -> int:
-        """Days back from the newest fact row that a run has to process: the lookback, or up to the oldest change."""
-        changed = [d for d in map(first_day, sources) if d is not None] if changed_since is not None else []
-        newest = target.agg(F.max("date_key")).first()[0]
-        if not changed or newest is None:
-            return LOOKBACK_DAYS
-        # One day for the local calendar, one for publications that belong to the hour before.
-        return max(LOOKBACK_DAYS, (datetime.strptime(str(newest), "%Y%m%d").date() - min(changed)).days + 2)
+    touched: dict[str, Days] = {}
 
-    def fact(name: str, plan: Callable[[DataFrame | None, int], DataFrame], *sources: str) -> DataFrame:
+    def by_day(path: str, rows: DataFrame) -> DataFrame:
+        rows.hint("rebalance", F.col("date_key")).write.mode("overwrite").partitionBy("date_key").parquet(path)
+        return spark.read.parquet(path)
+
+    def fact(name: str, plan: Callable[[DataFrame | None, Days | None], DataFrame], changed: Callable[[DataFrame], Days]) -> DataFrame:
         path = f"{out_root}/gold/{name}"
         target = None if full_refresh else read_if_exists(spark, path)
         if target is None:
-            rows = plan(None, LOOKBACK_DAYS).hint("rebalance", F.col("date_key"))
-            rows.write.mode("overwrite").partitionBy("date_key").parquet(path)
-            tables[name] = spark.read.parquet(path)
+            tables[name] = by_day(path, plan(None, None))
+        elif changed_since is None:
+            tables[name] = upsert_partitions(spark, path, plan(target, None), gold.FACT_KEYS[name])
         else:
-            tables[name] = upsert_partitions(spark, path, plan(target, reach(target, sources)), gold.FACT_KEYS[name])
+            touched[name] = changed(target)
+            if not touched[name].empty:
+                upsert_partitions(spark, path, plan(None, touched[name]), gold.FACT_KEYS[name])
+            tables[name] = spark.read.option("mergeSchema", True).parquet(path)
         return tables[name]
 
-    air_fact = fact("fact_air_quality_hourly", lambda t, d: gold.fact_air_quality_hourly(measurements, dim_station, t, d), "air_history")
-    weather_fact = fact("fact_weather_hourly", lambda t, d: gold.fact_weather_hourly(weather, dim_station, t, d), "weather_hourly")
-    energy_fact = fact(
-        "fact_energy_price_hourly",
-        lambda t, d: gold.fact_energy_price_hourly(prices, load, fx, t, d),
-        "energy_prices",
-        "energy_load",
-        "fx_daily",
+    def rate_days(target: DataFrame) -> Days:
+        """Days whose rate is another one than before, and if the latest rate is, those that take it."""
+        rates = gold.home_rates(fx)
+        if rates_before is None:
+            return Days(target.select(F.to_date("hour_start_local")))
+        days = differing_days(rates_before, rates, "calendar_date", ["rate"])
+        newest = [rows.agg(F.max_by("rate", "calendar_date")).first()[0] for rows in (rates_before, rates)]
+        if newest[0] != newest[1]:
+            days = days.also(Days(target.filter("is_eur_rate_estimated").select(F.to_date("hour_start_local"))))
+        return days
+
+    def energy_days(target: DataFrame) -> Days:
+        days = local_days(prices, "energy_prices", "hour_start_ts_utc").also(local_days(load, "energy_load", "hour_start_ts_utc"))
+        return days.also(rate_days(target))
+
+    air_fact = fact(
+        "fact_air_quality_hourly",
+        lambda t, c: gold.fact_air_quality_hourly(measurements, dim_station, t, changed=c),
+        lambda t: local_days(measurements, "air_history", "measured_hour_start_ts_utc"),
+    )
+    weather_fact = fact(
+        "fact_weather_hourly",
+        lambda t, c: gold.fact_weather_hourly(weather, dim_station, t, changed=c),
+        lambda t: local_days(weather, "weather_hourly", "hour_start_ts_utc"),
     )
+    energy_fact = fact("fact_energy_price_hourly", lambda t, c: gold.fact_energy_price_hourly(prices, load, fx, t, changed=c), energy_days)
     fact(
         "fact_bike_traffic_daily",
-        lambda t, d: gold.fact_bike_traffic_daily(detections, directions, dim_counter, t, d),
-        "bike_detections",
-    )
-    keep(
-        "gold",
-        "mart_air_vs_energy_daily",
-        gold.mart_air_vs_energy_daily(air_fact, weather_fact, energy_fact, dim_district, tables["dim_date"]),
+        lambda t, c: gold.fact_bike_traffic_daily(detections, directions, dim_counter, t, changed=c),
+        lambda t: local_days(detections, "bike_detections", "interval_start_ts_utc"),
     )
+
+    def mart_days() -> Days | None:
+        """Days of the mart that a run has to write; None for all of them."""
+        parts = [touched.get(n) for n in ("fact_air_quality_hourly", "fact_weather_hourly", "fact_energy_price_hourly")]
+        if None in parts or dates_before is None or districts_before is None:
+            return None
+        districts_now = dim_district.select(*gold.MART_DISTRICT)
+        if not (districts_now.exceptAll(districts_before).isEmpty() and districts_before.exceptAll(districts_now).isEmpty()):
+            return None
+        days = differing_days(dates_before, dim_date, "date_day", gold.MART_DATE)
+        for part in parts:
+            days = days.also(part)
+        return days
+
+    path = f"{out_root}/gold/mart_air_vs_energy_daily"
+    days = mart_days() if read_if_exists(spark, path) is not None else None
+    mart = gold.mart_air_vs_energy_daily(air_fact, weather_fact, energy_fact, dim_district, dim_date, days)
+    if days is None:
+        tables["mart_air_vs_energy_daily"] = by_day(path, mart)
+    else:
+        write_partitions(mart, path, "date_key")
+        tables["mart_air_vs_energy_daily"] = spark.read.parquet(path)
     return tables
 
 

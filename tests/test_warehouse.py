@@ -6,6 +6,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from citylake.operators import incremental
 from citylake.plans import analytics, warehouse
 from citylake.plans.contracts import FRESHNESS, all_checks
 from citylake.quality import QualityError, enforce, freshness, report
@@ -235,13 +236,78 @@ def test_late_rows_of_any_age_arrive_without_a_full_refresh(spark, tmp_path):
         city.land_series(spark, root, day, loaded)
     first = warehouse.build(spark, root, out, AS_OF, datetime(2026, 10, 28, 4))
     before = content(first["fact_air_quality_hourly"])
+    files = {name: stored(out, name) for name in LAYERS}
     # The oldest day comes again with other values, after the facts have moved on.
     city.land_series(spark, root, city.DAYS[0], datetime(2026, 11, 8, 3), bump=5.0)
     late = warehouse.build(spark, root, out, AS_OF, datetime(2026, 11, 8, 4), changed_since=datetime(2026, 10, 28, 4))
     names = (*FACTS, "mart_air_vs_energy_daily")
     got = {name: content(late[name]) for name in names}
     assert got["fact_air_quality_hourly"] != before
+    # Only the late day, and the local day after it that its last hours belong to, were written.
+    for name in LAYERS:
+        days = {day for day, held in stored(out, name).items() if held != files[name].get(day)}
+        assert days and days <= {"2026-10-24", "20261024", "20261025"}, name
     # The same instant of the first snapshot, since station keys are made from it.
     full = warehouse.build(spark, root, str(tmp_path / "anew"), AS_OF, datetime(2026, 10, 28, 4), full_refresh=True)
     for name in names:
         assert got[name] == content(full[name]), name
+    files = {name: stored(out, name) for name in LAYERS}
+    warehouse.build(spark, root, out, AS_OF, datetime(2026, 11, 9, 4), changed_since=datetime(2026, 11, 8, 4))
+    assert {name: stored(out, name) for name in LAYERS} == files, "nothing landed, nothing is written"
+
+
+LAYERS = ("silver/air_measurements", "silver/prices_hourly", *(f"gold/{name}" for name in (*FACTS, "mart_air_vs_energy_daily")))
+
+
+def stored(out, name):
+    """Files of each day of a table."""
+    from pathlib import Path
+
+    folders = [f for f in (Path(out) / name).iterdir() if "=" in f.name]
+    return {f.name.split("=")[1]: sorted(p.name for p in f.glob("*.parquet")) for f in folders}
+
+
+def test_a_late_rate_reaches_the_days_that_repeat_or_estimate_it(spark, tmp_path):
+    root, out = str(tmp_path / "bronze"), str(tmp_path / "lake")
+    city.land_snapshots(spark, root, date(2026, 10, 24), datetime(2026, 10, 28, 3))
+    for day in city.DAYS:
+        city.land_series(spark, root, day, datetime(2026, 10, 28, 3), eur=25.0 if day in (city.DAYS[0], city.DAYS[2]) else None)
+    built = warehouse.build(spark, root, out, AS_OF, datetime(2026, 10, 28, 4))
+    expected = {20261024: (25.0, False), 20261025: (25.0, False), 20261026: (25.0, False), 20261027: (25.0, True)}
+
+    def rates(tables):
+        found = tables["fact_energy_price_hourly"].groupBy("date_key").agg(F.max("eur_czk_rate"), F.max("is_eur_rate_estimated"))
+        return {r[0]: (r[1], r[2]) for r in found.collect()}
+
+    def land(day, eur, hour):
+        payload = city.texts(spark, city.rates(day.isoformat(), eur)).withColumn("requested_day", F.lit(day))
+        city.source_feeds.land(payload, root, "fx_daily", datetime(2026, 11, 8, hour))
+
+    assert rates(built) == expected
+    # The first rate changes: its day and the one that repeats it follow, no other.
+    files = stored(out, "gold/fact_energy_price_hourly")
+    land(city.DAYS[0], 26.0, 1)
+    late = warehouse.build(spark, root, out, AS_OF, datetime(2026, 11, 8, 2), changed_since=datetime(2026, 10, 28, 4))
+    assert rates(late) == {**expected, 20261024: (26.0, False), 20261025: (26.0, False)}
+    now = stored(out, "gold/fact_energy_price_hourly")
+    assert {d for d in now if now[d] != files[d]} == {"20261024", "20261025"}
+    # The last rate changes: the day that takes the latest one follows too.
+    land(city.DAYS[2], 27.0, 3)
+    late = warehouse.build(spark, root, out, AS_OF, datetime(2026, 11, 8, 4), changed_since=datetime(2026, 11, 8, 2))
+    assert rates(late) == {20261024: (26.0, False), 20261025: (26.0, False), 20261026: (27.0, False), 20261027: (27.0, True)}
+    full = warehouse.build(spark, root, str(tmp_path / "anew"), AS_OF, datetime(2026, 10, 28, 4), full_refresh=True)
+    for name in ("fact_energy_price_hourly", "mart_air_vs_energy_daily"):
+        assert content(late[name]) == content(full[name])
+
+
+@pytest.mark.parametrize("few", [5000, 1])
+def test_days_as_literals_and_as_a_relation(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(incremental, "FEW_DAYS", few)
+    table = spark.sql("select id, date_add(date'2026-01-01', cast(id as int)) as day, cast(20260101 + id as int) as key from range(20)")
+    days = incremental.Days(table.where("id in (3, 4, 9)").select("day")).also(incremental.Days(table.where("id = 15").select("day")))
+    assert (days.few is None) == (few == 1) and not days.empty
+    assert [r[0] for r in rows(days.of(table, "day"), "id")] == [3, 4, 9, 15]
+    assert [r[0] for r in rows(days.of(table, "day", reach=1), "id")] == [2, 3, 4, 5, 8, 9, 10, 14, 15, 16]
+    assert [r[0] for r in rows(days.of_keys(table, "key"), "id")] == [3, 4, 9, 15]
+    none = incremental.Days(table.where("id > 50").select("day"))
+    assert none.empty and none.of(table, "day").isEmpty() and none.of_keys(table, "key").isEmpty()
