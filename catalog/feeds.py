@@ -11,9 +11,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, functions as F
 
 from catalog.registry import FRAGMENTS, Tables, local
-from citylake.operators.scd2 import snapshot_check
+from citylake.operators.scd2 import snapshot_changes
 from citylake.plans import gold, silver
-from citylake.plans.warehouse import write_snapshot
+from citylake.plans.snapshots import append_changes
 from citylake.session import fresh_dir
 from citylake.sources.landing import write_partitions
 
@@ -278,13 +278,13 @@ def s_counters(t):
 def station_snapshot(t: Tables) -> DataFrame:
     """Snapshot table after one run per station list."""
     path = fresh_dir(t.spark, "snapshot")
-    state = None
+    history = None
     for run in RUNS:
         seen = silver.air_stations(air_stations(t).filter(F.col("load_date") <= F.lit(run)), air_history(t))
         stamp = datetime(run.year, run.month, run.day)
-        state = snapshot_check(state, seen, "station_id", gold.STATION_CHECKED, stamp)
-        state = write_snapshot(t.spark, path, state, stamp)
-    return state
+        changes = snapshot_changes(history, seen, "station_id", gold.STATION_CHECKED, stamp)
+        history = append_changes(t.spark, path, changes, stamp)
+    return history
 
 
 @_layer

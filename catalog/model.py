@@ -51,6 +51,20 @@ def _(t):
     return incremental.lookback(t.events, "ts", target, "ts").select("event_id")
 
 
+@query("i02_changed_days", """with late as (select distinct ts::date as d from events where event_id % 997 = 0)
+  select strftime(ts::date, '%Y-%m-%d') as day, count(*) as n, round(sum(case when ts::date in (select d from late) then value + 1 else value end::decimal(18,6))::double, 6) as total from events group by 1""")
+def _(t):
+    """Events that land again, raised by one on their days; only these days of a stored table are rewritten."""
+    path = fresh_dir(t.spark, "changed")
+    rows = t.events.select("event_id", F.to_date("ts").alias("day"), F.col("value").cast("decimal(18,6)").alias("value"))
+    landed = rows.withColumn("loaded", F.when(F.col("event_id") % 997 == 0, F.lit(datetime(2024, 3, 1))).otherwise(F.lit(datetime(2024, 2, 1))))
+    days = incremental.changed_days(landed, "day", "loaded", datetime(2024, 3, 1))
+    upsert_partitions(t.spark, path, rows, ("event_id",), "day")
+    raised = days.of(rows, "day").withColumn("value", (F.col("value") + 1).cast("decimal(18,6)"))
+    table = upsert_partitions(t.spark, path, raised, ("event_id",), "day")
+    return table.groupBy("day").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+
+
 @query("i03_snapshot", """select station_id, station_name, district_slug, is_listed, strftime(run, '%Y-%m-%d') as valid_from,
   case when valid_to < date '9999-01-01' then strftime(valid_to, '%Y-%m-%d') end as valid_to from s_station_versions""")
 def _(t):
@@ -170,6 +184,15 @@ def _(t):
     return feeds.plan_mart(t)
 
 
+@query("i14_mart_changed_days", f"""select {pick(MART)} from g_mart
+  where date_key in (select strftime(ts::date, '%Y%m%d')::int from events where event_type = 'error' and event_id % 50 = 0)""")
+def _(t):
+    """Only the days of the mart that some events touch, from the partitions of the facts they need."""
+    touched = t.events.filter("event_type = 'error' and event_id % 50 = 0").select(F.to_date("ts"))
+    facts = feeds.g_air(t), feeds.g_weather(t), feeds.g_energy(t)
+    return gold.mart_air_vs_energy_daily(*facts, feeds.g_district(t), feeds.g_date(t), incremental.Days(touched))
+
+
 @query("i15_silver_weather", f"select {pick('s station_id, t hour_start_ts_utc, f temperature_c, f precipitation_mm, f wind_speed_ms')} from s_weather")
 def _(t):
     return silver.weather_hourly(feeds.weather_hourly(t)).select("station_id", "hour_start_ts_utc", "temperature_c", "precipitation_mm", "wind_speed_ms")

@@ -57,6 +57,37 @@ def snapshot_check(
     )
 
 
+def snapshot_changes(
+    history: DataFrame | None, current: DataFrame, key: str, check: Sequence[str], run_ts: Column | datetime
+) -> DataFrame:
+    """What a run adds to the log of a snapshot table (check strategy): new open versions, and closings of open ones.
+
+    A row with `scd_closes` ends the version of its `scd_id` at `scd_valid_to` and holds nothing else. Only open versions
+    take part in the join; a key without a change gives no row, a key missing from `current` stays open.
+    """
+    opened = first_snapshot(current, key, run_ts).withColumn("scd_closes", F.lit(False))
+    if history is None:
+        return opened
+    stamp = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    held = history.filter(F.col("scd_valid_to").isNull())
+    known = held.select(F.col(key), "scd_id", F.struct(*[c if c in held.columns else F.lit(None).alias(c) for c in check]).alias("_old"))
+    compared = opened.select(F.col(key), F.struct(*check).alias("_new")).join(known.withColumnRenamed("scd_id", "_open"), key, "left")
+    same = F.col("_open").isNotNull()
+    for c in check:
+        same = same & F.col(f"_new.`{c}`").eqNullSafe(F.col(f"_old.`{c}`"))
+    differing = compared.filter(~same)
+    closings = differing.filter("_open is not null").select(key, F.col("_open").alias("scd_id"), stamp.alias("scd_valid_to"), F.lit(True).alias("scd_closes"))
+    return opened.join(differing.select(key), key, "left_semi").unionByName(closings, allowMissingColumns=True)
+
+
+def fold_changes(log: DataFrame) -> DataFrame:
+    """The versions of a log of changes, each with the end its closing gives it."""
+    ends = log.filter("scd_closes").select(F.col("scd_id").alias("_closed"), F.col("scd_valid_to").alias("_end"))
+    versions = log.filter("not scd_closes").drop("scd_closes")
+    joined = versions.join(ends, F.col("scd_id") == F.col("_closed"), "left")
+    return joined.withColumn("scd_valid_to", F.coalesce("scd_valid_to", "_end")).select(*versions.columns)
+
+
 def mark_versions(df: DataFrame, key: str, order: str, attributes: Sequence[str], slices: str | None = None):
     """Adds `attributes_hash`, `starts_version` and `version_number` (runs of equal attributes)."""
     hashed = df.withColumn("attributes_hash", surrogate_key(*attributes))

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citylake.functions.time import local_date
 from citylake.operators.incremental import Days, changed_days, delete_insert, differing_days
-from citylake.operators.scd2 import snapshot_check
+from citylake.operators.scd2 import snapshot_changes
 from citylake.plans import gold, silver
 from citylake.plans.contracts import FRESHNESS, all_checks
+from citylake.plans.snapshots import append_changes, read_snapshot
 from citylake.quality import as_report, enforce, freshness_report, report
 from citylake.session import cut_lineage
 from citylake.sources.landing import read_bronze, read_if_exists, write_partitions
@@ -20,7 +21,6 @@ from citylake.sources.seed import holidays
 
 SILVER_DAY = gold.SILVER_DAY
 MOST_LITERALS = 5000
-POINTER = "_current"
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -62,33 +62,6 @@ def upsert_partitions(
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def _snapshot_runs(spark: SparkSession, path: str) -> list[str]:
-    """Finished runs of a snapshot table, newest last, from its pointer rows."""
-    pointer = read_if_exists(spark, f"{path}/{POINTER}", "run string")
-    return [] if pointer is None else sorted(r["run"] for r in pointer.distinct().collect())
-
-
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest finished state of a snapshot table; the other states are not read."""
-    runs = _snapshot_runs(spark, path)
-    return spark.read.parquet(f"{path}/run={runs[-1]}") if runs else None
-
-
-def write_snapshot(spark: SparkSession, path: str, state: DataFrame, run_ts: datetime) -> DataFrame:
-    """Writes a complete state under its own run, then the pointer row that makes it the current one.
-
-    A run that fails leaves the current state as it is. The state before stays for those who still read it; older
-    ones are removed.
-    """
-    run = run_ts.strftime("%Y%m%dT%H%M%S%f")
-    state.write.mode("overwrite").parquet(f"{path}/run={run}")
-    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("append").parquet(f"{path}/{POINTER}")
-    for old in _snapshot_runs(spark, path)[:-2]:
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run={old}")
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    return read_snapshot(spark, path)
-
-
 def build(
     spark: SparkSession,
     bronze_root: str,
@@ -174,9 +147,9 @@ def build(
     weather = series("weather_hourly", "weather_hourly", silver.weather_hourly, F.to_date("hour_start_ts_utc"))
 
     snapshot_path = f"{out_root}/snapshots/air_stations"
-    history = read_snapshot(spark, snapshot_path)
-    state = snapshot_check(history, stations, "station_id", gold.STATION_CHECKED, run_ts)
-    tables["snapshot_air_stations"] = write_snapshot(spark, snapshot_path, state, run_ts)
+    history = read_snapshot(spark, snapshot_path, before=run_ts)
+    changes = snapshot_changes(history, stations, "station_id", gold.STATION_CHECKED, run_ts)
+    tables["snapshot_air_stations"] = append_changes(spark, snapshot_path, changes, run_ts)
 
     def before(name: str, columns: Sequence[str]) -> DataFrame | None:
         """What the mart took from a dimension in the last run."""

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citylake.operators import incremental
-from citylake.plans import analytics, warehouse
+from citylake.plans import analytics, snapshots, warehouse
 from citylake.plans.contracts import FRESHNESS, all_checks
 from citylake.quality import QualityError, enforce, freshness, report
 from citylake.sources.schemas import BRONZE
@@ -200,18 +200,46 @@ def test_check_reports_the_age_of_every_source(built):
     assert {(r.check_name, r.status, r.failures) for r in late} == {("freshness: error", "warn", 1)}
 
 
-def test_snapshot_keeps_the_current_and_the_previous_state(spark, tmp_path):
-    import os
+VERSIONS = "id int, name string, v string, scd_id string, scd_valid_from timestamp, scd_valid_to timestamp"
+
 
-    path = str(tmp_path / "snapshot")
-    assert warehouse.read_snapshot(spark, path) is None
-    for day in (1, 2, 3, 4):
-        state = spark.range(day).selectExpr("id", f"{day} as day")
-        assert warehouse.write_snapshot(spark, path, state, datetime(2026, 10, day)).count() == day
-    assert len([d for d in os.listdir(path) if d.startswith("run=")]) == 2
-    # A state that was written without its pointer row, as after a failure, is not the current one.
-    spark.range(9).selectExpr("id", "9 as day").write.parquet(f"{path}/run=20270101T000000000000")
-    assert warehouse.read_snapshot(spark, path).first()["day"] == 4
+def test_snapshot_log_holds_changes_only(spark, tmp_path):
+    import os
+    import random
+
+    from citylake.operators.scd2 import snapshot_changes, snapshot_check
+
+    path, rng, state = str(tmp_path / "snapshot"), random.Random(4), None
+    current = {i: [f"name{i}", None] for i in range(40)}
+
+    def parts():
+        return sorted(d for d in os.listdir(path) if "=" in d)
+
+    assert snapshots.read_snapshot(spark, path) is None
+    for day in range(1, 13):
+        touched = rng.sample(sorted(current), 2) if day not in (1, 4) else []
+        for i in touched:
+            current[i][1] = f"v{day}"
+        if day == 6:
+            del current[touched[0]]
+            current[100] = ["new", None]
+        df = spark.createDataFrame([(i, *v) for i, v in current.items()], "id int, name string, v string")
+        stamp = datetime(2026, 1, day)
+        changes = snapshot_changes(snapshots.read_snapshot(spark, path, before=stamp), df, "id", ["name", "v"], stamp).cache()
+        # The written rows follow the changes: a new version and a closing for each.
+        assert changes.count() == (40 if day == 1 else 0 if day == 4 else 4 if day != 6 else 3)
+        state = spark.createDataFrame(snapshot_check(state, df, "id", ["name", "v"], stamp).collect(), VERSIONS)
+        table = snapshots.append_changes(spark, path, changes, stamp, compact_after=5)
+        assert content(table) == content(state)
+        if day in (3, 6):  # a repeated run changes nothing
+            again = snapshot_changes(snapshots.read_snapshot(spark, path, before=stamp), df, "id", ["name", "v"], stamp)
+            assert content(snapshots.append_changes(spark, path, again, stamp, compact_after=5)) == content(state)
+    bases = [p for p in parts() if p.startswith("base=")]
+    assert len(bases) == 2 and len(parts()) <= 2 + 5 + 4
+    # Changes that were written without their log row, as after a failure, do not count.
+    spark.range(9).selectExpr("cast(id as int) as id", "false as scd_closes").write.parquet(f"{path}/delta=20270101T000000000000")
+    assert content(snapshots.read_snapshot(spark, path)) == content(state)
+    assert snapshots.read_snapshot(spark, path, before=datetime(2026, 1, 12)).count() == state.count() - 2
 
 
 def test_references_of_a_table_share_one_scan(spark, tmp_path):
