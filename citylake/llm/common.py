@@ -36,6 +36,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns c0, c1, ..., which no name used inside an operator clashes with, and the new names by the old."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 

@@ -131,7 +131,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     return Model(languages, likelihood / likelihood.sum(axis=0))
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with `lang_pred` and `score`, replacing columns of these names.
 
     The language is the one with the largest proportion, ties to the first by code point; the score is its proportion,
@@ -144,7 +144,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     names, held = docs.columns, docs.sparkSession.sparkContext.broadcast((model.languages, model.likelihood))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [Model(*held.value).predict(text) for text in batch.column(names.index("text")).to_pylist()]
+        found = [Model(*held.value).predict(x) for x in batch.column(names.index(text)).to_pylist()]
         predicted = [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
         return pa.RecordBatch.from_arrays([*batch.columns, *predicted], names=[*names, "lang_pred", "score"])
 

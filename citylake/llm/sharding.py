@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citylake.llm.common import checkpointed, prepare, running, small
+from citylake.llm.common import checkpointed, plain_names, prepare, running, small
 
 BINS = 32768  # of all histograms of a round together
 COORDINATE_BITS = 30
@@ -153,9 +153,12 @@ def shard(docs: DataFrame, dimensions: list[str], shards: int | None = None, tar
 
     Shards hold nearly equal bytes (UTF-8 text plus eight); slots are gapless from 0. Null metadata stands before all
     other values, null texts weigh eight bytes, repeated rows are rows of their own. Rows of equal metadata are parted
-    by text, so copies with equal metadata stay together unless a cut falls among them. An empty table stays empty.
+    by text, so copies with equal metadata stay together unless a cut falls among them. All other columns keep their
+    names and values, whatever they are called. An empty table stays empty.
     """
     docs = docs.drop("shard", "slot")
-    tree = plan(docs, dimensions, shards, target_bytes, text, key)
-    rows = running(assign(docs, tree, dimensions, text, key), "_node", [key, text])
-    return rows.withColumnsRenamed({"_node": "shard", "_before": "slot"})
+    plain, names = plain_names(docs)
+    own, text, key = [names[d] for d in dimensions], names[text], names[key]
+    tree = plan(plain, own, shards, target_bytes, text, key)
+    rows = running(assign(plain, tree, own, text, key), "_node", [key, text])
+    return rows.select(*names.values(), "_node", "_before").toDF(*docs.columns, "shard", "slot")

@@ -30,7 +30,7 @@ def clashing():
     """Adds columns with the names the operators use themselves."""
 
     def add(df):
-        names = ["lang_pred", "score", "shard", "slot", "n_words", "hits", "item_ids", "_node", "_keys", "id", "h", "doc", "band", "key", "size", "taken", "target"]
+        names = ["lang_pred", "score", "shard", "slot", "n_words", "hits", "item_ids", "_node", "_keys", "id", "h", "doc", "band", "key", "size", "taken", "target", "_start", "_key", "_left", "_right", "_dim", "_bucket", "_weight", "_before", "_inside", "_times", "_id", "_copy", "_taken", "_size", "_s", "_name", "c0", "c1"]
         return df.selectExpr("*", *(f"'{n}' as {n}" for n in names if n not in df.columns))
 
     return add

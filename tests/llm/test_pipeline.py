@@ -77,6 +77,17 @@ def test_all_documents_get_a_shard(steps):
     assert set(slots) <= set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES], ids=[name for name, _ in corpus_pipeline.STAGES])
+def test_own_columns_of_any_name_stay(spark, clashing, stage):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) between 200 and 900")
+    df = clashing(docs)
+    kept = stage(spark, df, SMALL)
+    own = [c for c in df.columns if c not in ("shard", "slot")] if stage is corpus_pipeline.shard_documents else df.columns
+    assert kept.select(*own).exceptAll(df.select(*own).unionAll(df.select(*own)).unionAll(df.select(*own))).isEmpty()
+    assert not kept.isEmpty()
+    assert stage is corpus_pipeline.shard_documents or kept.columns == df.columns
+
+
 def test_run_and_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
