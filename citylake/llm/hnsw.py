@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from citylake.llm.common import checkpointed, prepare, written
 
 SHARD_ROWS = 16384
-QUERY_ROWS = 2048  # queries of a block
 LINKS = 16  # of a node on the upper levels; twice as many on the lowest
 BUILD_BEAM = 64
 SEARCH_BEAM = 128
@@ -221,7 +222,7 @@ def _by_dim(values: dict[int, int]):
     return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))[F.col("dim")]
 
 
-def read(row: pd.Series) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
+def read(row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     """Graph, vectors, ids and where the ids of each node begin, from a row of the index."""
     vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, int(row["dim"]))
     shapes = [(len(vectors), -1)] + [(-1, LINKS)] * (len(row["levels"]) - 1)
@@ -230,41 +231,54 @@ def read(row: pd.Series) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     return Graph(lifted(vectors, float(length)), links), vectors, np.frombuffer(row["ids"], np.int64), np.frombuffer(row["starts"], np.int64)
 
 
-def nearest(queries: DataFrame, graphs: DataFrame, shards: dict[int, int], k: int = 20, beam: int = SEARCH_BEAM, query_rows: int = QUERY_ROWS) -> DataFrame:
+def found_in(held: tuple[Graph, np.ndarray, np.ndarray, np.ndarray], asking: np.ndarray, wanted: np.ndarray, k: int, beam: int) -> pa.RecordBatch:
+    """The k nearest rows of one shard for each of the queries (id, vector)."""
+    graph, vectors, ids, starts = held
+    out: list[tuple[np.ndarray, ...]] = []
+    for at in range(0, len(asking), BATCH):
+        some = wanted[at : at + BATCH]
+        level = np.concatenate([some, np.zeros((len(some), 1))], axis=1).astype(np.float32)
+        nodes, _ = graph.search(level, min(max(beam, k + 1), max(1, len(vectors))))
+        for query, own, row in zip(some, asking[at : at + BATCH], nodes, strict=True):
+            row = row[row >= 0]
+            score = (vectors[row] * query).sum(axis=1)
+            members = [ids[starts[n] : min(starts[n + 1], starts[n] + k + 1)] for n in row]
+            counts = [len(m) for m in members]
+            found, score = np.concatenate(members), np.repeat(score, counts)
+            score, found = score[found != own], found[found != own]
+            best = np.lexsort((found, -score))[:k]
+            out.append((np.full(len(best), own), found[best], score[best]))
+    return pa.record_batch([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], ["query_id", "vec_id", "score"])
+
+
+def nearest(queries: DataFrame, graphs: DataFrame, shards: dict[int, int], k: int = 20, beam: int = SEARCH_BEAM) -> DataFrame:
     """For each query (id, v, dim) the k nearest rows of the index but those of its own id: query_id, rank, vec_id, score.
 
-    Queries are dealt to blocks; every block meets every shard of its dimension, one pair in a task at a time. The score
-    is the inner product in double precision; equal scores stand by id.
+    Every query meets every shard of its dimension. A task takes up the graph of a shard once and lets the queries
+    stream past it in batches, so that the index moves once however many queries there are. The score is the inner
+    product in double precision; equal scores stand by id.
     """
     if not shards:
         return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    blocks = 1 + queries.count() // query_rows
-    asked = queries.withColumns({"block": F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"), "shard": F.explode(F.sequence(F.lit(0), _by_dim(shards) - 1))})
-    copies = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def search(key: tuple, held: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[np.ndarray, ...]] = []
-        if len(held) and len(part):
-            graph, vectors, ids, starts = read(held.iloc[0])
-            asking, wanted = part["id"].to_numpy(), np.stack(part["v"].to_numpy())
-            for at in range(0, len(part), BATCH):
-                some = wanted[at : at + BATCH]
-                level = np.concatenate([some, np.zeros((len(some), 1))], axis=1).astype(np.float32)
-                nodes, _ = graph.search(level, min(max(beam, k + 1), max(1, len(vectors))))
-                for query, own, row in zip(some, asking[at : at + BATCH], nodes, strict=True):
-                    row = row[row >= 0]
-                    score = (vectors[row] * query).sum(axis=1)
-                    members = [ids[starts[n] : min(starts[n + 1], starts[n] + k + 1)] for n in row]
-                    counts = [len(m) for m in members]
-                    found, score = np.concatenate(members), np.repeat(score, counts)
-                    score, found = score[found != own], found[found != own]
-                    best = np.lexsort((found, -score))[:k]
-                    out.append((np.full(len(best), own), found[best], score[best]))
-        columns = [np.concatenate([o[i] for o in out]) if out else [] for i in range(3)]
-        return pd.DataFrame({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
-
-    pairs = asked.groupBy("dim", "shard", "block").cogroup(copies.groupBy("dim", "shard", "block"))
-    found = pairs.applyInPandas(lambda key, part, held: search(key, held, part), "query_id long, vec_id long, score double")
+    asked = queries.select("id", "v", "dim", F.explode(F.sequence(F.lit(0), _by_dim(shards) - 1)).alias("shard"), F.lit(1).alias("kind"))
+    together = graphs.withColumn("kind", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, place = None, None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("dim", "shard", "kind")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                dim, shard, kind = keys[:, lo].tolist()
+                part = batch.slice(lo, hi - lo)
+                if kind == 0:
+                    held, place = read(part.to_pylist()[0]), (dim, shard)
+                elif place == (dim, shard):
+                    wanted = part.column("v").flatten().to_numpy().reshape(-1, dim)
+                    yield found_in(held, part.column("id").to_numpy(), wanted, k, beam)
+
+    dealt = together.repartition("dim", "shard").sortWithinPartitions("dim", "shard", "kind")
+    found = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
     # A shard gives at most k rows to a query.
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
