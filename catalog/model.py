@@ -11,7 +11,7 @@ from catalog.registry import pick, query
 from citylake import quality
 from citylake.operators import incremental, joins, scd2
 from citylake.operators.fill import dense_forward_fill
-from citylake.plans import contracts, gold, silver
+from citylake.plans import contracts, gold, ledger, silver
 from citylake.plans.warehouse import upsert_partitions
 from citylake.session import fresh_dir
 
@@ -329,3 +329,25 @@ def _(t):
     ]
     tables = {"lineitem": t.lineitem, "part": t.part, "customer": t.customer, "events": t.events}
     return q.report(tables, checks)
+
+
+@query("j14_ledger", """with e as (select *, case when event_type = 'error' and event_id % 40 = 0 then -value else value end as v, event_type || user_id % 50 as k from events),
+  g as (select k, ts, lead(ts) over (partition by k order by ts) as next_ts from (select distinct k, ts from e))
+  select 'not_null(v)' as check_name, 0::bigint as failures, 'pass' as status
+  union all select 'non_negative(v)', count(*), 'warn' from e where v < 0
+  union all select 'unique_together(ts, k)', count(*), case when count(*) = 0 then 'pass' else 'fail' end from (select 1 from e group by ts, k having count(*) > 1)
+  union all select 'relationship(user_id -> supplier.s_suppkey)', count(*), 'fail' from e where user_id not in (select s_suppkey from supplier)
+  union all select 'no_time_gaps(ts)', count(*), 'warn' from g where next_ts > ts + interval 1 hour""")
+def _(t):
+    """Checks of events by day: a first report, then one after the days of some errors were written again."""
+    q, path, table = quality, fresh_dir(t.spark, "ledger"), "fact_bike_traffic_daily"
+    rows = t.events.select("event_id", "event_type", "user_id", "ts", "value", gold.date_key(F.to_date("ts")).alias("date_key"), F.concat("event_type", F.col("user_id") % 50).alias("k"))
+    bad = (F.col("event_type") == "error") & (F.col("event_id") % 40 == 0)
+    checks = q.bind(table, q.not_null("v"), q.non_negative("v"), q.relationship("user_id", "supplier", "s_suppkey"), q.no_time_gaps("ts", "k"))
+    checks += q.bind("events", q.unique_together("ts", "k"))
+    before = rows.withColumn("v", F.col("value"))
+    after = rows.withColumn("v", F.when(bad, -F.col("value")).otherwise(F.col("value")))
+    ledger.ledger_report(path, {table: before, "events": before, "supplier": t.supplier}, checks).count()
+    days = incremental.Days(rows.filter(bad).select(F.to_date("ts")))
+    found = ledger.ledger_report(path, {table: after, "events": after, "supplier": t.supplier}, checks, {table: days})
+    return found.select("check_name", "failures", "status")

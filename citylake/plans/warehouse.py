@@ -12,6 +12,7 @@ from citylake.operators.incremental import Days, changed_days, delete_insert, di
 from citylake.operators.scd2 import snapshot_changes
 from citylake.plans import gold, silver
 from citylake.plans.contracts import FRESHNESS, all_checks
+from citylake.plans.ledger import ledger_report
 from citylake.plans.snapshots import append_changes, read_snapshot
 from citylake.quality import as_report, enforce, freshness_report, report
 from citylake.session import cut_lineage
@@ -74,6 +75,7 @@ def build(
     holidays_path: str | None = None,
     bronze_since: date | None = None,
     changed_since: datetime | None = None,
+    written: dict[str, Days] | None = None,
 ) -> dict[str, DataFrame]:
     """Seed, silver, snapshot, dimensions, facts, mart. Returns every table by name.
 
@@ -88,7 +90,8 @@ def build(
 
     With `bronze_since`, only bronze days from there on are read and only their silver days replaced. Changes older than
     the lookback window then reach facts through a full refresh, as do changed counters and stations in both cases.
-    Without either every series is rebuilt.
+    Without either every series is rebuilt. `written` receives the days of the facts and the mart that a run with
+    `changed_since` has written, for `check`.
     """
     tables: dict[str, DataFrame] = {name: read_bronze(spark, bronze_root, name) for name in BRONZE}
 
@@ -235,12 +238,28 @@ def build(
     else:
         write_partitions(mart, path, "date_key")
         tables["mart_air_vs_energy_daily"] = spark.read.parquet(path)
+        touched["mart_air_vs_energy_daily"] = days
+    if written is not None:
+        written.update(touched)
     return tables
 
 
-def check(tables: dict[str, DataFrame], as_of: date, strict: bool = True, now: datetime | None = None) -> DataFrame:
+def check(
+    tables: dict[str, DataFrame],
+    as_of: date,
+    strict: bool = True,
+    now: datetime | None = None,
+    ledger: str | None = None,
+    written: dict[str, Days] | None = None,
+) -> DataFrame:
     """Report of all declared data tests and of the age of every source; raises on a failed contract unless `strict`
-    is off. `now` is the instant that ages are taken at, the current one unless given."""
+    is off. `now` is the instant that ages are taken at, the current one unless given.
+
+    With `ledger`, a folder that keeps what the tests found per day, facts and mart are read only on the days that
+    `written` names for them, wholly where it does not name the table.
+    """
     fresh = as_report(freshness_report(tables, FRESHNESS, now or datetime.now(timezone.utc).replace(tzinfo=None)))
-    result = cut_lineage(report(tables, all_checks(as_of)).unionByName(fresh))
+    checks = all_checks(as_of)
+    found = report(tables, checks) if ledger is None else ledger_report(ledger, tables, checks, written)
+    result = cut_lineage(found.unionByName(fresh))
     return enforce(result) if strict else result

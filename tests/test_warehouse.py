@@ -265,9 +265,17 @@ def test_late_rows_of_any_age_arrive_without_a_full_refresh(spark, tmp_path):
     first = warehouse.build(spark, root, out, AS_OF, datetime(2026, 10, 28, 4))
     before = content(first["fact_air_quality_hourly"])
     files = {name: stored(out, name) for name in LAYERS}
+    held, written, now = str(tmp_path / "ledger"), {}, datetime(2026, 10, 28, 4)
+    assert content(warehouse.check(first, AS_OF, False, now, held)) == content(warehouse.check(first, AS_OF, False, now))
+    noted = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "ledger" / "table_name=fact_air_quality_hourly").iterdir()}
     # The oldest day comes again with other values, after the facts have moved on.
     city.land_series(spark, root, city.DAYS[0], datetime(2026, 11, 8, 3), bump=5.0)
-    late = warehouse.build(spark, root, out, AS_OF, datetime(2026, 11, 8, 4), changed_since=datetime(2026, 10, 28, 4))
+    late = warehouse.build(spark, root, out, AS_OF, datetime(2026, 11, 8, 4), changed_since=datetime(2026, 10, 28, 4), written=written)
+    # The checks read the written days only and report what the full ones do.
+    assert set(written) == {*FACTS, "mart_air_vs_energy_daily"}
+    assert content(warehouse.check(late, AS_OF, False, now, held, written)) == content(warehouse.check(late, AS_OF, False, now))
+    again = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "ledger" / "table_name=fact_air_quality_hourly").iterdir()}
+    assert {d for d in again if d.startswith("day=") and again[d] != noted[d]} <= {"day=20261024", "day=20261025"}
     names = (*FACTS, "mart_air_vs_energy_daily")
     got = {name: content(late[name]) for name in names}
     assert got["fact_air_quality_hourly"] != before
@@ -339,3 +347,32 @@ def test_days_as_literals_and_as_a_relation(spark, rows, monkeypatch, few):
     assert [r[0] for r in rows(days.of_keys(table, "key"), "id")] == [3, 4, 9, 15]
     none = incremental.Days(table.where("id > 50").select("day"))
     assert none.empty and none.of(table, "day").isEmpty() and none.of_keys(table, "key").isEmpty()
+
+
+def test_ledger_follows_every_kind_of_failure(spark, tmp_path, monkeypatch):
+    from citylake.plans import ledger
+    from citylake.quality import WARN, accepted_range, bind, no_time_gaps, not_null, relationship, unique
+
+    table = "fact_energy_price_hourly"
+    checks = bind(table, not_null("v"), accepted_range("v", high=50, severity=WARN), unique("hour_start_ts_utc"), relationship("k", "dim", "k"), no_time_gaps("hour_start_ts_utc"))
+    hours = spark.range(240).selectExpr("id", "timestamp_seconds(1767225600 + id * 3600) as hour_start_ts_utc", "cast(id as double) % 60 as v", "id % 5 as k")
+    day = F.date_format("hour_start_ts_utc", "yyyyMMdd").cast("int")
+    dim = spark.sql("select id as k from range(1, 5)")
+
+    def rows(where, extra=0):
+        kept = hours.filter(where).withColumn("v", F.when(F.col("id") % 37 != 5, F.col("v")))
+        return kept.unionByName(kept.filter(f"id < {extra}")).withColumn("date_key", day)
+
+    seen = []
+    summarise = ledger.summarise
+    monkeypatch.setattr(ledger, "summarise", lambda df, own: seen.append(df.select("date_key").distinct().count()) or summarise(df, own))
+    states = [(rows("true"), None), (rows("id not in (30, 31, 47, 48)", 3), "date'2026-01-01'"), (rows("id not between 72 and 95"), "date'2026-01-01', date'2026-01-04'"), (rows("true"), None)]
+    path = str(tmp_path / "ledger")
+    for state, only in states:
+        changed = None if only is None else {table: incremental.Days(spark.sql(f"select explode(array({only}, date'2026-01-02', date'2026-01-03')) as d"))}
+        tables = {table: state, "dim": dim}
+        assert content(ledger.ledger_report(path, tables, checks, changed)) == content(report(tables, checks)), only
+    assert seen == [10, 3, 3, 10], "the changed days, of which one is empty now"
+    quiet = {table: incremental.Days(spark.sql("select date'2026-01-01' as d where false"))}
+    ledger.ledger_report(path, {table: states[0][0], "dim": dim}, checks, quiet)
+    assert len(seen) == 4, "without a changed day the table is not read"
