@@ -71,6 +71,16 @@ def _(t):
     return rows.select("column", "n", "mean", "stddev")
 
 
+@query("k05_merged_profile", """with r as (select * from events where ts::date between date '2024-01-08' and date '2024-01-21')
+  select 'value' as "column", count(*) as n, 0::bigint as n_null, round(min(value), 6) as low, round(max(value), 6) as high, null as first, null as last, round(avg(value), 6) as mean, round(stddev_samp(value), 6) as stddev from r
+  union all select 'event_type', count(*), 0, null, null, min(event_type), max(event_type), null, null from r""")
+def _(t):
+    """A profile of two weeks from the profiles of single days."""
+    rows = t.events.select(F.to_date("ts").alias("day"), "value", "event_type")
+    days = profiling.daily_profile(rows, "day").where("day between date'2024-01-08' and date'2024-01-21'")
+    return profiling.merged_profile(days).drop("n_distinct_approx", "quantiles_approx")
+
+
 @query("k06_catalogue", """select 'lineitem' as table_name, count(*) as total_rows, 11 as n_columns from lineitem union all select 'orders', count(*), 6 from orders
   union all select 'events', count(*), 6 from events""")
 def _(t):
