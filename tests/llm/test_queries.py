@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import duckdb
 import pytest
@@ -47,6 +48,11 @@ def test_op2(spark, documents):
     for r in rows:
         slots.setdefault(r["shard"], []).append(r["slot"])
     assert sorted(slots) == list(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    held = Counter()
+    for r in rows:
+        held[r["shard"]] += r["size"]
+    # A cut can miss the median by one document; a shard lies below five cuts at most.
+    assert max(held.values()) - min(held.values()) <= 2 * max(r["size"] for r in rows)
 
 
 def test_op4(spark, documents):
@@ -55,13 +61,26 @@ def test_op4(spark, documents):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
+def shares(size):
+    """Targets in exact fractions: what a source may not take is shared anew by weight until none is above three times its size."""
+    weight = {s: 1 + i % 3 for i, s in enumerate(sorted(size))}
+    target = {}
+    while True:
+        rest, open_ = sum(size.values()) - sum(target.values()), [s for s in size if s not in target]
+        part = {s: Fraction(rest * weight[s], sum(weight[x] for x in open_)) for s in open_}
+        over = [s for s in open_ if part[s] > 3 * size[s]]
+        if not over:
+            return {**target, **part}
+        target.update({s: 3 * size[s] for s in over})
+
+
 def test_op5(spark, documents):
     rows = QUERIES["op5_mixing"](spark, SMALL).collect()
     size = Counter()
     for _, text, source in documents:
         size[source] += len(text.encode().split())
-    sources = [mixing.Source(s, size[s], 1 + i % 3) for i, s in enumerate(sorted(size))]
-    mixing.set_targets(sources)
+    wanted = shares(size)
+    sources = [mixing.Source(s, size[s], 1, float(wanted[s])) for s in sorted(size)]
     taken, of = Counter(), {d: s for d, _, s in documents}
     for r in rows:
         s = next(x for x in sources if x.name == of[r["doc_id"]])
