@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citylake.functions.geo import cell_of, edges_touch, on_edges, path_parity, polygon_rings, ray_parity, ring_edges
 from citylake.session import fresh_dir
 
-# Cells of the largest level are this many times 4 as wide as those of the smallest.
+# The largest level: its cells are 4^TOP as wide as the smallest ones. Polygons that need less start lower.
 TOP = 5
 FEW = 8  # edges with which a cell is not split further
 # Where the reference point of a cell lies in it: at no place a corner with a few decimals can have.
@@ -38,18 +40,27 @@ def cover(polygons: DataFrame, geojson: str, size: float) -> DataFrame:
     each carries only its own edges: whether a point is inside follows from the edges between it and the reference point.
     """
     edges = ring_edges(polygon_rings(F.col(geojson)))
-    widest = size * 4**TOP
+    rows = polygons.select("_polygon", edges.alias("edges"))
+
+    def places(first: str, second: str) -> Column:
+        return F.concat(F.transform("edges", lambda e: e[first]), F.transform("edges", lambda e: e[second]))
+
+    measured = rows.select(places("x1", "x2").alias("x"), places("y1", "y2").alias("y"), F.size("edges").alias("n"))
+    extent = F.expr("max(greatest(array_max(x) - array_min(x), array_max(y) - array_min(y)))")
+    extent, most = measured.agg(extent, F.max("n")).first()
+    top = min(TOP, max(0, math.ceil(math.log(extent / size, 4)))) if extent else 0
+    widest = size * 4**top
 
     def cells(first: str, second: str) -> Column:
-        values = F.concat(F.transform("edges", lambda e: e[first]), F.transform("edges", lambda e: e[second]))
+        values = places(first, second)
         return F.explode(F.sequence(cell_of(F.array_min(values), widest), cell_of(F.array_max(values), widest)))
 
     level, cx, cy = F.col("level"), F.col("cx"), F.col("cy")
-    rows = polygons.select("_polygon", edges.alias("edges"), F.lit(TOP).alias("level"))
+    rows = rows.withColumn("level", F.lit(top))
     rows = rows.withColumn("cx", cells("x1", "x2")).withColumn("cy", cells("y1", "y2"))
     inside = ray_parity(F.col("edges"), _reference(cx, level, size), _reference(cy, level, size))
     rows = rows.select("_polygon", "level", "cx", "cy", _local(F.col("edges"), cx, cy, level, size).alias("edges"), inside.alias("inside"))
-    for upper in range(TOP, 0, -1):
+    for upper in range(top if most and most > FEW else 0, 0, -1):
         parts = F.transform(
             F.sequence(F.lit(0), F.lit(15)),
             lambda k: F.struct((level - 1).alias("level"), (cx * 4 + k % 4).alias("cx"), (cy * 4 + F.floor(k / 4).cast("int")).alias("cy")),
@@ -67,7 +78,7 @@ def cover(polygons: DataFrame, geojson: str, size: float) -> DataFrame:
             F.when(fresh, _local(F.col("edges"), cx, cy, level, size)).otherwise(F.col("edges")).alias("edges"),
             F.when(fresh, turned).otherwise(F.col("inside")).alias("inside"),
         ).where("size(edges) > 0 or inside")
-    return rows
+    return rows.where("size(edges) > 0 or inside")
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
@@ -103,7 +114,7 @@ def spatial_join(
     )
     grouped = cells.groupBy("level", "cx", "cy").agg(F.collect_list(part).alias("_parts"))
     located = points.withColumn("_px", cell_of(lon, cell)).withColumn("_py", cell_of(lat, cell))
-    levels = sorted(r[0] for r in cells.select("level").distinct().collect())
+    levels = sorted(r[0] for r in cells.select("level").distinct().collect()) or [0]
     for level in levels:
         right = grouped.where(F.col("level") == level).select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("_parts").alias(f"_parts{level}"))
         meets = (F.shiftright("_px", 2 * level) == F.col("_cx")) & (F.shiftright("_py", 2 * level) == F.col("_cy"))
@@ -113,9 +124,8 @@ def spatial_join(
     def holds(one: Column) -> Column:
         return (one["inside"] != path_parity(one["edges"], x, y, one["x"], one["y"])) & ~on_edges(one["edges"], x, y)
 
-    none = F.array().cast("array<bigint>")
-    found = [F.transform(F.filter(f"_parts{level}", holds), lambda one: one["_polygon"]) for level in levels]
-    found = F.concat(none, *(F.coalesce(f, none) for f in found))
+    parts = F.flatten(F.array_compact(F.array(*(f"_parts{level}" for level in levels))))
+    found = F.transform(F.filter(parts, holds), lambda one: one["_polygon"])
     explode = F.explode if how == "inner" else F.explode_outer
     held = located.withColumn("_of", explode(found)).drop("_px", "_py", *(f"_parts{level}" for level in levels))
     return held.join(numbered, F.col("_of") == F.col("_polygon"), how).drop("_of", "_polygon")
