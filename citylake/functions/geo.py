@@ -65,11 +65,13 @@ def path_parity(edges: Column, x: Column, y: Column, to_x: Column, to_y: Column)
     """Whether an odd number of edges cross the path from one point level to the x of another, then straight to it.
 
     Then one of the points lies inside and the other does not. Only edges that touch the rectangle around the two points
-    matter. The second point must not have the x of a corner.
+    matter. The second point must not have the x of a corner. An edge as level as the path counts as below it, as it does
+    where an edge ends at the height of the path.
     """
 
     def crosses(edge: Column) -> Column:
-        start, corner, end = (_turn(edge, px, py) > 0 for px, py in ((x, y), (to_x, y), (to_x, to_y)))
+        start, end, turn = _turn(edge, x, y) > 0, _turn(edge, to_x, to_y) > 0, _turn(edge, to_x, y)
+        corner = (turn > 0) | ((turn == 0) & (edge["x2"] > edge["x1"]))
         level = ((edge["y1"] > y) != (edge["y2"] > y)) & (start != corner)
         upright = ((edge["x1"] > to_x) != (edge["x2"] > to_x)) & (corner != end)
         return level != upright

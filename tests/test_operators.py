@@ -223,6 +223,30 @@ def test_cells_follow_the_outline(spark):
     assert sure <= got and all(np.hypot(x - 5, y - 5) <= 5 for i, x, y in points if i in got)
 
 
+@pytest.mark.parametrize(("turned", "few"), [(False, 8), (True, 8), (False, 1)])
+def test_points_level_with_edges_and_corners(spark, monkeypatch, turned, few):
+    """A lattice of points over squares, steps and slopes, so that most points share a height or a side with a corner."""
+    monkeypatch.setattr("citylake.operators.spatial.FEW", few)
+    rings = [
+        [(1, 1), (4, 1), (4, 4), (1, 4)],
+        [(5, 1), (9, 1), (9, 5), (8, 5), (8, 3), (7, 3), (7, 5), (5, 5)],
+        [(2, 5), (5, 8), (2, 9), (1, 7)],
+        [(6, 6), (9, 6), (9, 9), (7, 9), (7, 8), (6, 8)],
+    ]
+    polygons = [(f"p{i}", ring_of([(float(x), float(y)) for x, y in (ring[::-1] if turned else ring)])) for i, ring in enumerate(rings)]
+    polys = spark.createDataFrame(polygons, "name string, geometry_geojson string")
+    points = [(i * 100 + j, i / 4, j / 4) for i in range(44) for j in range(44)]
+    pts = spark.createDataFrame(points, "i int, longitude double, latitude double").cache()
+    from citylake.functions.geo import edges_contain, polygon_rings, ring_edges
+
+    brute = pts.crossJoin(polys).filter(edges_contain(ring_edges(polygon_rings("geometry_geojson")), "longitude", "latitude"))
+    expected = sorted(tuple(r) for r in brute.select("i", "name").collect())
+    assert len(expected) > 300
+    for cell in (0.3, 1.0, 2.0, 9.0):
+        got = spatial_join(pts, polys, cell=cell, how="inner").select("i", "name")
+        assert sorted(tuple(r) for r in got.collect()) == expected
+
+
 def test_holes_corners_and_points_without_a_place(spark):
     outer, hole = [(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (3, 1), (3, 3), (1, 3)]
     geometry = str({"type": "Polygon", "coordinates": [[list(map(float, p)) for p in ring] for ring in (outer, hole)]}).replace("'", '"')
