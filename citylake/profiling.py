@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType, TimestampType
 
 from citylake.operators.ordered import SLICE, cut_long_groups, running_sum
 from citylake.operators.stats import duplicate_rows, null_share
+from citylake.session import cut_lineage
 
 TOP_MISSING = 5
 
@@ -70,35 +71,69 @@ def column_statistics(df: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson and Spearman r of every pair of numeric columns: (column_a, column_b, pearson, spearman).
 
-    Pairs use the rows in which both values are present. A rank comes from the counts of the distinct values,
-    added up over even slices of the sorted values, so no task sees a whole column in order.
+    Pairs use the rows in which both values are present; a pair without spread has null. One aggregate holds the
+    co-moments of all pairs and reads each row once, whatever the number of pairs. The ranks of a column depend on its
+    partner only where the partner has nulls, so there is one rank column per value column and one more for each
+    partner with nulls. Without numeric columns the result is empty.
     """
     columns = list(columns or numeric_columns(df))
-    pairs = [(a, b) for a, b in combinations_with_replacement(columns, 2)]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("pair"), F.col(f"`{a}`").cast("double").alias("x"), F.col(f"`{b}`").cast("double").alias("y")
-            )
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    long = df.select(F.explode(rows).alias("p")).select("p.*").filter("x is not null and y is not null")
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, pearson double, spearman double")
+    values = [f"x{i}" for i in range(len(columns))]
+    numbers = df.select(*(F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(columns, values, strict=True)))
+    # Row numbers must not change when a task is run again.
+    rows = cut_lineage(numbers.withColumn("row", F.monotonically_increasing_id()))
+    gaps = rows.agg(*(F.count_if(F.col(x).isNull()).alias(x) for x in values)).first()
+    partial = [x for x in values if gaps[x]]
+    ranked = average_ranks(rows, values, partial)
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+
+    def shared(value: str, partner: str) -> Column:
+        """The value where the partner is present too."""
+        return F.when(F.col(partner).isNotNull(), F.col(value)) if partner in partial and partner != value else F.col(value)
+
+    def rank(value: str, partner: str) -> Column:
+        ranks = F.get(f"r_{value}", F.lit(partial.index(partner) + 1 if partner in partial and partner != value else 0))
+        return F.when(F.col(partner).isNotNull(), ranks) if partner in partial else ranks
+
+    def r(x: Column, y: Column) -> Column:
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
-    def average_ranks(value: str) -> DataFrame:
-        counts = long.groupBy("pair", value).agg(F.count("*").alias("_n"))
-        summed = running_sum(cut_long_groups(counts, "pair", value), "pair", value, F.col("_n"), "_upto", SLICE)
-        rank = F.col("_upto") - F.col("_n") + (F.col("_n") + 1) / 2
-        return summed.select("pair", value, rank.alias(f"r{value}"))
+    results = [
+        F.struct(
+            F.lit(columns[a]).alias("column_a"),
+            F.lit(columns[b]).alias("column_b"),
+            r(shared(values[a], values[b]), shared(values[b], values[a])).alias("pearson"),
+            r(rank(values[a], values[b]), rank(values[b], values[a])).alias("spearman"),
+        )
+        for a, b in pairs
+    ]
+    return ranked.agg(F.array(*results).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
-    ranked = long.join(average_ranks("x"), ["pair", "x"]).join(average_ranks("y"), ["pair", "y"])
 
-    def pearson(x: str, y: str) -> Column:
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+def average_ranks(rows: DataFrame, values: Sequence[str], partial: Sequence[str]) -> DataFrame:
+    """The rows (row, values) with an array `r_<value>` per value column: its average rank among all rows in which it is
+    present, then among those in which each of the `partial` columns is present too.
 
-    result = ranked.groupBy("pair").agg(pearson("x", "y").alias("pearson"), pearson("rx", "ry").alias("spearman"))
-    names = F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b")) for a, b in pairs])
-    return result.withColumn("_c", F.get(names, "pair")).select("_c.*", "pearson", "spearman")
+    A rank comes from the counts of the distinct values, added up over even slices of the sorted values, so no task sees
+    a whole column in order. Cells are unpivoted once: the work is linear in rows and columns.
+    """
+    among = [F.lit(True), *(F.col(p).isNotNull() for p in partial)]
+    cells = rows.select("row", F.array(*among).alias("among"), *values).unpivot(["row", "among"], list(values), "column", "value")
+    cells = cells.filter("value is not null")
+    counts = cells.groupBy("column", "value").agg(
+        F.array(*(F.count_if(F.get("among", F.lit(i))) for i in range(len(among)))).alias("n"))
+    each = counts.select("column", "value", F.posexplode("n").alias("group", "n")).filter("n > 0")
+    summed = running_sum(cut_long_groups(each, ["column", "group"], "value"), ["column", "group"], "value", F.col("n"), "upto", SLICE)
+    rank = F.col("upto") - F.col("n") + (F.col("n") + 1) / 2
+    of_values = summed.groupBy("column", "value").agg(
+        F.array(*(F.max(F.when(F.col("group") == i, rank)) for i in range(len(among)))).alias("ranks"))
+    met = cells.drop("among").join(of_values, ["column", "value"])
+    wide = met.groupBy("row").agg(*(f for x in values for f in (
+        F.max(F.when(F.col("column") == x, F.col("value"))).alias(x),
+        F.max(F.when(F.col("column") == x, F.col("ranks"))).alias(f"r_{x}"),
+    )))
+    return wide
 
 
 def profile(df: DataFrame) -> dict[str, DataFrame]:

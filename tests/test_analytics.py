@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
 from datetime import date, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +144,42 @@ def test_merged_profiles_are_those_of_the_rows(spark):
                     low, high = (sum(v < found for v in values), sum(v <= found for v in values))
                     assert low - 0.0165 * len(values) - 1 <= q * len(values) <= high + 0.0165 * len(values) + 1
         assert merged["none"]["n"] == 0 and merged["none"]["mean"] is None and merged["none"]["quantiles_approx"] is None
+
+
+def test_correlations_of_many_columns_with_gaps(spark):
+    rng = random.Random(5)
+    names = [f"c {i}" for i in range(30)]
+    data = []
+    for _ in range(400):
+        base = rng.gauss(0, 1)
+        row = [round(base * (i % 5) + rng.gauss(0, 1), 1 if i % 2 else 6) for i in range(30)]
+        for i in (3, 4, 11):
+            if rng.random() < 0.3:
+                row[i] = None
+        row[20], row[21] = 7.0, None
+        data.append(tuple(row))
+    df = spark.createDataFrame(data, ", ".join(f"`{n}` double" for n in names))
+    got = {(r.column_a, r.column_b): (r.pearson, r.spearman) for r in profiling.correlation_matrix(df).collect()}
+    frame = pd.DataFrame(data, columns=names)
+    for at, method in enumerate(("pearson", "spearman")):
+        expected = frame.astype(float).corr(method)
+        for i, a in enumerate(names):
+            for b in names[i:]:
+                value = expected.loc[a, b]
+                if 20 in (names.index(a), names.index(b)) or math.isnan(value):
+                    assert got[a, b][at] is None
+                else:
+                    assert got[a, b][at] == pytest.approx(value, abs=1e-9)
+    assert len(got) == 30 * 31 // 2
+
+
+def test_ranks_read_each_cell_once(spark):
+    rows = spark.range(100).selectExpr("id as row", *(f"cast((id * {i + 3}) % 17 as double) as x{i}" for i in range(6)))
+    ranked = profiling.average_ranks(rows, [f"x{i}" for i in range(6)], [])
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan and "Expand" in plan
+    assert ranked.count() == 100
+
+
+def test_correlations_without_numbers(spark):
+    assert profiling.correlation_matrix(spark.createDataFrame([("a",)], "a string")).collect() == []
