@@ -10,6 +10,7 @@ from catalog import feeds
 from catalog.model import MART
 from catalog.registry import Tables, pick, query
 from citylake import profiling
+from citylake.operators import totals
 from citylake.plans import analytics
 from citylake.plans.warehouse import upsert_partitions
 from citylake.session import fresh_dir
@@ -125,6 +126,33 @@ def _(t):
     return analytics.district_daily(feeds.g_mart(t), START, END, ["d1", "d2", "d3", "unknown"])
 
 
+def _periods(*days: tuple[date, date]) -> str:
+    """SQL: the periods as a relation p(a, b)."""
+    return f"(values {', '.join(f"(date '{a}', date '{b}')" for a, b in days)}) p(a, b)"
+
+
+_PERIOD = "strftime(p.a, '%Y-%m-%d') as period_start, strftime(p.b, '%Y-%m-%d') as period_end"
+WINTER = ((date(2023, 12, 1), date(2024, 1, 7)), (date(2024, 1, 5), date(2024, 1, 25)), (date(2024, 1, 10), date(2024, 1, 10)), (date(2024, 1, 20), date(2025, 6, 30)))
+
+
+def _written_totals(t, rows, keys, day, values, scale=totals.SCALE):
+    path = fresh_dir(t.spark, "totals")
+    totals.write_totals(totals.daily_sums(rows, keys, day, values, scale), keys, day, values, path)
+    return t.spark.read.parquet(path)
+
+
+@query("l04_period_means", f"""select {_PERIOD}, district_slug, count(*) as n_rows, count(avg_pm10_ugm3) as n_pm10, round(avg(avg_pm10_ugm3), 3) as mean_pm10, round(avg(avg_price_eur_mwh), 3) as mean_price
+  from g_mart join {_periods(*WINTER)} on date_day between p.a and p.b group by all""")
+def _(t):
+    """District means of overlapping periods from the same running totals."""
+    values = ["avg_pm10_ugm3", "avg_price_eur_mwh"]
+    kept = _written_totals(t, feeds.g_mart(t), "district_slug", "date_day", values, scale=9)
+    found = totals.period_sums(kept, "district_slug", "date_day", values, WINTER, scale=9)
+    return found.select(
+        "period_start", "period_end", "district_slug", "n_rows", F.col("avg_pm10_ugm3_n").alias("n_pm10"),
+        F.round("avg_pm10_ugm3_mean", 3).alias("mean_pm10"), F.round("avg_price_eur_mwh_mean", 3).alias("mean_price"))
+
+
 @query("l05_station_pollution", f"""select station_id, station_name, district_slug, round(latitude, 6) as latitude, round(longitude, 6) as longitude, round(avg(a.value_ugm3), 6) as mean_ugm3,
   max(a.value_ugm3) as max_ugm3, count(a.value_ugm3) as n_hours from g_station s left join (select station_id, value_ugm3 from g_air where pollutant = 'NO2' and {KEYS}) a using (station_id)
   where s.is_current and s.latitude is not null group by all""")
@@ -156,6 +184,17 @@ def _(t):
     return _daily_price(t)
 
 
+@query("l07_period_price", f"""select {_PERIOD}, count(price_eur_mwh) as n_hours, round(avg(price_eur_mwh), 3) as price_eur_mwh, round(sum(load_mw), 3) as load_mwh
+  from g_energy join {_periods(*WINTER)} on hour_start_local::date between p.a and p.b group by all""")
+def _(t):
+    """Mean price and consumption of whole periods: one group, two rows read per period."""
+    values, rows = ["price_eur_mwh", "load_mw"], feeds.g_energy(t).withColumn("local_day", F.to_date("hour_start_local"))
+    found = totals.period_sums(_written_totals(t, rows, [], "local_day", values, 9), [], "local_day", values, WINTER, scale=9)
+    return found.select(
+        "period_start", "period_end", F.col("price_eur_mwh_n").alias("n_hours"),
+        F.round("price_eur_mwh_mean", 3).alias("price_eur_mwh"), F.round("load_mw_sum", 3).alias("load_mwh"))
+
+
 _BIKES = """select d.district_slug, d.district_name, f.local_date, sum(f.bike_count)::bigint as bikes, count(distinct f.counter_id) as n_counters from g_bike f join g_district d using (district_key)
   group by all having bool_and(f.is_complete_day) and sum(f.bike_count) is not null"""
 SPRING = (date(2024, 3, 1), date(2024, 4, 30))
@@ -221,6 +260,21 @@ def _(t):
     return analytics.top_growing(analytics.bike_growth(_customer_daily(t))).select("district_slug", "growth_pct")
 
 
+YEARS = ((date(1995, 1, 1), date(1995, 12, 31)), (date(1996, 2, 15), date(1998, 8, 3)), (date(1997, 7, 1), date(1997, 7, 1)), (date(1990, 1, 1), date(2010, 1, 1)))
+
+
+@query("l13_period_orders", f"""select {_PERIOD}, c_nationkey::bigint as nation, count(*) as n_rows, round(sum(o_totalprice::decimal(18,6))::double, 6) as total
+  from orders join customer on o_custkey = c_custkey join {_periods(*YEARS)} on o_orderdate::date between p.a and p.b group by all""")
+def _(t):
+    """Totals of finished and open orders are written; those still in process come late and are added when asked."""
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    rows = joined.select(F.col("c_nationkey").alias("nation"), "o_orderstatus", F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("price"))
+    kept = _written_totals(t, rows.filter("o_orderstatus <> 'P'"), "nation", "day", ["price"])
+    late = totals.daily_sums(rows.filter("o_orderstatus = 'P'"), "nation", "day", ["price"])
+    found = totals.period_sums(kept, "nation", "day", ["price"], YEARS, late)
+    return found.select("period_start", "period_end", "nation", "n_rows", F.col("price_sum").alias("total"))
+
+
 @query("l14_kpis", f"""select * from (select round(avg(value_ugm3), 3) as pollutant_mean, round(max(value_ugm3), 3) as pollutant_max_day from ({_POLLUTION})),
   (select round(avg(price_eur_mwh), 3) as price_mean_eur, round(avg(price_czk_mwh), 3) as price_mean_czk, count(*) filter (where min_price_eur_mwh < 0) as negative_price_days from ({_DAILY_PRICE})),
   (select round(avg(b), 3) as bikes_per_day from (select sum(bikes) as b from ({_BIKES}) group by local_date))""")

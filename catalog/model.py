@@ -125,6 +125,17 @@ def _(t):
     return dense_forward_fill(daily, "nation", "day")
 
 
+@query("i08_fill_of_a_quarter", """with v as (select c_nationkey::bigint as nation, o_orderdate::date as day, max(o_totalprice) as top from orders join customer on o_custkey = c_custkey where o_orderpriority = '1-URGENT' group by all)
+  select g.nation, strftime(g.d, '%Y-%m-%d') as day, round(v.top, 6) as top, v.day is distinct from g.d as is_forward_filled
+  from (select distinct nation, d from v, (select unnest(generate_series(date '1996-10-01', date '1996-12-31', interval 1 day))::date as d)) g
+  asof left join v on v.nation = g.nation and g.d >= v.day""")
+def _(t):
+    """Rows are made for the days of the quarter only; what was known before it reaches into it."""
+    joined = t.orders.filter("o_orderpriority = '1-URGENT'").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    daily = joined.groupBy(F.col("c_nationkey").alias("nation"), F.to_date("o_orderdate").alias("day")).agg(F.max("o_totalprice").alias("top"))
+    return dense_forward_fill(daily, "nation", "day", date(1996, 10, 1), date(1996, 12, 31))
+
+
 @query("i09_currency", f"select {pick('t hour_start_ts_utc, f price_eur_mwh, f eur_czk_rate, s is_eur_rate_estimated, f price_czk_mwh')} from g_energy")
 def _(t):
     return feeds.plan_energy(t).select("hour_start_ts_utc", "price_eur_mwh", "eur_czk_rate", "is_eur_rate_estimated", "price_czk_mwh")

@@ -25,7 +25,7 @@ from citylake.functions.time import (
 )
 from citylake.operators import joins, sampling
 from citylake.operators.dedup import latest_value
-from citylake.operators.fill import densify
+from citylake.operators.fill import densify, value_on, value_runs
 from citylake.operators.incremental import lookback_start
 from citylake.operators.scd2 import add_unknown, lookup
 from citylake.operators.spatial import spatial_join
@@ -217,6 +217,18 @@ def _(t):
     return densify(daily, "user_id", "day").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+@query("c06_run_lookup", """with v as (select c_nationkey as nation, o_orderdate::date as day, max(o_totalprice) as top from orders join customer on o_custkey = c_custkey where o_orderstatus = 'F' group by all),
+  a as (select o_orderkey, c_nationkey as nation, o_orderdate::date as d from orders join customer on o_custkey = c_custkey)
+  select a.o_orderkey, strftime(v.day, '%Y-%m-%d') as known_day, round(v.top, 6) as top from a asof left join v on v.nation = a.nation and a.d >= v.day""")
+def _(t):
+    """Every order meets the last known best finished order of its nation; no row is made for a day without orders."""
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", F.col("c_nationkey").alias("nation"), F.to_date("o_orderdate").alias("day"))
+    best = orders.filter("o_orderstatus = 'F'").groupBy("nation", "day").agg(F.max("o_totalprice").alias("top"))
+    asked = orders.select("o_orderkey", "nation", "day")
+    return value_on(asked, value_runs(best, "nation", "day"), "nation", "day", "day", ["top"]).select("o_orderkey", "known_day", "top")
+
+
 @query("c07_one_row_relation", """select o_orderkey, round(o_totalprice * (select arg_max(o_totalprice, (o_orderdate, o_orderkey)) from orders) / 1000000, 3) as scaled from orders""")
 def _(t):
     latest = latest_value(t.orders, "o_totalprice", F.struct("o_orderdate", "o_orderkey"))

@@ -201,20 +201,19 @@ def _(t):
 
 
 @query("a13_source_feeds", """
-with d as (select ts::date as day, count(*) as n from events group by 1),
-f as (select ts::date as day, count(*) as n from events where event_type <> 'error' group by 1)
+with d as (select ts::date as day, count(*) as n from events group by 1)
 select s.source, strftime(s.day, '%Y-%m-%d') as load_date, s.n, '2024-02-0' || (case when s.day = date '2024-01-03' then 3 when s.day >= date '2024-01-14' then 2 else 1 end) || ' 00:00:00' as _loaded_at,
   strftime((select max(day) from d), '%Y-%m-%d') as mark
-from (select 'air_history' as source, * from d union all select 'fx_daily', * from f) s""")
+from (select 'air_history' as source, * from d union all select 'fx_daily', * from d) s""")
 def _(t):
-    """Two feeds from payloads: the first half, the rest with two days again, and one late day that is landed last."""
+    """Two feeds, several payloads a day: the first half, the rest with two days again, and one late day that is landed last."""
     root = fresh_dir(t.spark, "feeds")
     day = F.to_date("ts").alias("requested_day")
     records = F.struct(F.col("event_id").cast("string").alias("id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"), F.lit("{}").alias("measurement"))
-    history = t.events.groupBy(day).agg(F.to_json(F.collect_list(records)).alias("payload"))
+    cut = chunks(t.events, "event_id", 200)
+    history = cut.groupBy(day, "chunk").agg(F.to_json(F.collect_list(records)).alias("payload")).drop("chunk")
     rate = F.struct(F.col("event_type").alias("currencyCode"), F.lit(1).alias("amount"), F.col("value").alias("rate"))
-    known = t.events.filter("event_type <> 'error'")
-    rates = known.groupBy(day).agg(F.to_json(F.struct(F.collect_list(rate).alias("rates"))).alias("payload"))
+    rates = cut.groupBy(day, "chunk").agg(F.to_json(F.struct(F.collect_list(rate).alias("rates"))).alias("payload")).drop("chunk")
     loads = (("requested_day <= date'2024-01-15'", 1), ("requested_day >= date'2024-01-14'", 2), ("requested_day = date'2024-01-03'", 3))
     parts = []
     for source, texts in (("air_history", history.withColumn("file_path", F.lit("events"))), ("fx_daily", rates)):

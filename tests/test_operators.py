@@ -7,9 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citylake.operators import incremental, joins, ordered, sampling, stats
+from citylake.operators import incremental, joins, ordered, sampling, stats, totals
 from citylake.operators.dedup import latest_version, latest_wins
-from citylake.operators.fill import dense_forward_fill
+from citylake.operators.fill import dense_forward_fill, densify, value_on, value_runs
 from citylake.operators.scd2 import scd2_dimension, snapshot_check
 from citylake.operators.spatial import cover, spatial_join
 
@@ -342,3 +342,66 @@ def test_sample_of_few_distinct_rows(spark):
     assert sampling.exact_sample(df, 50).count() == 50
     assert sampling.exact_sample(df, 400).count() == 400
     assert sampling.exact_sample(df.limit(0), 5).count() == 0
+
+
+def test_fill_of_a_period_takes_what_was_known_before(spark, rows):
+    df = spark.createDataFrame(
+        [("EUR", date(2026, 1, 1), 24.0), ("EUR", date(2026, 1, 9), None), ("EUR", date(2087, 1, 1), 9.0), ("USD", date(2026, 1, 11), 20.0), ("USD", None, 1.0)],
+        "c string, d date, rate double")
+    got = rows(dense_forward_fill(df, "c", "d", date(2026, 1, 8), date(2026, 1, 11)), "c", "d", "rate", "is_forward_filled")
+    assert [(c, d.day, r, f) for c, d, r, f in got] == [
+        ("EUR", 8, 24.0, True), ("EUR", 9, 24.0, False), ("EUR", 10, 24.0, True), ("EUR", 11, 24.0, True),
+        ("USD", 8, None, True), ("USD", 9, None, True), ("USD", 10, None, True), ("USD", 11, 20.0, False)]
+    sparse = rows(densify(df, "c", "d", date(2026, 1, 8), date(2026, 1, 9)), "c", "d", "rate", "is_forward_filled")
+    assert [(c, d.day, r, f) for c, d, r, f in sparse] == [
+        ("EUR", 8, None, True), ("EUR", 9, None, False), ("USD", 8, None, True), ("USD", 9, None, True)]
+    assert value_runs(df, "c", "d").count() == 4, "one run per known row, whatever the days between"
+    assert densify(df.limit(0), "c", "d").collect() == []
+
+
+@pytest.mark.parametrize("known", [5, 300])
+def test_days_meet_their_run(spark, known):
+    rng = random.Random(known)
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(700)]
+    data = [(k, d, rng.random()) for k in ("a", "hot") for d in sorted(rng.sample(days[20:], known))]
+    asked = [(i, rng.choice(["hot", "hot", "a", "none", None]), rng.choice([*days, None])) for i in range(2000)]
+    runs = value_runs(spark.createDataFrame(data, "k string, d date, v double"), "k", "d")
+    found = value_on(spark.createDataFrame(asked, "i int, k string, day date"), runs, "k", "day", "d", ["v"])
+    got = {r.i: (r.known_day, r.v) for r in found.collect()}
+    for i, k, day in asked:
+        before = [(d, v) for key, d, v in data if key == k and day is not None and d <= day]
+        assert got[i] == (before[-1] if before else (None, None))
+    assert len(got) == 2000
+
+
+def test_period_sums_are_differences_of_two_rows(spark, tmp_path):
+    rng = random.Random(8)
+    days = [date(2023, 11, 15) + timedelta(days=i) for i in range(200)]
+    data = [(rng.choice(["a", "a", "b", None]), rng.choice([*days[:90], *days[120:], None]), rng.choice([0.1, -2.7, 1e6 + 0.3, None])) for _ in range(3000)]
+    df = spark.createDataFrame(data, "k string, day date, v double")
+    early, late = (df.filter(f"coalesce(v, 0) {op} 0.1") for op in ("<>", "="))
+    path = str(tmp_path / "totals")
+    totals.write_totals(totals.daily_sums(early, "k", "day", ["v"]), "k", "day", ["v"], path)
+    kept = spark.read.parquet(path)
+    periods = [(days[0], days[-1]), (days[30], days[30]), (days[95], days[110]), (date(2020, 1, 1), days[40]), (days[60], date(2030, 1, 1)), (date(2019, 1, 1), date(2019, 2, 1))]
+    found = totals.period_sums(kept, "k", "day", ["v"], periods, totals.daily_sums(late, "k", "day", ["v"]))
+    got = {(r.period_start, r.period_end, r.k): (r.n_rows, r.v_n, r.v_sum, r.v_mean) for r in found.collect()}
+    expected = {}
+    for start, end in periods:
+        for k in ("a", "b", None):
+            inside = [v for key, d, v in data if key == k and d is not None and start <= d <= end]
+            if inside:
+                exact = [round(v * 10) for v in inside if v is not None]
+                expected[start, end, k] = (len(inside), len(exact), sum(exact) / 10 if exact else None, pytest.approx(sum(exact) / 10 / len(exact)) if exact else None)
+    assert got == expected
+    one = totals.totals_on(kept, "day", days[100])
+    assert one.count() == one.select("k").distinct().count() == 3
+    scan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in scan
+    assert totals.period_sums(kept.limit(0), "k", "day", ["v"], periods).collect() == []
+
+
+def test_totals_of_a_table_without_rows(spark, tmp_path):
+    nothing = spark.createDataFrame([], "k string, day date, v double")
+    running = totals.running_totals(totals.daily_sums(nothing, "k", "day", ["v"]), "k", "day", ["v"])
+    assert totals.period_sums(running, "k", "day", ["v"], [(date(2024, 1, 1), date(2024, 2, 1))]).collect() == []
