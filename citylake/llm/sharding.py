@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citylake.llm.common import checkpointed, plain_names, prepare, running, small
+from citylake.llm.common import checkpointed, plain_names, prepare, running, small, written
+from citylake.operators.ordered import SLICE, cut_long_groups, running_sum
 
 BINS = 32768  # of all histograms of a round together
 COORDINATE_BITS = 30
@@ -27,11 +28,13 @@ class Cut:
 
 @dataclass(frozen=True)
 class Tree:
-    """Cuts by level; a node is the number of its first shard, so that leaves are shards. Ranges scale the dimensions."""
+    """Cuts by level; a node is the number of its first shard, so that leaves are shards. Ranges scale the dimensions, and
+    `ranks` (dimension, value, rank) are the places of the values of text dimensions."""
 
     levels: list[list[Cut]]
     ranges: list[tuple[float, float]]
     shards: int
+    ranks: DataFrame
 
 
 def size_of(text: str = "text") -> Column:
@@ -39,14 +42,42 @@ def size_of(text: str = "text") -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 8
 
 
-def coordinate(column: str, kind: str) -> Column:
-    """A number for a metadata value: texts by their first six bytes, in order; nulls and NaN are null."""
-    if kind == "string":
-        return F.conv(F.rpad(F.substring(F.hex(F.col(f"`{column}`")), 1, 12), 12, "0"), 16, 10).cast("double")
+def number_of(column: str) -> Column:
+    """A metadata value that is no text as a number; nulls and NaN are null."""
     value = F.col(f"`{column}`").cast("double")
     return F.when(~F.isnan(value), value)
 
 
+def texts_among(docs: DataFrame, dimensions: list[str]) -> list[int]:
+    kinds = dict(docs.dtypes)
+    return [i for i, d in enumerate(dimensions) if kinds[d] == "string"]
+
+
+def text_ranks(docs: DataFrame, dimensions: list[str]) -> DataFrame:
+    """The distinct values of the text dimensions with their rank by code point, from 1: dimension, value, rank.
+
+    Values are made distinct before they move and numbered in slices, so there may be as many as there are rows.
+    """
+    found = F.array(*(F.struct(F.lit(i).alias("dimension"), F.col(f"`{dimensions[i]}`").alias("value")) for i in texts_among(docs, dimensions)))
+    if not texts_among(docs, dimensions):
+        return small(docs.sparkSession, "dimension int, value string, rank long", [])
+    values = docs.select(F.explode(found).alias("v")).select("v.*").where("value is not null").distinct()
+    numbered = running_sum(cut_long_groups(values, "dimension", "value"), "dimension", "value", F.lit(1), "rank", SLICE)
+    return written(numbered.select("dimension", "value", "rank"), "ranks")
+
+
+def with_coordinates(docs: DataFrame, dimensions: list[str], ranks: DataFrame) -> DataFrame:
+    """The rows with `_at<i>`, their number in each dimension. Spark broadcasts the ranks of a dimension while they are small."""
+    texts = texts_among(docs, dimensions)
+    for i, d in enumerate(dimensions):
+        if i in texts:
+            places = ranks.where(F.col("dimension") == i).select(F.col("value").alias(f"_value{i}"), F.col("rank").cast("double").alias(f"_at{i}"))
+            docs = docs.join(places, F.col(f"`{d}`") == F.col(f"_value{i}"), "left").drop(f"_value{i}")
+        else:
+            docs = docs.withColumn(f"_at{i}", number_of(d))
+    return docs
+
+
 def key_of(value: Column, low: float, high: float, tie: Column) -> Column:
     """Order of the rows in a dimension: the scaled value, then the tie; null stands first."""
     scale = ((1 << COORDINATE_BITS) - 2) / (high - low) if high > low else 0.0
@@ -59,10 +90,11 @@ def tie_of(text: str, key: str) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(1 << 20)) * 4096 + F.pmod(F.xxhash64(key), F.lit(4096))
 
 
-def with_keys(docs: DataFrame, dimensions: list[str], ranges: list[tuple[float, float]], text: str, key: str) -> DataFrame:
-    kinds, tie = dict(docs.dtypes), tie_of(text, key)
-    keys = [key_of(coordinate(d, kinds[d]), low, high, tie) for d, (low, high) in zip(dimensions, ranges, strict=True)]
-    return docs.withColumn("_keys", F.array(*keys)).withColumn("_node", F.lit(0))
+def with_keys(docs: DataFrame, dimensions: list[str], ranges: list[tuple[float, float]], ranks: DataFrame, text: str, key: str) -> DataFrame:
+    tie = tie_of(text, key)
+    keys = [key_of(F.col(f"_at{i}"), low, high, tie) for i, (low, high) in enumerate(ranges)]
+    keyed = with_coordinates(docs, dimensions, ranks).withColumn("_keys", F.array(*keys)).withColumn("_node", F.lit(0))
+    return keyed.drop(*(f"_at{i}" for i in range(len(dimensions))))
 
 
 def descend(rows: DataFrame, cuts: list[Cut]) -> DataFrame:
@@ -114,15 +146,15 @@ def plan(docs: DataFrame, dimensions: list[str], shards: int | None = None, targ
     left side gets n // 2 shares of n. An empty table has one cut-free tree. Only slim rows are read again.
     """
     prepare(docs.sparkSession)
-    kinds = dict(docs.dtypes)
-    spans = docs.agg(
-        F.sum(size_of(text)).alias("bytes"),
-        *(f(coordinate(d, kinds[d])).alias(f"{n}{i}") for i, d in enumerate(dimensions) for n, f in (("low", F.min), ("high", F.max))),
-    ).first()
-    ranges = [(spans[f"low{i}"] or 0.0, spans[f"high{i}"] or 0.0) for i in range(len(dimensions))]
+    texts = texts_among(docs, dimensions)
+    ranks = text_ranks(docs, dimensions)
+    last = {r["dimension"]: r["rank"] for r in ranks.groupBy("dimension").agg(F.max("rank").alias("rank")).collect()}
+    ends = ((i, d, n, f) for i, d in enumerate(dimensions) if i not in texts for n, f in (("low", F.min), ("high", F.max)))
+    spans = docs.agg(F.sum(size_of(text)).alias("bytes"), *(f(number_of(d)).alias(f"{n}{i}") for i, d, n, f in ends)).first()
+    ranges = [(1.0, float(last.get(i, 1))) if i in texts else (spans[f"low{i}"] or 0.0, spans[f"high{i}"] or 0.0) for i in range(len(dimensions))]
     total = spans["bytes"] or 0
     shards = shards or max(1, -(-total // target_bytes))
-    rows = checkpointed(with_keys(docs, dimensions, ranges, text, key).select("_node", "_keys", size_of(text).alias("_size")))
+    rows = checkpointed(with_keys(docs, dimensions, ranges, ranks, text, key).select("_node", "_keys", size_of(text).alias("_size")))
     levels: list[list[Cut]] = []
     nodes = {0: shards} if total else {}
     while nodes := {n: k for n, k in nodes.items() if k > 1}:
@@ -137,12 +169,12 @@ def plan(docs: DataFrame, dimensions: list[str], shards: int | None = None, targ
         rows = descend(rows, cuts)
         levels.append(cuts)
         nodes = {m: size for c in cuts for m, size in ((c.left, nodes[c.node] // 2), (c.right, nodes[c.node] - nodes[c.node] // 2))}
-    return Tree(levels, ranges, shards)
+    return Tree(levels, ranges, shards, ranks)
 
 
 def assign(docs: DataFrame, tree: Tree, dimensions: list[str], text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows with the shard of the tree's leaf, in a column `_node`; nothing is shuffled."""
-    rows = with_keys(docs, dimensions, tree.ranges, text, key)
+    """The rows with the shard of the tree's leaf, in a column `_node`; nothing is shuffled while the ranks are small."""
+    rows = with_keys(docs, dimensions, tree.ranges, tree.ranks, text, key)
     for cuts in tree.levels:
         rows = descend(rows, cuts)
     return rows.drop("_keys")
@@ -151,7 +183,8 @@ def assign(docs: DataFrame, tree: Tree, dimensions: list[str], text: str = "text
 def shard(docs: DataFrame, dimensions: list[str], shards: int | None = None, target_bytes: int | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows with `shard` int and `slot` long, replacing columns of these names.
 
-    Shards hold nearly equal bytes (UTF-8 text plus eight); slots are gapless from 0. Null metadata stands before all
+    Shards hold nearly equal bytes (UTF-8 text plus eight); slots are gapless from 0. Text metadata counts by the rank of
+    its value among the distinct ones, everything else by its number. Null metadata stands before all
     other values, null texts weigh eight bytes, repeated rows are rows of their own. Rows of equal metadata are parted
     by text, so copies with equal metadata stay together unless a cut falls among them. All other columns keep their
     names and values, whatever they are called. An empty table stays empty.

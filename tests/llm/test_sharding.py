@@ -55,6 +55,24 @@ def test_first_cut_is_at_the_weighted_median_of_the_widest_dimension(spark):
     assert sorted(left) == list(range(best))
 
 
+def test_sources_that_begin_alike_are_told_apart(spark):
+    sources = [f"crawl-20{y}" for y in range(10, 18)]
+    rows = [(i, f"{i:05d}" * 4, None, sources[i * 7 % 8], 20) for i in range(800)]
+    out = sharding.shard(spark.createDataFrame(rows, DOCUMENTS), ["lang", "source"], shards=8)
+    where = {}
+    for r in out.collect():
+        where.setdefault(r["source"], set()).add(r["shard"])
+    assert [where[s] for s in sources] == [{i} for i in range(8)]
+
+
+def test_ranks_are_gapless_and_in_order(spark):
+    values = ["b", "a", "é", "Z", "a", None, "aa", ""]
+    df = spark.createDataFrame([(i, "t", v, v, i) for i, v in enumerate(values)], DOCUMENTS)
+    got = {(r["dimension"], r["value"]): r["rank"] for r in sharding.text_ranks(df, DIMENSIONS).collect()}
+    order = ["", "Z", "a", "aa", "b", "é"]
+    assert got == {(d, v): i + 1 for d in (0, 1) for i, v in enumerate(order)}
+
+
 def test_copies_alone_can_be_parted(spark):
     df = spark.createDataFrame([(i, "the same", "en", "s", 8) for i in range(400)], DOCUMENTS)
     counts = [r["count"] for r in sharding.shard(df, DIMENSIONS, shards=4).groupBy("shard").count().collect()]
