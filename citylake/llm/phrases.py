@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField
 
 from citylake.llm.common import prepare, written
-from citylake.llm.repeats import Rule, resolved, runs, window_hashes
+from citylake.llm.repeats import Rule, recurring, resolved, runs, window_hashes
 
 WORDS = 50
 RULE = Rule(window=WORDS, gram=25, words=True, ordered=True)
@@ -67,4 +67,4 @@ def clean(docs: DataFrame, rule: Rule = RULE, text: str = "text", key: str = "do
     """
     prepare(docs.sparkSession)
     found = written(runs(docs, rule, text, key), "passages")
-    return resolved(docs, found, rule, by_automaton, finish, fields, text, key)
+    return resolved(docs, found, recurring(found), rule, by_automaton, finish, fields, text, key)

@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARD_DIMENSIONS = ["lang", "source", "n_chars"]
+# Batches, by a hash of the id, in which op4 gets the documents.
+BATCHES = 3
 
 
 def query(sql: str | None = None):
@@ -159,7 +161,9 @@ def digest_fields(fields: list) -> list:
 @query()
 def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    family = suffixes.SuffixFamily(spark).add(docs)
+    family = suffixes.SuffixFamily(spark)
+    for batch in range(BATCHES):
+        family = family.add(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(BATCHES)) == batch))
     return family.clean(docs, finish=digest(suffixes.cut_bytes), fields=digest_fields(suffixes.CUT))
 
 

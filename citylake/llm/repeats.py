@@ -235,19 +235,31 @@ def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 Finish = Callable[[bytes, list[tuple[int, int]]], tuple]
 
 
-def resolved(docs: DataFrame, found: DataFrame, rule: Rule, compare: Compare, finish: Finish, fields: list[tuple[StructField, pa.DataType]], text: str = "text", key: str = "doc_id") -> DataFrame:
+def recurring(found: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """The anchors that occur twice in the runs, or in them and in earlier ones: key.
+
+    Both sides are counted in their tasks before they meet, so an anchor is one row however often it occurs; the result
+    is written, so that a join with it is between plain exchanges, whose hot keys Spark can split.
+    """
+    own = found.groupBy("key").agg(F.count(F.lit(1)).alias("times"))
+    if earlier is None:
+        return written(own.where("times > 1").select("key"), "anchors")
+    before = earlier.groupBy("key").agg(F.lit(True).alias("before"))
+    return written(own.join(before, "key", "left").where("times > 1 or before").select("key"), "anchors")
+
+
+def resolved(docs: DataFrame, found: DataFrame, anchors: DataFrame, rule: Rule, compare: Compare, finish: Finish, fields: list[tuple[StructField, pa.DataType]], text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row of the table doc_id and what `finish` makes of its text and its covered spans, in symbols.
 
-    `found` are the runs of (at least) these documents. Texts move once; only those with a run that has to be compared
-    window by window are kept for a second, smaller join.
+    `found` are the runs of (at least) these documents, `anchors` those of their anchors that recur, each once. Texts
+    move once; only those with a run that has to be compared window by window are kept for a second, smaller join.
     """
     spark = prepare(docs.sparkSession)
-    twice = found.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
-    candidates = checkpointed(found.join(twice, "key"))
+    candidates = checkpointed(found.join(anchors, "key"))
     where = F.struct("doc", "h", "lo", "n")
     kinds = candidates.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("copies"), F.min(where).alias("model"))
-    anchors = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("variants"), F.min("model.doc").alias("first"))
-    kinds = checkpointed(kinds.join(anchors, "key"))
+    totals = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("variants"), F.min("model.doc").alias("first"))
+    kinds = checkpointed(kinds.join(totals, "key"))
     if rule.ordered:
         whole, open_ = F.col("doc") > F.col("model.doc"), (F.col("doc") == F.col("model.doc")) & (F.col("first") < F.col("doc"))
     else:

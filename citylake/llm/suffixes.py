@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, LongType, StructField
 
 from citylake.llm.common import prepare, written
-from citylake.llm.repeats import Rule, resolved, runs
+from citylake.llm.repeats import Rule, recurring, resolved, runs
 
 LENGTH = 400
 RULE = Rule(window=LENGTH, gram=200, words=False, ordered=False)
@@ -50,35 +51,39 @@ CUT = [
 
 @dataclass
 class SuffixFamily:
-    """Suffix arrays of the batches so far, each level a table of sampled suffixes with its number of rows.
+    """Sparse suffix arrays of the batches so far, each level a table of sampled suffixes with its number of rows.
 
-    A level holds, in the order of their first bytes' hashes, the places whose suffixes have to be compared (see
-    `repeats`). A new batch becomes a level; while the last two are of the same order of size they are merged, so that
-    there are no more levels than the logarithm of the rows, and a row is written that often.
+    A level holds the suffixes at the anchors of its texts (see `repeats`), in the order of the hash of their first bytes,
+    and `met` the anchors found to recur, one table per batch. A new batch gets an array of its own, is scanned against
+    all levels and becomes a level; while the last two are of the same order of size they are merged, so that there are
+    no more levels than the logarithm of the rows, and a row is written that often.
     """
 
     spark: SparkSession
     rule: Rule = RULE
     levels: list[tuple[int, DataFrame]] = field(default_factory=list)
+    met: list[DataFrame] = field(default_factory=list)
 
     def add(self, docs: DataFrame, text: str = "text", key: str = "doc_id") -> SuffixFamily:
-        """The family with the texts of a further batch."""
+        """The family with the texts of a further batch, once it is scanned against itself and all levels."""
         prepare(self.spark)
         array = written(runs(docs, self.rule, text, key), "suffixes")
-        size, levels = array.count(), list(self.levels)
+        met = recurring(array, self.scan() if self.levels else None)
+        size, levels, merged = array.count(), list(self.levels), array
         while levels and _order(levels[-1][0]) <= _order(size):
             other, held = levels.pop()
-            array = written(held.unionByName(array).sortWithinPartitions("key", "ctx"), "suffixes")
-            size += other
-        return SuffixFamily(self.spark, self.rule, [*levels, (size, array)])
+            merged, size = held.unionByName(merged), size + other
+        if merged is not array:
+            merged = written(merged.sortWithinPartitions("key", "ctx"), "suffixes")
+        return SuffixFamily(self.spark, self.rule, [*levels, (size, merged)], [*self.met, met])
 
     def scan(self) -> DataFrame:
         """All levels, to be met by the hash of their first bytes."""
-        tables = [held for _, held in self.levels]
-        found = tables[0]
-        for other in tables[1:]:
-            found = found.unionByName(other)
-        return found
+        return reduce(DataFrame.unionByName, [held for _, held in self.levels])
+
+    def matches(self) -> DataFrame:
+        """The anchors that the scans found to recur, each once."""
+        return self.met[0] if len(self.met) == 1 else written(reduce(DataFrame.unionByName, self.met).distinct(), "anchors")
 
     def clean(self, docs: DataFrame, text: str = "text", key: str = "doc_id", finish=cut_bytes, fields=CUT) -> DataFrame:
         """Per row: doc_id and, by default, n_bytes, n_removed, n_spans and `kept`, the bytes that are left.
@@ -87,7 +92,7 @@ class SuffixFamily:
         anywhere else in the family, the same text included; strings are judged on the input. Matches never cross
         documents, a null text is empty, repeated rows are documents of their own, an empty table gives no rows.
         """
-        return resolved(docs, self.scan(), self.rule, in_suffix_array, finish, fields, text, key)
+        return resolved(docs, self.scan(), self.matches(), self.rule, in_suffix_array, finish, fields, text, key)
 
 
 def _order(rows: int) -> int:

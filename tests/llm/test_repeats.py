@@ -108,6 +108,27 @@ def test_batches_are_merged_and_give_the_same(spark, prose):
     assert rows(family.clean(frame(spark, docs))) == plain_bytes(docs, 40)
 
 
+def test_scans_of_batches_find_the_anchors_that_recur_in_the_whole(spark, prose):
+    docs = made(prose)
+    keys = repeats.runs(frame(spark, docs), BYTES).groupBy("key").count().where("count > 1")
+    expected = {r.key for r in keys.collect()}
+    family, seen = suffixes.SuffixFamily(spark, BYTES), []
+    for i in range(4):
+        family = family.add(frame(spark, docs[i::4]))
+        seen.append(len({r.key for r in family.matches().collect()}))
+    assert {r.key for r in family.matches().collect()} == expected
+    assert seen == sorted(seen) and seen[0] < seen[-1]
+    assert sum(n for n, _ in family.levels) == repeats.runs(frame(spark, docs), BYTES).count()
+
+
+def test_a_batch_without_texts_changes_nothing(spark, prose):
+    docs = made(prose)
+    family = suffixes.SuffixFamily(spark, BYTES)
+    for batch in (docs[:30], [], [(500, None), (501, "")], docs[30:]):
+        family = family.add(frame(spark, batch))
+    assert rows(family.clean(frame(spark, docs))) == plain_bytes(docs, 40)
+
+
 def test_long_texts_are_cut_into_segments(spark, prose, monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 512)
     docs = [(1, prose(1, 900)), (2, prose(2, 100) + " " + prose(1, 900)[700:2900] + " " + prose(3, 50)), (3, prose(4, 400))]
