@@ -1,7 +1,7 @@
 """City feeds derived from the test tables: the same bronze rows in Spark and in SQL.
 
 Districts come from `nation`, stations and detections from `supplier`, counters from `customer`; publications,
-weather, prices, load and exchange rates from `events`.
+weather, prices, load, exchange rates and a second feed of detections from `events`.
 """
 
 from __future__ import annotations
@@ -137,6 +137,23 @@ def bike_detections(t: Tables) -> DataFrame:
     )
 
 
+@_landed
+def event_detections(t: Tables) -> DataFrame:
+    """Every event is a detection at its user's counter, on a five-minute grid with the gaps and repeated slots the events have."""
+    start = F.timestamp_seconds(F.floor(F.unix_timestamp("ts") / 300) * 300)
+    return t.events.select(
+        F.format_string("C%d", "user_id").alias("locations_id"),
+        F.expr("concat('D', case when user_id % 5 = 0 then (user_id + 1) % 7 else user_id % 7 end)").alias("id"),
+        F.date_format(start, ISO).alias("measured_from"),
+        F.date_format(start + F.expr("interval 5 minutes"), ISO).alias("measured_to"),
+        F.expr("case when event_type <> 'error' then cast(floor(value) as double) end").alias("value"),
+        F.expr("case when event_type = 'view' then cast(floor(value / 10) as double) end").alias("value_pedestrians"),
+        F.lit(1).alias("measurement_count"),
+        F.col("ts").alias("_loaded_at"),
+        F.to_date("ts").alias("load_date"),
+    )
+
+
 @_landed
 def air_stations(t: Tables) -> DataFrame:
     """Three snapshots: renamed, moved and removed stations."""
@@ -327,6 +344,13 @@ def plan_bike(t):
     )
 
 
+def plan_event_bike(t):
+    """The fact over the detections that events make, with counters that only the events know."""
+    counters = silver.bike_counters(bike_counters(t), event_detections(t), s_districts(t), cell=0.02)
+    members = gold.dim_bike_counter(counters, g_district(t))
+    return gold.fact_bike_traffic_daily(silver.bike_detections(event_detections(t)), silver.bike_directions(bike_counters(t)), members)
+
+
 def plan_mart(t):
     return gold.mart_air_vs_energy_daily(g_air(t), g_weather(t), g_energy(t), g_district(t), g_date(t))
 
@@ -371,6 +395,11 @@ select case when s % 10 = 9 then 'X' || s else 'C' || s end as counter_id,
   case when s % 2 = 0 then slot % 9 end as pedestrian_count, s, slot
 from (select s_suppkey as s, unnest(range(0, 852)) as slot from supplier)
 where not (s % 3 = 0 and (s // 20) % 2 = 0 and slot % 97 = s % 97)"""
+F_["q_event_detections"] = """
+select 'C' || user_id as counter_id, 'D' || (case when user_id % 5 = 0 then (user_id + 1) % 7 else user_id % 7 end) as direction_id,
+  time_bucket(interval 5 minutes, ts) as slot, case when event_type <> 'error' then floor(value)::bigint end as bike_count,
+  case when event_type = 'view' then floor(value / 10)::bigint end as pedestrian_count
+from events qualify row_number() over (partition by user_id, time_bucket(interval 5 minutes, ts) order by ts desc, event_id desc) = 1"""
 F_["q_station_runs"] = f"""
 select 'S' || s_suppkey as station_id, r.run,
   s_name || case when s_suppkey % 7 = 0 and r.run > date '2024-01-01' then ' new' else '' end as station_name,
@@ -485,6 +514,20 @@ from (select counter_id, direction_id, ({local('ts')})::date as local_date, sum(
   left join customer cat on d.counter_id = 'C' || cat.c_custkey and d.direction_id = 'D' || cat.c_custkey % 7
   left join (select 'D' || c_custkey % 7 as direction_id, min('to ' || c_custkey % 70) as shared from customer group by 1) n
     on d.direction_id = n.direction_id"""
+F_["g_event_bike"] = f"""
+select d.*, md5(d.counter_id) as counter_key, coalesce(c.district_key, '-1') as district_key, {_key('d.local_date')} as date_key,
+  case when cat.c_custkey is not null then 'to ' || cat.c_custkey % 70 else n.shared end as direction_name,
+  cat.c_custkey is null as is_direction_inferred, x.expected_slots, d.n_slots >= x.expected_slots as is_complete_day
+from (select counter_id, direction_id, ({local('slot')})::date as local_date, sum(bike_count) as bike_count,
+        sum(pedestrian_count) as pedestrian_count, count(*) as n_slots, count(bike_count) as n_slots_with_bike_data
+      from q_event_detections group by all) d
+  join (select local_date, datediff('minute', timezone('Europe/Prague', local_date::timestamp),
+          timezone('Europe/Prague', (local_date + interval 1 day)::timestamp)) // 5 as expected_slots
+        from (select distinct ({local('slot')})::date as local_date from q_event_detections)) x using (local_date)
+  left join (select * from g_counter where counter_id in (select 'C' || c_custkey from customer)) c on c.counter_id = d.counter_id
+  left join customer cat on d.counter_id = 'C' || cat.c_custkey and d.direction_id = 'D' || cat.c_custkey % 7
+  left join (select 'D' || c_custkey % 7 as direction_id, min('to ' || c_custkey % 70) as shared from customer group by 1) n
+    on d.direction_id = n.direction_id"""
 F_["g_date"] = """
 select strftime(d, '%Y%m%d')::int as date_key, d as date_day, isodow(d) in (6, 7) as is_weekend, h.name as holiday_name,
   h.name is not null as is_cz_public_holiday

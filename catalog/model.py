@@ -156,6 +156,17 @@ def _(t):
     return feeds.plan_bike(t)
 
 
+@query("i11_event_fact", f"""select {pick('s counter_id, s direction_id, d local_date, s counter_key, s district_key, i date_key, s direction_name, s is_direction_inferred, i bike_count, i pedestrian_count, i n_slots, i n_slots_with_bike_data, i expected_slots, s is_complete_day')} from g_event_bike""")
+def _(t):
+    return feeds.plan_event_bike(t)
+
+
+@query("i11_event_detections", f"""select {pick('s counter_id, s direction_id, t slot, i bike_count, i pedestrian_count')} from q_event_detections""")
+def _(t):
+    rows = silver.bike_detections(feeds.event_detections(t))
+    return rows.select("counter_id", "direction_id", F.col("interval_start_ts_utc").alias("slot"), "bike_count", "pedestrian_count")
+
+
 @query("i11_silver_detections", """select counter_id, direction_id, count(*) as n, sum(bike_count)::bigint as bikes, sum(pedestrian_count)::bigint as pedestrians from q_detections group by all""")
 def _(t):
     rows = silver.bike_detections(feeds.bike_detections(t))
