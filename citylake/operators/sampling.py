@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET_BITS = 16
 HASH_BITS = 60
+COPIES = 4096
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -38,6 +39,12 @@ def exact_sample(df: DataFrame, rows: int, seed: int = 42, key: Sequence[str] |
     if cut is None:
         return df
     whole = hashed.filter(F.col("_bucket") < cut["_bucket"])
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", *df.columns))
-    part = hashed.filter(F.col("_bucket") == cut["_bucket"]).withColumn("_rank", rank).filter(F.col("_rank") <= rows - cut["below"])
-    return whole.select(*df.columns).unionByName(part.select(*df.columns))
+    # Rows that repeat exactly share a hash: they are counted in their tasks first, so that a bucket of copies is one row.
+    distinct = hashed.filter(F.col("_bucket") == cut["_bucket"]).groupBy("_bucket", "_hash", *df.columns).agg(F.count("*").alias("_copies"))
+    ahead = Window.partitionBy("_bucket").orderBy("_hash", *df.columns).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.lit(rows - cut["below"]) - F.coalesce(F.sum("_copies").over(ahead), F.lit(0))
+    part = distinct.withColumn("_take", F.least("_copies", left)).filter("_take > 0")
+    # Copies are made in two steps, so that no row carries a long array.
+    blocks = part.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_take - 1) div {COPIES}"))))
+    repeated = blocks.withColumn("_copy", F.explode(F.expr(f"sequence(1L, least({COPIES}L, _take - _block * {COPIES}))")))
+    return whole.select(*df.columns).unionByName(repeated.select(*df.columns))

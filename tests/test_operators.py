@@ -405,3 +405,11 @@ def test_totals_of_a_table_without_rows(spark, tmp_path):
     nothing = spark.createDataFrame([], "k string, day date, v double")
     running = totals.running_totals(totals.daily_sums(nothing, "k", "day", ["v"]), "k", "day", ["v"])
     assert totals.period_sums(running, "k", "day", ["v"], [(date(2024, 1, 1), date(2024, 2, 1))]).collect() == []
+
+
+def test_exact_sample_of_a_table_of_copies(spark):
+    df = spark.range(20000).selectExpr("id % 2 as k", "if(id % 2 = 0, null, 'x') as v")
+    sample = sampling.exact_sample(df, 17000)
+    counts = sorted(r["count"] for r in sample.groupBy("k", "v").count().collect())
+    assert counts == [7000, 10000]
+    assert sampling.exact_sample(df, 1).count() == 1 and sampling.exact_sample(df, 20000).count() == 20000 and sampling.exact_sample(df, 0).count() == 0
