@@ -6,6 +6,7 @@ weather, prices, load, exchange rates and a second feed of detections from `even
 
 from __future__ import annotations
 
+import math
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -22,6 +23,18 @@ HOLIDAYS = ((date(2024, 1, 1), "New year"), (date(2024, 1, 15), "Mid month"), (d
 CALENDAR_START = date(2024, 1, 1)
 AS_OF = date(2024, 6, 1)
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+# Rows that one task makes of a feed.
+TASK_ROWS = 250_000
+
+
+def spread(df: DataFrame, key: str, made: int = 1) -> DataFrame:
+    """The rows dealt over tasks by a unique key, so that each task makes about TASK_ROWS rows, `made` of every row.
+
+    A table may be one file of one row group: it is read by one task, and all that is made of it would be that task's
+    work, and its only block of every day that is written.
+    """
+    tasks = math.ceil(df.count() * made / TASK_ROWS)
+    return df.repartition(tasks, key) if tasks > 1 else df
 
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -38,7 +51,7 @@ def _once(make, write):
             _WRITTEN[key] = path
         return t.spark.read.parquet(_WRITTEN[key])
 
-    read.__name__ = make.__name__
+    read.__name__, read.make = make.__name__, make
     return read
 
 
@@ -92,7 +105,7 @@ SQL_Y = "(50 + ((({k}) * 61) % 5200) / 10000.0::double)"
 @_landed
 def bike_counters(t: Tables) -> DataFrame:
     k = "c_custkey"
-    rows = t.customer.withColumn("load_date", F.explode(F.array(F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 15)))))
+    rows = spread(t.customer, "c_custkey", 2).withColumn("load_date", F.explode(F.array(F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 15)))))
     directions = F.array(
         F.struct(F.format_string("D%d", F.expr(f"{k} % 7")).alias("id"), F.format_string("to %d", F.expr(f"{k} % 70")).alias("name")),
         F.struct(F.lit(None).cast("string").alias("id"), F.lit("none").alias("name")),
@@ -117,7 +130,7 @@ SLOTS = 852
 def bike_detections(t: Tables) -> DataFrame:
     """Three local days of five-minute slots over the spring switch, with gaps and repeated slots."""
     rows = (
-        t.supplier.select(F.col("s_suppkey").alias("s"))
+        spread(t.supplier.select(F.col("s_suppkey").alias("s")), "s", SLOTS)
         .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
         .filter("not (s % 3 = 0 and (s div 20) % 2 = 0 and slot % 97 = s % 97)")
         .withColumn("again", F.explode(F.expr("case when slot % 25 = 0 then array(0, 1) else array(0) end")))
@@ -141,7 +154,7 @@ def bike_detections(t: Tables) -> DataFrame:
 def event_detections(t: Tables) -> DataFrame:
     """Every event is a detection at its user's counter, on a five-minute grid with the gaps and repeated slots the events have."""
     start = F.timestamp_seconds(F.floor(F.unix_timestamp("ts") / 300) * 300)
-    return t.events.select(
+    return spread(t.events, "event_id").select(
         F.format_string("C%d", "user_id").alias("locations_id"),
         F.expr("concat('D', case when user_id % 5 = 0 then (user_id + 1) % 7 else user_id % 7 end)").alias("id"),
         F.date_format(start, ISO).alias("measured_from"),
@@ -157,7 +170,7 @@ def event_detections(t: Tables) -> DataFrame:
 @_landed
 def air_stations(t: Tables) -> DataFrame:
     """Three snapshots: renamed, moved and removed stations."""
-    rows = t.supplier.withColumn("load_date", F.explode(F.array(*[F.lit(d) for d in RUNS])))
+    rows = spread(t.supplier, "s_suppkey", len(RUNS)).withColumn("load_date", F.explode(F.array(*[F.lit(d) for d in RUNS])))
     s = "s_suppkey"
     return rows.filter(f"not ({s} % 10 = 3 and load_date = date'2024-01-21')").select(
         F.format_string("S%d", s).alias("id"),
@@ -184,7 +197,7 @@ def air_history(t: Tables) -> DataFrame:
         + "case when event_id % 3 = 0 then " + component("PM2_5", "value / 2") + " end), c -> c is not null)"
     )
     index = F.expr("case event_type when 'view' then '1A' when 'click' then '1B' when 'error' then '0' else '2A' end")
-    return t.events.select(
+    return spread(t.events, "event_id").select(
         F.format_string("S%d", "user_id").alias("id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("updated_at"),
         F.to_json(F.struct(index.alias("AQ_hourly_index"), components.alias("components"))).alias("measurement"),
@@ -195,7 +208,7 @@ def air_history(t: Tables) -> DataFrame:
 
 @_landed
 def weather_hourly(t: Tables) -> DataFrame:
-    return t.events.select(
+    return spread(t.events, "event_id").select(
         F.format_string("S%d", "user_id").alias("station_id"),
         F.lit(14.0).alias("requested_latitude"),
         F.lit(50.0).alias("requested_longitude"),
@@ -221,7 +234,7 @@ def _quarter(ts: str):
 
 @_landed
 def energy_prices(t: Tables) -> DataFrame:
-    return t.events.select(
+    return spread(t.events, "event_id").select(
         _quarter("ts").alias("ts_utc"),
         F.expr("value - 20").alias("value"),
         F.lit("EUR/MWh").alias("unit"),
@@ -233,7 +246,7 @@ def energy_prices(t: Tables) -> DataFrame:
 
 @_landed
 def energy_load(t: Tables) -> DataFrame:
-    return t.events.select(
+    return spread(t.events, "event_id").select(
         _quarter("ts").alias("ts_utc"),
         F.expr("value * 100").alias("value"),
         F.lit("MW").alias("unit"),
@@ -252,7 +265,7 @@ CURRENCY = ("case when day(ts) % 6 = 5 or day(ts) > 27 then case when event_type
 @_landed
 def fx_daily(t: Tables) -> DataFrame:
     """One table per day; every event is a rate."""
-    return t.events.select(
+    return spread(t.events, "event_id").select(
         F.date_format("ts", "yyyy-MM-dd").alias("validFor"),
         F.lit(1).alias("order"),
         F.lit("x").alias("country"),
