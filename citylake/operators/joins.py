@@ -15,6 +15,16 @@ from citylake.operators.ordered import SLICE, cut_long_groups, forward_fill, run
 
 # A fact may be held against this many versions of its key; of keys with more the versions and facts are merged in order.
 MOST_VERSIONS = 64
+# Months in a period of the join by month.
+MOST_MONTHS = 12
+
+
+def _month(ts: Column) -> Column:
+    return F.year(ts) * 12 + F.month(ts) - 1
+
+
+def _period(month: Column, width: Column) -> Column:
+    return F.floor(month / width).cast("int")
 
 
 def interval_join(
@@ -35,28 +45,41 @@ def interval_join(
     in work linear in their number; only versions that overlap, of which a fact may have several, stay with the plain
     join. `slices` is the number of runs the merged rows are cut into.
 
-    `by_month` is for large version tables that overlap: versions are repeated for the months they cover within the
-    range of the facts, so month joins the key as an equality and a fact meets only the versions of its month.
+    `by_month` is for large version tables that overlap: versions are repeated for the periods they cover within the
+    range of the facts, so period joins the key as an equality and a fact meets only the versions of its period. A period
+    has as many months as the median version, MOST_MONTHS at most: versions of years are not repeated month by month.
     """
     if how not in ("left", "inner"):
         raise ValueError("an interval join is left or inner")
     right = versions.withColumnRenamed(key, "_version_of")
     matches = (F.col("_version_of") == F.col(key)) & (F.col(ts) >= F.col(valid_from)) & (F.col(ts) < F.col(valid_to))
     if by_month:
-        bounds = facts.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-        first = F.date_trunc("month", F.greatest(F.col(valid_from), bounds.select("lo").scalar()))
-        last = F.date_trunc("month", F.least(F.col(valid_to), bounds.select("hi").scalar()))
-        months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
-        right = right.withColumn("_version_month", F.explode(months))
-        left = facts.withColumn("_month", F.date_trunc("month", F.col(ts)))
-        joined = left.join(right, (F.col("_month") == F.col("_version_month")) & matches, how)
-        return joined.drop("_version_of", "_month", "_version_month")
+        left, right = in_periods(facts, right, ts, valid_from, valid_to)
+        joined = left.join(right, (F.col("_period") == F.col("_version_period")) & matches, how)
+        return joined.drop("_version_of", "_period", "_version_period")
     most = versions.groupBy(key).count().agg(F.max("count")).first()[0] or 0
     if most > MOST_VERSIONS and not versions_overlap(versions, key, valid_from, valid_to):
         return merged_versions(facts, versions, key, ts, valid_from, valid_to, how, slices)
     return facts.join(right, matches, how).drop("_version_of")
 
 
+def in_periods(facts: DataFrame, versions: DataFrame, ts: str, valid_from: str, valid_to: str) -> tuple[DataFrame, DataFrame]:
+    """Facts with the `_period` of their instant, versions once for every `_version_period` that they cover within the
+    range of the facts. Half of the versions are as long as a period or longer, so most are repeated once or twice.
+    """
+    bounds = facts.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    first = _month(F.greatest(F.col(valid_from), bounds.select("lo").scalar()))
+    last = _month(F.least(F.col(valid_to), bounds.select("hi").scalar()))
+    lengths = versions.select((last - first).alias("months")).filter("months >= 0")
+    usual = F.least(F.greatest(F.percentile_approx("months", 0.5), F.lit(1)), F.lit(MOST_MONTHS))
+    width = lengths.agg(F.coalesce(usual, F.lit(1)).alias("width")).scalar()
+    periods = F.when(first <= last, F.sequence(_period(first, width), _period(last, width)))
+    return (
+        facts.withColumn("_period", _period(_month(F.col(ts)), width)),
+        versions.withColumn("_version_period", F.explode(periods)),
+    )
+
+
 def versions_overlap(versions: DataFrame, key: str, valid_from: str, valid_to: str) -> bool:
     """Whether two versions of one key are valid at the same instant."""
     numbered = versions.select(key, valid_from, valid_to, F.xxhash64(key, valid_from, valid_to).alias("_number"))

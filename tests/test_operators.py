@@ -135,6 +135,29 @@ def test_interval_join_finds_exactly_one_version(spark, rows, by_month):
     assert [(i, v) for i, _, v in got] == [("s", "v1"), ("s", "v1"), ("s", "v2"), ("x", None)]
 
 
+def test_long_versions_are_not_repeated_month_by_month(spark, rows):
+    years = [(k, y, datetime(y, 1, 1), datetime(y + 2, 1, 1)) for k in range(3) for y in range(1980, 2020)]
+    open_end = [(9, 0, datetime(1980, 1, 1), datetime(9999, 12, 31))]
+    versions = spark.createDataFrame(years + open_end, "id long, version long, valid_from_ts_utc timestamp, valid_to_ts_utc timestamp")
+    days = [(k, datetime(1985, 1, 1) + timedelta(days=97 * n)) for k in (0, 2, 9, None) for n in range(120)]
+    facts = spark.createDataFrame([*days, (None, datetime(1700, 1, 1)), (1, None)], "id long, ts timestamp")
+    left, right = joins.in_periods(facts, versions, "ts", "valid_from_ts_utc", "valid_to_ts_utc")
+    assert left.count() == facts.count()
+    covering = versions.filter("valid_to_ts_utc >= timestamp'1985-01-01' and valid_from_ts_utc < timestamp'2017-01-01'").count()
+    assert covering <= right.count() <= 4 * covering
+    for how in ("left", "inner"):
+        plain = joins.interval_join(facts, versions, "id", "ts", how=how)
+        assert rows(joins.interval_join(facts, versions, "id", "ts", how=how, by_month=True)) == rows(plain)
+
+
+def test_a_join_by_month_without_versions_or_facts_in_range(spark):
+    versions = spark.createDataFrame([(1, 7, datetime(2020, 1, 1), datetime(2020, 1, 2))], "id long, version long, valid_from_ts_utc timestamp, valid_to_ts_utc timestamp")
+    facts = spark.createDataFrame([(1, datetime(2021, 1, 1))], "id long, ts timestamp")
+    assert joins.interval_join(facts, versions, "id", "ts", by_month=True).select("version").first()[0] is None
+    assert joins.interval_join(facts, versions.limit(0), "id", "ts", by_month=True).count() == 1
+    assert joins.interval_join(facts.limit(0), versions, "id", "ts", by_month=True).count() == 0
+
+
 def hot_versions(spark, overlap=False):
     """10,000 versions and half of all facts of one key, with gaps, missing keys and missing instants."""
     versions = spark.range(10_100).selectExpr(
