@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from citylake.session import configure
+from citylake.session import bound_scans, configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,7 +96,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return simple(fn(Tables(configure(spark), folder)))
+            return simple(fn(Tables(bound_scans(configure(spark)), folder)))
 
         QUERIES[name] = run
         if sql is not None:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from catalog import feeds
+from catalog import QUERIES, feeds
 from catalog.registry import Tables
+from citylake import session
 from tests.conftest import SMALL
 
 
@@ -26,3 +27,23 @@ def test_the_rows_of_a_feed_are_made_by_many_tasks(spark, monkeypatch, feed):
 def test_small_feeds_stay_as_they_are(spark):
     events = Tables(spark, SMALL).events
     assert feeds.spread(events, "event_id") is events
+
+
+def test_a_scan_task_reads_few_of_the_landed_files(spark, tmp_path):
+    """Files that Spark would pack up to a core's share of the table go to tasks of SPLIT_BYTES."""
+    held = spark.conf.get(session.SPLIT)
+    path = str(tmp_path / "rows")
+    spark.range(40_000).repartition(40).write.parquet(path)
+    try:
+        spark.conf.set(session.SPLIT, "128m")
+        packed = spark.read.parquet(path).rdd.getNumPartitions()
+        session.bound_scans(spark)
+        assert packed <= 4 < 20 <= spark.read.parquet(path).rdd.getNumPartitions()
+        spark.conf.set(session.SPLIT, "1m")
+        session.bound_scans(spark)
+        assert spark.conf.get(session.SPLIT) == "1m"
+        spark.conf.set(session.SPLIT, "128m")
+        QUERIES["d11_global"](spark, SMALL).collect()
+        assert spark.conf.get(session.SPLIT) == str(session.SPLIT_BYTES)
+    finally:
+        spark.conf.set(session.SPLIT, held)
