@@ -12,8 +12,11 @@ MARKET_ZONE = "Europe/Prague"
 
 
 def local_ts(ts: ColumnOrName, zone: str = MARKET_ZONE) -> Column:
-    """Wall clock of an instant. Repeats in the autumn switch hour, so never use it as a key."""
-    return F.convert_timezone(None, F.lit(zone), as_col(ts).cast("timestamp_ntz"))
+    """Wall clock of an instant, in a UTC session. Repeats in the autumn switch hour, so never use it as a key.
+
+    `convert_timezone` would look up both zones by name for every row.
+    """
+    return F.from_utc_timestamp(as_col(ts).cast("timestamp"), zone).cast("timestamp_ntz")
 
 
 def local_date(ts: ColumnOrName, zone: str = MARKET_ZONE) -> Column:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -28,6 +29,19 @@ def test_local_wall_clock_repeats_in_autumn(spark):
     assert [r.l for r in local] == [datetime(2026, 10, 25, 2), datetime(2026, 10, 25, 2)]
 
 
+def test_local_wall_clock_takes_the_zone_once(spark):
+    starts = datetime(1890, 5, 1), datetime(1945, 4, 2), datetime(2026, 3, 28, 12), datetime(2026, 10, 24, 12), datetime(2090, 7, 1)
+    instants = [start + timedelta(minutes=20 * k) for start in starts for k in range(120)]
+    rows = spark.createDataFrame([(t,) for t in instants] + [(None,)], "t timestamp_ntz").select(F.col("t").cast("timestamp").alias("ts"))
+    local = rows.select("ts", local_ts("ts").alias("l"), local_date("ts").alias("d"))
+    got = local.select(F.col("ts").cast("timestamp_ntz"), "l", "d").collect()
+    zone = ZoneInfo("Europe/Prague")
+    wanted = {t: t.replace(tzinfo=timezone.utc).astimezone(zone).replace(tzinfo=None) for t in instants}
+    assert {(r[0], r.l, r.d) for r in got} == {(t, w, w.date()) for t, w in wanted.items()} | {(None, None, None)}
+    assert dict(local.dtypes)["l"] == "timestamp_ntz"
+    assert "convert_timezone" not in local._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_local_date_and_key(spark):
     late = spark.range(1).select(F.lit("2026-10-02T22:00:00Z").cast("timestamp").alias("ts"))
     row = late.select(local_date("ts").alias("d"), date_key(local_date("ts")).alias("k")).first()
