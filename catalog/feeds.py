@@ -129,24 +129,32 @@ SLOTS = 852
 @_landed
 def bike_detections(t: Tables) -> DataFrame:
     """Three local days of five-minute slots over the spring switch, with gaps and repeated slots."""
+    start = F.lit(FIRST_SLOT) + F.expr("make_dt_interval(0, 0, slot * 5)")
+    # The texts of a slot are made once, not for every detection in it.
+    slots = t.spark.range(SLOTS).select(F.col("id").cast("int").alias("slot")).select(
+        "slot",
+        start.alias("start"),
+        F.date_format(start, ISO).alias("measured_from"),
+        F.date_format(start + F.expr("interval 5 minutes"), ISO).alias("measured_to"),
+    )
     rows = (
         spread(t.supplier.select(F.col("s_suppkey").alias("s")), "s", SLOTS)
         .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
         .filter("not (s % 3 = 0 and (s div 20) % 2 = 0 and slot % 97 = s % 97)")
         .withColumn("again", F.explode(F.expr("case when slot % 25 = 0 then array(0, 1) else array(0) end")))
+        .join(slots, "slot")
     )
-    start = F.lit(FIRST_SLOT) + F.expr("make_dt_interval(0, 0, slot * 5)")
     value = F.expr("case when (s + slot) % 50 = 0 then null else cast((s * 31 + slot * 7) % 40 + again as double) end")
     return rows.select(
         F.expr("case when s % 10 = 9 then concat('X', s) else concat('C', s) end").alias("locations_id"),
         F.expr("concat('D', case when s % 5 = 0 then (s + 1) % 7 else s % 7 end)").alias("id"),
-        F.date_format(start, ISO).alias("measured_from"),
-        F.date_format(start + F.expr("interval 5 minutes"), ISO).alias("measured_to"),
+        "measured_from",
+        "measured_to",
         value.alias("value"),
         F.expr("case when s % 2 = 0 then cast(slot % 9 as double) end").alias("value_pedestrians"),
         F.lit(1).alias("measurement_count"),
-        (start + F.expr("make_dt_interval(0, 1 + again)")).alias("_loaded_at"),
-        F.to_date(start).alias("load_date"),
+        (F.col("start") + F.expr("make_dt_interval(0, 1 + again)")).alias("_loaded_at"),
+        F.to_date("start").alias("load_date"),
     )
 
 

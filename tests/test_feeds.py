@@ -24,6 +24,14 @@ def test_the_rows_of_a_feed_are_made_by_many_tasks(spark, monkeypatch, feed):
     assert rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
 
 
+def test_the_texts_of_a_slot_are_made_once(spark):
+    """Not once for every detection in it."""
+    plan = feeds.bike_detections.make(Tables(spark, SMALL))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = [k for k, line in enumerate(plan) if "date_format" in line]
+    sources = [next(line for line in plan[k + 1 :] if "Project" not in line and "Filter" not in line) for k in made]
+    assert sources and all("Range" in line for line in sources)
+
+
 def test_small_feeds_stay_as_they_are(spark):
     events = Tables(spark, SMALL).events
     assert feeds.spread(events, "event_id") is events
